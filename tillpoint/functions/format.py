@@ -14,6 +14,12 @@ from .columns import col_or_name
 FORMATS = ("currency", "count", "percent", "days", "decimal")
 
 
+def format_pattern(v: Column, pattern: str) -> Column:
+    """``format_number`` with a DecimalFormat pattern (e.g. '0.0': one place,
+    no digit grouping, half-to-even)."""
+    return F.call_function("format_number", v, F.lit(pattern))
+
+
 def _one(v: Column, fmt: str, style: str) -> Column:
     if fmt == "currency":
         return F.concat(F.lit("$"), F.format_number(v, 2))
@@ -23,12 +29,12 @@ def _one(v: Column, fmt: str, style: str) -> Column:
             return F.format_number(v.cast("bigint"), 0)
         return F.format_number(v, 0)
     if fmt == "percent":
-        return F.concat(F.format_number(v, "0.0"), F.lit("%"))
+        return F.concat(format_pattern(v, "0.0"), F.lit("%"))
     if fmt == "days":
         return F.concat(v.cast("bigint").cast("string"), F.lit(" days"))
     if fmt == "decimal" and style == "notebook":
-        return F.format_number(v, "0.0")
-    return F.format_number(v, "0.00")
+        return format_pattern(v, "0.0")
+    return format_pattern(v, "0.00")
 
 
 def format_value(value, fmt, style: str = "report") -> Column:

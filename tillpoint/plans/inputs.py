@@ -22,3 +22,21 @@ def domain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_sales_table(clean(spark, sf_dir))
+
+
+def customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline's customer summary (known customers incl. those whose
+    every line was dropped), unsorted."""
+    from ..operators.customers import customer_summary as summarize
+
+    c = clean(spark, sf_dir)
+    return summarize(c, domain(spark, sf_dir), sort=False)
+
+
+def summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer_summary`` table rows: lower-case names, table types."""
+    from ..operators.clean import lowercase_columns
+    from ..schema import SUMMARY_SCHEMA
+    from ..sources.tables import conform
+
+    return conform(lowercase_columns(customer_summary(spark, sf_dir)), SUMMARY_SCHEMA)

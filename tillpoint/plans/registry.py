@@ -1,7 +1,7 @@
 """Registered queries: name -> f(spark, sf_dir) -> DataFrame.
 
 Names are ``<survey id>_<short name>``. Each builds its input from the
-driver's tables and applies one operator over all rows.
+driver's tables (all rows) and applies one operator.
 """
 
 from __future__ import annotations
@@ -9,13 +9,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import trends
+from ..functions.columns import composite_key, label30
+from ..operators import clean as C
+from ..operators import customers, kpi, products, quality, rankings, trends
+from ..operators.filters import Filters, previous_period, quick_filters, quick_ranges
+from ..schema import QUICK_RANGE_DAYS
+from ..sources import sinks
+from ..sources.tables import run_sql
 from . import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Parameters of the registered queries (what a user would pick).
+COUNTRY = "United Kingdom"
+EXPORT_START, EXPORT_END = "1998-01-01", "1999-12-31"
+PRODUCTS = ("blue anvil", "hot rod", "small widget")
+QUICK = "year"
+NOW = "2026-01-01 00:00:00"
+RUN_ID = "20260101_000000"
+
 
 def register(name: str):
     def deco(fn: Query) -> Query:
@@ -24,21 +39,414 @@ def register(name: str):
     return deco
 
 
+def _dedup(spark, sf):
+    return C.drop_exact_duplicates(C.coerce_types(C.fill_missing(inputs.raw(spark, sf))))
+
+
+# --- sources / sinks ------------------------------------------------------------
+
 @register("sk1_raw_transactions")
 def _sk1(spark, sf):
     return inputs.raw(spark, sf)
 
 
+@register("sk3_sales_table")
+def _sk3(spark, sf):
+    return inputs.sales(spark, sf)
+
+
+@register("sk3_summary_table")
+def _sk3s(spark, sf):
+    return inputs.summary_table(spark, sf)
+
+
+@register("sk6_sql_top_countries")
+def _sk6(spark, sf):
+    sql = """
+        SELECT country, CAST(SUM(net_revenue) AS DECIMAL(38,2)) AS revenue
+        FROM sales_data
+        WHERE net_revenue > 0 AND country IS NOT NULL AND country <> :excluded
+        GROUP BY country
+        ORDER BY revenue DESC, country
+        LIMIT 8"""
+    return run_sql(spark, sql, {"excluded": "Unspecified"}, tables={"sales_data": inputs.sales(spark, sf)})
+
+
+@register("sk9_export_rows")
+def _sk9(spark, sf):
+    return sinks.export_rows(inputs.sales(spark, sf), Filters(COUNTRY, EXPORT_START, EXPORT_END))
+
+
+# --- projections ----------------------------------------------------------------
+
+@register("p1_fill_missing")
+def _p1(spark, sf):
+    return C.fill_missing(inputs.raw(spark, sf))
+
+
 @register("p_clean_transactions")
 def _clean(spark, sf):
     return inputs.clean(spark, sf)
 
 
-@register("sk3_sales_table")
-def _sales(spark, sf):
-    return inputs.sales(spark, sf)
+@register("p10_lowercase_columns")
+def _p10(spark, sf):
+    return C.lowercase_columns(inputs.clean(spark, sf))
+
+
+@register("p11_composite_keys")
+def _p11(spark, sf):
+    s = inputs.sales(spark, sf)
+    return s.select("invoiceno", "stockcode", "customerid",
+                    composite_key("invoiceno", "stockcode", "customerid").alias("line_key"))
+
+
+@register("p12_product_labels")
+def _p12(spark, sf):
+    s = inputs.sales(spark, sf)
+    return s.select("description", label30("description").alias("label")).distinct()
+
+
+# --- filters ----------------------------------------------------------------------
+
+@register("f4_selected_product_lines")
+def _f4(spark, sf):
+    from ..operators.filters import apply_filters
+
+    return apply_filters(inputs.sales(spark, sf), Filters(products=PRODUCTS))
+
+
+@register("f11_non_product_lines")
+def _f11(spark, sf):
+    from ..operators.filters import non_product
+
+    return inputs.clean(spark, sf).filter(non_product("StockCode"))
+
+
+@register("f12_code_lookup")
+def _f12(spark, sf):
+    return products.code_lookup(inputs.clean(spark, sf), "M")
+
+
+@register("f15_quick_ranges")
+def _f15(spark, sf):
+    return quick_ranges(inputs.sales(spark, sf))
+
+
+@register("f16_previous_periods")
+def _f16(spark, sf):
+    r = quick_ranges(inputs.sales(spark, sf))
+    days, ps, pe = previous_period(F.col("start_date"), F.col("end_date"))
+    return r.select("option", days.alias("days"), ps.alias("prev_start"), pe.alias("prev_end"))
+
+
+# --- dedup and quality -------------------------------------------------------------
+
+@register("d1_exact_dedup")
+def _d1(spark, sf):
+    return _dedup(spark, sf)
+
+
+@register("d2_key_dedup")
+def _d2(spark, sf):
+    return C.dedup_keys(C.lowercase_columns(inputs.clean(spark, sf)), C.SALES_KEY,
+                        ["description", "quantity", "invoicedate", "unitprice", "country"])
+
+
+@register("d3_duplicate_profile")
+def _d3(spark, sf):
+    return quality.duplicate_profile(C.fill_missing(inputs.raw(spark, sf)))
+
+
+@register("d4_duplicate_rows")
+def _d4(spark, sf):
+    return quality.duplicate_rows(C.fill_missing(inputs.raw(spark, sf)))
+
+
+@register("d4_duplicate_sample")
+def _d4s(spark, sf):
+    return quality.duplicate_rows(C.fill_missing(inputs.raw(spark, sf)), sample=10)
+
+
+@register("d5_top_duplicated_products")
+def _d5p(spark, sf):
+    return quality.top_duplicated(C.fill_missing(inputs.raw(spark, sf)), "StockCode")
+
+
+@register("d5_top_duplicated_invoices")
+def _d5i(spark, sf):
+    return quality.top_duplicated(C.fill_missing(inputs.raw(spark, sf)), "InvoiceNo")
+
+
+@register("d6_missing_raw")
+def _d6r(spark, sf):
+    return quality.missing_profile(inputs.raw(spark, sf))
+
+
+@register("d6_missing_filled")
+def _d6f(spark, sf):
+    return quality.missing_profile(C.fill_missing(inputs.raw(spark, sf)))
+
+
+@register("d7_date_checks")
+def _d7(spark, sf):
+    return quality.date_checks(_dedup(spark, sf), NOW)
+
+
+@register("d8_value_checks")
+def _d8(spark, sf):
+    return quality.value_checks(_dedup(spark, sf))
+
+
+@register("d9_unit_totals")
+def _d9(spark, sf):
+    return quality.unit_totals(C.split_quantity(_dedup(spark, sf)))
+
+
+@register("d10_price_filter_profile")
+def _d10(spark, sf):
+    return quality.price_filter_profile(_dedup(spark, sf))
+
+
+@register("d11_paid_free_counts")
+def _d11(spark, sf):
+    return quality.paid_free_counts(inputs.clean(spark, sf))
+
+
+@register("d12_shape")
+def _d12(spark, sf):
+    return quality.shape(inputs.clean(spark, sf))
+
+
+@register("d13_key_check")
+def _d13(spark, sf):
+    return quality.key_check(inputs.sales(spark, sf))
+
+
+@register("d14_load_check")
+def _d14(spark, sf):
+    return quality.load_check(inputs.sales(spark, sf), inputs.summary_table(spark, sf))
+
+
+# --- products -----------------------------------------------------------------------
+
+@register("a1_product_revenue")
+def _a1(spark, sf):
+    return products.product_revenue(inputs.clean(spark, sf))
+
+
+@register("a1_worst_products")
+def _a1w(spark, sf):
+    return products.worst_products(inputs.clean(spark, sf), 20)
+
+
+@register("a3_non_product_revenue")
+def _a3(spark, sf):
+    return products.non_product_revenue(inputs.clean(spark, sf))
+
+
+@register("a4_top_profitable")
+def _a4p(spark, sf):
+    return products.analyze_products(inputs.clean(spark, sf)).top_profitable
+
+
+@register("a4_top_losses")
+def _a4l(spark, sf):
+    return products.analyze_products(inputs.clean(spark, sf)).top_losses
+
+
+@register("a4_top_losses_script_order")
+def _a4s(spark, sf):
+    return products.analyze_products(inputs.clean(spark, sf), losses="script").top_losses
+
+
+@register("a4_product_counts")
+def _a4c(spark, sf):
+    return products.analyze_products(inputs.clean(spark, sf)).counts
+
+
+# --- customers -----------------------------------------------------------------------
+
+@register("a2_customer_revenue")
+def _a2(spark, sf):
+    return customers.customer_revenue(inputs.clean(spark, sf), inputs.domain(spark, sf))
+
+
+@register("a5_purchases_per_customer")
+def _a5(spark, sf):
+    return customers.purchases_per_customer(inputs.clean(spark, sf), inputs.domain(spark, sf))
+
+
+@register("a6_customer_base")
+def _a6(spark, sf):
+    return customers.customer_base(inputs.clean(spark, sf), inputs.domain(spark, sf))
+
+
+@register("a12_customer_summary")
+def _a12(spark, sf):
+    return customers.customer_summary(inputs.clean(spark, sf), inputs.domain(spark, sf))
+
+
+@register("a29_rfm_base")
+def _a29(spark, sf):
+    return customers.rfm_base(inputs.sales(spark, sf))
+
+
+@register("a30_quartile_segments")
+def _a30(spark, sf):
+    return customers.quartile_segments(customers.rfm_base(inputs.sales(spark, sf)))
+
+
+@register("a39_spend_segments")
+def _a39(spark, sf):
+    return customers.spend_segments(inputs.summary_table(spark, sf))
+
+
+# --- KPIs -------------------------------------------------------------------------------
+
+@register("a13_pipeline_summary")
+def _a13(spark, sf):
+    c = inputs.clean(spark, sf)
+    summ = customers.customer_summary(c, inputs.domain(spark, sf), sort=False)
+    return kpi.pipeline_summary(c, summ, products.analyze_products(c).counts)
+
+
+@register("a14_date_bounds")
+def _a14(spark, sf):
+    return kpi.date_bounds(inputs.sales(spark, sf))
+
+
+@register("a15_data_period")
+def _a15(spark, sf):
+    return kpi.data_period(inputs.sales(spark, sf)).drop("data_period")
+
+
+@register("a16_countries")
+def _a16c(spark, sf):
+    return kpi.distinct_values(inputs.sales(spark, sf), "country")
+
+
+@register("a16_products")
+def _a16p(spark, sf):
+    return kpi.distinct_values(inputs.sales(spark, sf), "description")
+
+
+@register("a17_kpi_block")
+def _a17(spark, sf):
+    s = inputs.sales(spark, sf)
+    return kpi.kpi_block(s, quick_filters(s, QUICK))
+
+
+@register("a17_kpi_block_all_dates")
+def _a17a(spark, sf):
+    return kpi.kpi_block(inputs.sales(spark, sf), Filters())
+
+
+@register("a20_kpi_cards")
+def _a20(spark, sf):
+    s = inputs.sales(spark, sf)
+    return kpi.kpi_cards(kpi.kpi_block(s, quick_filters(s, QUICK)))
+
+
+@register("a38_financial_summary")
+def _a38(spark, sf):
+    return kpi.financial_summary(inputs.sales(spark, sf))
+
+
+@register("a40_report_kpis")
+def _a40(spark, sf):
+    return kpi.report_kpis(inputs.sales(spark, sf), RUN_ID)
+
+
+@register("a41_notebook_kpis")
+def _a41(spark, sf):
+    return kpi.notebook_kpis(inputs.sales(spark, sf))
+
+
+# --- trends ----------------------------------------------------------------------------------
+
+@register("a21_monthly_yoy")
+def _a21y(spark, sf):
+    s = inputs.sales(spark, sf)
+    return trends.monthly_comparison(s, quick_filters(s, QUICK), "yoy")
+
+
+@register("a21_monthly_prev")
+def _a21p(spark, sf):
+    s = inputs.sales(spark, sf)
+    return trends.monthly_comparison(s, quick_filters(s, QUICK), "prev")
+
+
+@register("a22_monthly_revenue")
+def _a22(spark, sf):
+    return trends.monthly_revenue(inputs.sales(spark, sf))
 
 
 @register("a23_monthly_positive")
 def _a23(spark, sf):
     return trends.monthly_positive_revenue(inputs.sales(spark, sf))
+
+
+@register("a24_monthly_sales")
+def _a24(spark, sf):
+    return trends.monthly_sales(inputs.sales(spark, sf))
+
+
+@register("a25_peak_month")
+def _a25(spark, sf):
+    return trends.peak_month(trends.monthly_sales(inputs.sales(spark, sf)))
+
+
+@register("a26_sales_by_weekday")
+def _a26(spark, sf):
+    return trends.sales_by_weekday(inputs.sales(spark, sf))
+
+
+@register("a27_hour_weekday_revenue")
+def _a27(spark, sf):
+    return trends.hour_weekday_revenue(inputs.sales(spark, sf))
+
+
+@register("a28_hour_weekday_heatmap")
+def _a28(spark, sf):
+    return trends.hour_weekday_heatmap(inputs.sales(spark, sf))
+
+
+# --- rankings --------------------------------------------------------------------------------
+
+@register("a31_country_revenue")
+def _a31(spark, sf):
+    return rankings.country_revenue(inputs.sales(spark, sf))
+
+
+@register("a32_top_products")
+def _a32(spark, sf):
+    return rankings.top_products(inputs.sales(spark, sf))
+
+
+@register("a33_selected_products")
+def _a33(spark, sf):
+    return rankings.selected_products(inputs.sales(spark, sf), PRODUCTS)
+
+
+@register("a34_top_products_by_volume")
+def _a34(spark, sf):
+    return rankings.top_products_by_volume(inputs.sales(spark, sf))
+
+
+@register("a35_top_countries_positive")
+def _a35(spark, sf):
+    return rankings.top_countries(inputs.sales(spark, sf), positive_only=True)
+
+
+@register("a36_top_countries_all")
+def _a36(spark, sf):
+    return rankings.top_countries(inputs.sales(spark, sf), positive_only=False)
+
+
+@register("a37_countries_by_lines")
+def _a37(spark, sf):
+    return rankings.countries_by_lines(inputs.sales(spark, sf))
+
+
+_ = QUICK_RANGE_DAYS

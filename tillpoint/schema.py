@@ -123,3 +123,34 @@ DAY_ABBREVIATIONS = ("Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat")  # 0 = Sun
 QUICK_RANGE_DAYS = {"30d": 30, "quarter": 90, "year": 365}
 SUSPICIOUS_BEFORE = "2010-11-01 00:00:00"
 COMPLETENESS_OK_PCT = 80.0
+
+# Cleaned lines as written by the pipeline (source-file names, pipeline tier).
+CLEAN_SCHEMA = T.StructType(
+    list(RAW_SCHEMA.fields)
+    + [
+        T.StructField("Return_Qty", T.IntegerType(), True),
+        T.StructField("Sale_Qty", T.IntegerType(), True),
+        T.StructField("Paid_UnitPrice", PRICE, True),
+        T.StructField("Is_Free_Item", T.StringType(), True),
+        T.StructField("Revenue", AMOUNT, True),
+        T.StructField("Net_Revenue", AMOUNT, True),
+        T.StructField("Total_Items", T.IntegerType(), True),
+    ]
+)
+
+# Customer summary as written by the pipeline (pipeline tier).
+PIPELINE_SUMMARY_SCHEMA = T.StructType(
+    [
+        T.StructField("CustomerID", T.StringType(), True),
+        T.StructField("Total_Purchases", T.LongType(), True),
+        T.StructField("Total_Net_Revenue", TOTAL, True),
+        T.StructField("Total_Sale_Qty", T.LongType(), True),
+        T.StructField("Total_Return_Qty", T.LongType(), True),
+        T.StructField("Avg_Order_Value", T.DoubleType(), True),
+        T.StructField("RecencyDays", T.IntegerType(), True),
+        T.StructField("Return_Rate", T.DoubleType(), True),
+        T.StructField("Net_Qty", T.LongType(), True),
+        T.StructField("Purchase_Frequency_Monthly", T.DoubleType(), True),
+        T.StructField("Customer_Value", T.StringType(), True),
+    ]
+)

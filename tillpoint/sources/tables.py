@@ -16,8 +16,10 @@ TABLES: dict[str, T.StructType] = {"sales_data": SALES_SCHEMA, "customer_summary
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select ``schema``'s columns (matched case-insensitively) cast to its types.
 
-    Decimal casts round half away from zero; with ANSI on, a value that does
-    not fit the declared precision raises, as an insert into the table would.
+    Decimal casts round half away from zero; a double goes through its
+    shortest decimal text first (what a CSV round trip stores). With ANSI on,
+    a value that does not fit the declared precision raises, as an insert
+    into the table would.
     """
     by_lower = {c.lower(): c for c in df.columns}
     missing = [f.name for f in schema.fields if f.name.lower() not in by_lower]
