@@ -1,42 +1,88 @@
-"""Input builders: the same frames every job and registered query starts from."""
+"""Input providers: where the raw lines, cleaned lines and tables come from.
+
+``FixtureInputs`` derives everything from the driver's scale-factor folder
+(what the registered queries use). ``WarehouseInputs`` reads the tables a
+job materialized once (``plans.warehouse.build_warehouse``), which is how the
+report and dashboard run on a cluster: the cleaning shuffles happen once,
+and each panel scans a Parquet table with pruning and pushdown.
+"""
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..fixture import raw_transactions
-from ..operators.clean import clean_transactions, customer_domain, to_sales_table
+from ..operators.clean import clean_transactions, customer_domain, lowercase_columns, to_sales_table
+from ..operators.customers import customer_summary
+from ..schema import SUMMARY_SCHEMA
+from ..sources.tables import conform
+
+
+class FixtureInputs:
+    """All inputs derived (lazily, once per provider) from one sf folder."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+
+    @cached_property
+    def raw(self) -> DataFrame:
+        return raw_transactions(self.spark, self.sf_dir)
+
+    @cached_property
+    def clean(self) -> DataFrame:
+        return clean_transactions(self.raw)
 
+    @cached_property
+    def domain(self) -> DataFrame:
+        return customer_domain(self.raw)
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_transactions(spark, sf_dir)
+    @cached_property
+    def sales(self) -> DataFrame:
+        return to_sales_table(self.clean)
 
+    @cached_property
+    def summary(self) -> DataFrame:
+        """Pipeline-tier customer summary (known customers), unsorted."""
+        return customer_summary(self.clean, self.domain, sort=False)
 
-def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_transactions(raw(spark, sf_dir))
+    @cached_property
+    def summary_table(self) -> DataFrame:
+        return conform(lowercase_columns(self.summary), SUMMARY_SCHEMA)
 
 
-def domain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customer_domain(raw(spark, sf_dir))
+class WarehouseInputs:
+    """Inputs read back from a materialized warehouse folder."""
 
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_sales_table(clean(spark, sf_dir))
+    def _t(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{name}")
 
+    @cached_property
+    def raw(self) -> DataFrame:
+        return self._t("raw_lines")
 
-def customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pipeline's customer summary (known customers incl. those whose
-    every line was dropped), unsorted."""
-    from ..operators.customers import customer_summary as summarize
+    @cached_property
+    def clean(self) -> DataFrame:
+        return self._t("cleaned_lines")
 
-    c = clean(spark, sf_dir)
-    return summarize(c, domain(spark, sf_dir), sort=False)
+    @cached_property
+    def domain(self) -> DataFrame:
+        return self._t("customer_domain")
 
+    @cached_property
+    def sales(self) -> DataFrame:
+        return self._t("sales_data")
 
-def summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``customer_summary`` table rows: lower-case names, table types."""
-    from ..operators.clean import lowercase_columns
-    from ..schema import SUMMARY_SCHEMA
-    from ..sources.tables import conform
+    @cached_property
+    def summary(self) -> DataFrame:
+        return self._t("customer_summary_lines")
 
-    return conform(lowercase_columns(customer_summary(spark, sf_dir)), SUMMARY_SCHEMA)
+    @cached_property
+    def summary_table(self) -> DataFrame:
+        return self._t("customer_summary")

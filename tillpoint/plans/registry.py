@@ -21,7 +21,9 @@ from ..sources.tables import run_sql
 from . import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
+Operator = Callable[[object], DataFrame]
+QUERIES: dict[str, Query] = {}  # (spark, sf_dir) -> DataFrame, inputs derived from the sf folder
+OPERATORS: dict[str, Operator] = {}  # (inputs provider) -> DataFrame
 
 # Parameters of the registered queries (what a user would pick).
 COUNTRY = "United Kingdom"
@@ -33,35 +35,41 @@ RUN_ID = "20260101_000000"
 
 
 def register(name: str):
-    def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+    def deco(fn: Operator) -> Operator:
+        OPERATORS[name] = fn
+
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(inputs.FixtureInputs(spark, sf_dir))
+
+        query.__name__ = query.__qualname__ = name
+        QUERIES[name] = query
         return fn
     return deco
 
 
-def _dedup(spark, sf):
-    return C.drop_exact_duplicates(C.coerce_types(C.fill_missing(inputs.raw(spark, sf))))
+def _dedup(src):
+    return C.drop_exact_duplicates(C.coerce_types(C.fill_missing(src.raw)))
 
 
 # --- sources / sinks ------------------------------------------------------------
 
 @register("sk1_raw_transactions")
-def _sk1(spark, sf):
-    return inputs.raw(spark, sf)
+def _sk1(src):
+    return src.raw
 
 
 @register("sk3_sales_table")
-def _sk3(spark, sf):
-    return inputs.sales(spark, sf)
+def _sk3(src):
+    return src.sales
 
 
 @register("sk3_summary_table")
-def _sk3s(spark, sf):
-    return inputs.summary_table(spark, sf)
+def _sk3s(src):
+    return src.summary_table
 
 
 @register("sk6_sql_top_countries")
-def _sk6(spark, sf):
+def _sk6(src):
     sql = """
         SELECT country, CAST(SUM(net_revenue) AS DECIMAL(38,2)) AS revenue
         FROM sales_data
@@ -69,73 +77,73 @@ def _sk6(spark, sf):
         GROUP BY country
         ORDER BY revenue DESC, country
         LIMIT 8"""
-    return run_sql(spark, sql, {"excluded": "Unspecified"}, tables={"sales_data": inputs.sales(spark, sf)})
+    return run_sql(src.spark, sql, {"excluded": "Unspecified"}, tables={"sales_data": src.sales})
 
 
 @register("sk9_export_rows")
-def _sk9(spark, sf):
-    return sinks.export_rows(inputs.sales(spark, sf), Filters(COUNTRY, EXPORT_START, EXPORT_END))
+def _sk9(src):
+    return sinks.export_rows(src.sales, Filters(COUNTRY, EXPORT_START, EXPORT_END))
 
 
 # --- projections ----------------------------------------------------------------
 
 @register("p1_fill_missing")
-def _p1(spark, sf):
-    return C.fill_missing(inputs.raw(spark, sf))
+def _p1(src):
+    return C.fill_missing(src.raw)
 
 
 @register("p_clean_transactions")
-def _clean(spark, sf):
-    return inputs.clean(spark, sf)
+def _clean(src):
+    return src.clean
 
 
 @register("p10_lowercase_columns")
-def _p10(spark, sf):
-    return C.lowercase_columns(inputs.clean(spark, sf))
+def _p10(src):
+    return C.lowercase_columns(src.clean)
 
 
 @register("p11_composite_keys")
-def _p11(spark, sf):
-    s = inputs.sales(spark, sf)
+def _p11(src):
+    s = src.sales
     return s.select("invoiceno", "stockcode", "customerid",
                     composite_key("invoiceno", "stockcode", "customerid").alias("line_key"))
 
 
 @register("p12_product_labels")
-def _p12(spark, sf):
-    s = inputs.sales(spark, sf)
+def _p12(src):
+    s = src.sales
     return s.select("description", label30("description").alias("label")).distinct()
 
 
 # --- filters ----------------------------------------------------------------------
 
 @register("f4_selected_product_lines")
-def _f4(spark, sf):
+def _f4(src):
     from ..operators.filters import apply_filters
 
-    return apply_filters(inputs.sales(spark, sf), Filters(products=PRODUCTS))
+    return apply_filters(src.sales, Filters(products=PRODUCTS))
 
 
 @register("f11_non_product_lines")
-def _f11(spark, sf):
+def _f11(src):
     from ..operators.filters import non_product
 
-    return inputs.clean(spark, sf).filter(non_product("StockCode"))
+    return src.clean.filter(non_product("StockCode"))
 
 
 @register("f12_code_lookup")
-def _f12(spark, sf):
-    return products.code_lookup(inputs.clean(spark, sf), "M")
+def _f12(src):
+    return products.code_lookup(src.clean, "M")
 
 
 @register("f15_quick_ranges")
-def _f15(spark, sf):
-    return quick_ranges(inputs.sales(spark, sf))
+def _f15(src):
+    return quick_ranges(src.sales)
 
 
 @register("f16_previous_periods")
-def _f16(spark, sf):
-    r = quick_ranges(inputs.sales(spark, sf))
+def _f16(src):
+    r = quick_ranges(src.sales)
     days, ps, pe = previous_period(F.col("start_date"), F.col("end_date"))
     return r.select("option", days.alias("days"), ps.alias("prev_start"), pe.alias("prev_end"))
 
@@ -143,310 +151,309 @@ def _f16(spark, sf):
 # --- dedup and quality -------------------------------------------------------------
 
 @register("d1_exact_dedup")
-def _d1(spark, sf):
-    return _dedup(spark, sf)
+def _d1(src):
+    return _dedup(src)
 
 
 @register("d2_key_dedup")
-def _d2(spark, sf):
-    return C.dedup_keys(C.lowercase_columns(inputs.clean(spark, sf)), C.SALES_KEY,
+def _d2(src):
+    return C.dedup_keys(C.lowercase_columns(src.clean), C.SALES_KEY,
                         ["description", "quantity", "invoicedate", "unitprice", "country"])
 
 
 @register("d3_duplicate_profile")
-def _d3(spark, sf):
-    return quality.duplicate_profile(C.fill_missing(inputs.raw(spark, sf)))
+def _d3(src):
+    return quality.duplicate_profile(C.fill_missing(src.raw))
 
 
 @register("d4_duplicate_rows")
-def _d4(spark, sf):
-    return quality.duplicate_rows(C.fill_missing(inputs.raw(spark, sf)))
+def _d4(src):
+    return quality.duplicate_rows(C.fill_missing(src.raw))
 
 
 @register("d4_duplicate_sample")
-def _d4s(spark, sf):
-    return quality.duplicate_rows(C.fill_missing(inputs.raw(spark, sf)), sample=10)
+def _d4s(src):
+    return quality.duplicate_rows(C.fill_missing(src.raw), sample=10)
 
 
 @register("d5_top_duplicated_products")
-def _d5p(spark, sf):
-    return quality.top_duplicated(C.fill_missing(inputs.raw(spark, sf)), "StockCode")
+def _d5p(src):
+    return quality.top_duplicated(C.fill_missing(src.raw), "StockCode")
 
 
 @register("d5_top_duplicated_invoices")
-def _d5i(spark, sf):
-    return quality.top_duplicated(C.fill_missing(inputs.raw(spark, sf)), "InvoiceNo")
+def _d5i(src):
+    return quality.top_duplicated(C.fill_missing(src.raw), "InvoiceNo")
 
 
 @register("d6_missing_raw")
-def _d6r(spark, sf):
-    return quality.missing_profile(inputs.raw(spark, sf))
+def _d6r(src):
+    return quality.missing_profile(src.raw)
 
 
 @register("d6_missing_filled")
-def _d6f(spark, sf):
-    return quality.missing_profile(C.fill_missing(inputs.raw(spark, sf)))
+def _d6f(src):
+    return quality.missing_profile(C.fill_missing(src.raw))
 
 
 @register("d7_date_checks")
-def _d7(spark, sf):
-    return quality.date_checks(_dedup(spark, sf), NOW)
+def _d7(src):
+    return quality.date_checks(_dedup(src), NOW)
 
 
 @register("d8_value_checks")
-def _d8(spark, sf):
-    return quality.value_checks(_dedup(spark, sf))
+def _d8(src):
+    return quality.value_checks(_dedup(src))
 
 
 @register("d9_unit_totals")
-def _d9(spark, sf):
-    return quality.unit_totals(C.split_quantity(_dedup(spark, sf)))
+def _d9(src):
+    return quality.unit_totals(C.split_quantity(_dedup(src)))
 
 
 @register("d10_price_filter_profile")
-def _d10(spark, sf):
-    return quality.price_filter_profile(_dedup(spark, sf))
+def _d10(src):
+    return quality.price_filter_profile(_dedup(src))
 
 
 @register("d11_paid_free_counts")
-def _d11(spark, sf):
-    return quality.paid_free_counts(inputs.clean(spark, sf))
+def _d11(src):
+    return quality.paid_free_counts(src.clean)
 
 
 @register("d12_shape")
-def _d12(spark, sf):
-    return quality.shape(inputs.clean(spark, sf))
+def _d12(src):
+    return quality.shape(src.clean)
 
 
 @register("d13_key_check")
-def _d13(spark, sf):
-    return quality.key_check(inputs.sales(spark, sf))
+def _d13(src):
+    return quality.key_check(src.sales)
 
 
 @register("d14_load_check")
-def _d14(spark, sf):
-    return quality.load_check(inputs.sales(spark, sf), inputs.summary_table(spark, sf))
+def _d14(src):
+    return quality.load_check(src.sales, src.summary_table)
 
 
 # --- products -----------------------------------------------------------------------
 
 @register("a1_product_revenue")
-def _a1(spark, sf):
-    return products.product_revenue(inputs.clean(spark, sf))
+def _a1(src):
+    return products.product_revenue(src.clean)
 
 
 @register("a1_worst_products")
-def _a1w(spark, sf):
-    return products.worst_products(inputs.clean(spark, sf), 20)
+def _a1w(src):
+    return products.worst_products(src.clean, 20)
 
 
 @register("a3_non_product_revenue")
-def _a3(spark, sf):
-    return products.non_product_revenue(inputs.clean(spark, sf))
+def _a3(src):
+    return products.non_product_revenue(src.clean)
 
 
 @register("a4_top_profitable")
-def _a4p(spark, sf):
-    return products.analyze_products(inputs.clean(spark, sf)).top_profitable
+def _a4p(src):
+    return products.analyze_products(src.clean).top_profitable
 
 
 @register("a4_top_losses")
-def _a4l(spark, sf):
-    return products.analyze_products(inputs.clean(spark, sf)).top_losses
+def _a4l(src):
+    return products.analyze_products(src.clean).top_losses
 
 
 @register("a4_top_losses_script_order")
-def _a4s(spark, sf):
-    return products.analyze_products(inputs.clean(spark, sf), losses="script").top_losses
+def _a4s(src):
+    return products.analyze_products(src.clean, losses="script").top_losses
 
 
 @register("a4_product_counts")
-def _a4c(spark, sf):
-    return products.analyze_products(inputs.clean(spark, sf)).counts
+def _a4c(src):
+    return products.analyze_products(src.clean).counts
 
 
 # --- customers -----------------------------------------------------------------------
 
 @register("a2_customer_revenue")
-def _a2(spark, sf):
-    return customers.customer_revenue(inputs.clean(spark, sf), inputs.domain(spark, sf))
+def _a2(src):
+    return customers.customer_revenue(src.clean, src.domain)
 
 
 @register("a5_purchases_per_customer")
-def _a5(spark, sf):
-    return customers.purchases_per_customer(inputs.clean(spark, sf), inputs.domain(spark, sf))
+def _a5(src):
+    return customers.purchases_per_customer(src.clean, src.domain)
 
 
 @register("a6_customer_base")
-def _a6(spark, sf):
-    return customers.customer_base(inputs.clean(spark, sf), inputs.domain(spark, sf))
+def _a6(src):
+    return customers.customer_base(src.clean, src.domain)
 
 
 @register("a12_customer_summary")
-def _a12(spark, sf):
-    return customers.customer_summary(inputs.clean(spark, sf), inputs.domain(spark, sf))
+def _a12(src):
+    return customers.customer_summary(src.clean, src.domain)
 
 
 @register("a29_rfm_base")
-def _a29(spark, sf):
-    return customers.rfm_base(inputs.sales(spark, sf))
+def _a29(src):
+    return customers.rfm_base(src.sales)
 
 
 @register("a30_quartile_segments")
-def _a30(spark, sf):
-    return customers.quartile_segments(customers.rfm_base(inputs.sales(spark, sf)))
+def _a30(src):
+    return customers.quartile_segments(customers.rfm_base(src.sales))
 
 
 @register("a39_spend_segments")
-def _a39(spark, sf):
-    return customers.spend_segments(inputs.summary_table(spark, sf))
+def _a39(src):
+    return customers.spend_segments(src.summary_table)
 
 
 # --- KPIs -------------------------------------------------------------------------------
 
 @register("a13_pipeline_summary")
-def _a13(spark, sf):
-    c = inputs.clean(spark, sf)
-    summ = customers.customer_summary(c, inputs.domain(spark, sf), sort=False)
-    return kpi.pipeline_summary(c, summ, products.analyze_products(c).counts)
+def _a13(src):
+    c = src.clean
+    return kpi.pipeline_summary(c, src.summary, products.analyze_products(c).counts)
 
 
 @register("a14_date_bounds")
-def _a14(spark, sf):
-    return kpi.date_bounds(inputs.sales(spark, sf))
+def _a14(src):
+    return kpi.date_bounds(src.sales)
 
 
 @register("a15_data_period")
-def _a15(spark, sf):
-    return kpi.data_period(inputs.sales(spark, sf)).drop("data_period")
+def _a15(src):
+    return kpi.data_period(src.sales).drop("data_period")
 
 
 @register("a16_countries")
-def _a16c(spark, sf):
-    return kpi.distinct_values(inputs.sales(spark, sf), "country")
+def _a16c(src):
+    return kpi.distinct_values(src.sales, "country")
 
 
 @register("a16_products")
-def _a16p(spark, sf):
-    return kpi.distinct_values(inputs.sales(spark, sf), "description")
+def _a16p(src):
+    return kpi.distinct_values(src.sales, "description")
 
 
 @register("a17_kpi_block")
-def _a17(spark, sf):
-    s = inputs.sales(spark, sf)
+def _a17(src):
+    s = src.sales
     return kpi.kpi_block(s, quick_filters(s, QUICK))
 
 
 @register("a17_kpi_block_all_dates")
-def _a17a(spark, sf):
-    return kpi.kpi_block(inputs.sales(spark, sf), Filters())
+def _a17a(src):
+    return kpi.kpi_block(src.sales, Filters())
 
 
 @register("a20_kpi_cards")
-def _a20(spark, sf):
-    s = inputs.sales(spark, sf)
+def _a20(src):
+    s = src.sales
     return kpi.kpi_cards(kpi.kpi_block(s, quick_filters(s, QUICK)))
 
 
 @register("a38_financial_summary")
-def _a38(spark, sf):
-    return kpi.financial_summary(inputs.sales(spark, sf))
+def _a38(src):
+    return kpi.financial_summary(src.sales)
 
 
 @register("a40_report_kpis")
-def _a40(spark, sf):
-    return kpi.report_kpis(inputs.sales(spark, sf), RUN_ID)
+def _a40(src):
+    return kpi.report_kpis(src.sales, RUN_ID)
 
 
 @register("a41_notebook_kpis")
-def _a41(spark, sf):
-    return kpi.notebook_kpis(inputs.sales(spark, sf))
+def _a41(src):
+    return kpi.notebook_kpis(src.sales)
 
 
 # --- trends ----------------------------------------------------------------------------------
 
 @register("a21_monthly_yoy")
-def _a21y(spark, sf):
-    s = inputs.sales(spark, sf)
+def _a21y(src):
+    s = src.sales
     return trends.monthly_comparison(s, quick_filters(s, QUICK), "yoy")
 
 
 @register("a21_monthly_prev")
-def _a21p(spark, sf):
-    s = inputs.sales(spark, sf)
+def _a21p(src):
+    s = src.sales
     return trends.monthly_comparison(s, quick_filters(s, QUICK), "prev")
 
 
 @register("a22_monthly_revenue")
-def _a22(spark, sf):
-    return trends.monthly_revenue(inputs.sales(spark, sf))
+def _a22(src):
+    return trends.monthly_revenue(src.sales)
 
 
 @register("a23_monthly_positive")
-def _a23(spark, sf):
-    return trends.monthly_positive_revenue(inputs.sales(spark, sf))
+def _a23(src):
+    return trends.monthly_positive_revenue(src.sales)
 
 
 @register("a24_monthly_sales")
-def _a24(spark, sf):
-    return trends.monthly_sales(inputs.sales(spark, sf))
+def _a24(src):
+    return trends.monthly_sales(src.sales)
 
 
 @register("a25_peak_month")
-def _a25(spark, sf):
-    return trends.peak_month(trends.monthly_sales(inputs.sales(spark, sf)))
+def _a25(src):
+    return trends.peak_month(trends.monthly_sales(src.sales))
 
 
 @register("a26_sales_by_weekday")
-def _a26(spark, sf):
-    return trends.sales_by_weekday(inputs.sales(spark, sf))
+def _a26(src):
+    return trends.sales_by_weekday(src.sales)
 
 
 @register("a27_hour_weekday_revenue")
-def _a27(spark, sf):
-    return trends.hour_weekday_revenue(inputs.sales(spark, sf))
+def _a27(src):
+    return trends.hour_weekday_revenue(src.sales)
 
 
 @register("a28_hour_weekday_heatmap")
-def _a28(spark, sf):
-    return trends.hour_weekday_heatmap(inputs.sales(spark, sf))
+def _a28(src):
+    return trends.hour_weekday_heatmap(src.sales)
 
 
 # --- rankings --------------------------------------------------------------------------------
 
 @register("a31_country_revenue")
-def _a31(spark, sf):
-    return rankings.country_revenue(inputs.sales(spark, sf))
+def _a31(src):
+    return rankings.country_revenue(src.sales)
 
 
 @register("a32_top_products")
-def _a32(spark, sf):
-    return rankings.top_products(inputs.sales(spark, sf))
+def _a32(src):
+    return rankings.top_products(src.sales)
 
 
 @register("a33_selected_products")
-def _a33(spark, sf):
-    return rankings.selected_products(inputs.sales(spark, sf), PRODUCTS)
+def _a33(src):
+    return rankings.selected_products(src.sales, PRODUCTS)
 
 
 @register("a34_top_products_by_volume")
-def _a34(spark, sf):
-    return rankings.top_products_by_volume(inputs.sales(spark, sf))
+def _a34(src):
+    return rankings.top_products_by_volume(src.sales)
 
 
 @register("a35_top_countries_positive")
-def _a35(spark, sf):
-    return rankings.top_countries(inputs.sales(spark, sf), positive_only=True)
+def _a35(src):
+    return rankings.top_countries(src.sales, positive_only=True)
 
 
 @register("a36_top_countries_all")
-def _a36(spark, sf):
-    return rankings.top_countries(inputs.sales(spark, sf), positive_only=False)
+def _a36(src):
+    return rankings.top_countries(src.sales, positive_only=False)
 
 
 @register("a37_countries_by_lines")
-def _a37(spark, sf):
-    return rankings.countries_by_lines(inputs.sales(spark, sf))
+def _a37(src):
+    return rankings.countries_by_lines(src.sales)
 
 
 _ = QUICK_RANGE_DAYS
