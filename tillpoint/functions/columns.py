@@ -108,8 +108,14 @@ def month_start(ts="invoicedate") -> Column:
 
 
 def whole_days_between(start, end) -> Column:
-    """Whole 24-hour periods from ``start`` to ``end`` (not calendar-day crossings)."""
-    return F.timestamp_diff("DAY", col_or_name(start), col_or_name(end))
+    """Whole 24-hour periods from ``start`` to ``end`` (not calendar-day crossings).
+
+    Taken from the zone-less day-time interval ``end - start``, so the count
+    never depends on the session time zone (no daylight-saving hours).
+    """
+    s = col_or_name(start).cast("timestamp_ntz")
+    e = col_or_name(end).cast("timestamp_ntz")
+    return F.extract(F.lit("DAY"), e - s).cast("bigint")
 
 
 def shift_days(ts, days) -> Column:

@@ -22,6 +22,7 @@ from ..functions.columns import (
 from ..schema import RAW_SCHEMA, UNKNOWN_CUSTOMER, UNKNOWN_PRODUCT
 
 SALES_KEY = ("invoiceno", "stockcode", "customerid")
+LINE_KEY = ("InvoiceNo", "StockCode", "CustomerID")  # the same key, source-file names
 
 
 def fill_missing(df: DataFrame, description: str = UNKNOWN_PRODUCT,
@@ -42,9 +43,17 @@ def parse_timestamp(df: DataFrame, column: str = "InvoiceDate", fmt: str | None
     return df.withColumn(column, parsed)
 
 
-def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """Whole-line dedup (NULLs compare equal). One shuffle on all columns,
-    partially aggregated on the map side."""
+def drop_exact_duplicates(df: DataFrame, cluster_by=None) -> DataFrame:
+    """Whole-line dedup (NULLs compare equal).
+
+    Without ``cluster_by`` Spark shuffles on all columns. With it, the lines
+    are hash-partitioned on those columns only; that partitioning still
+    satisfies the all-column grouping, and a later stage grouped by the same
+    columns (the key dedup of the table load) reuses it: one shuffle serves
+    both dedups.
+    """
+    if cluster_by:
+        df = df.repartition(*[F.col(c) for c in cluster_by])
     return df.dropDuplicates()
 
 
@@ -79,7 +88,7 @@ def handle_quantity_and_price(df: DataFrame) -> DataFrame:
 def clean_transactions(raw: DataFrame) -> DataFrame:
     """Raw lines -> cleaned lines (raw columns + 7 derived columns)."""
     filled = coerce_types(fill_missing(raw))
-    return revenue_columns(handle_quantity_and_price(drop_exact_duplicates(filled)))
+    return revenue_columns(handle_quantity_and_price(drop_exact_duplicates(filled, LINE_KEY)))
 
 
 def customer_domain(raw: DataFrame) -> DataFrame:

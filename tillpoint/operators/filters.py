@@ -114,8 +114,22 @@ def data_bounds(df: DataFrame, ts: str = "invoicedate") -> tuple[Column, Column]
     return df.select(F.min(ts)).scalar(), df.select(F.max(ts)).scalar()
 
 
-def quick_range(df: DataFrame, option: str, ts: str = "invoicedate") -> tuple[Column, Column]:
-    """('30d' | 'quarter' | 'year' | 'all') window ending at the latest line."""
+def quick_range(df: DataFrame, option: str, ts: str = "invoicedate", resolve: bool = True):
+    """('30d' | 'quarter' | 'year' | 'all') window ending at the latest line.
+
+    resolve=True (default) runs one bounded aggregate (a single row: min and
+    max of ``ts``) and returns literal bounds, as the dashboard does once at
+    startup. Literal bounds reach the Parquet scan as pushed filters
+    (row-group / partition skipping); resolve=False returns lazy
+    scalar-subquery columns instead, which filter only after the scan.
+    """
+    if resolve:
+        b = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+        if b is None or b.hi is None:
+            return None, None
+        if option in QUICK_RANGE_DAYS:
+            return b.hi - dt.timedelta(days=QUICK_RANGE_DAYS[option]), b.hi
+        return b.lo, b.hi
     lo, hi = data_bounds(df, ts)
     if option in QUICK_RANGE_DAYS:
         return shift_days(hi, -QUICK_RANGE_DAYS[option]), hi
@@ -123,8 +137,8 @@ def quick_range(df: DataFrame, option: str, ts: str = "invoicedate") -> tuple[Co
 
 
 def quick_filters(df: DataFrame, option: str, country: str | None = None, products=None,
-                  ts: str = "invoicedate") -> Filters:
-    start, end = quick_range(df, option, ts)
+                  ts: str = "invoicedate", resolve: bool = True) -> Filters:
+    start, end = quick_range(df, option, ts, resolve)
     return Filters(country=country, start=start, end=end, products=products)
 
 
