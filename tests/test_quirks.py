@@ -223,6 +223,9 @@ def test_quick_ranges_anchor_at_latest_line(spark):
             ("2", "A", "x", 1, "2011-12-09 12:50", 1, "c", "F")]
     s = _sales(spark, rows)
     f = quick_filters(s, "30d")
-    r = s.select(f.start.alias("s"), f.end.alias("e")).first()
-    assert (r.s, r.e) == (ts("2011-11-09 12:50"), ts("2011-12-09 12:50"))
+    assert (f.start, f.end) == (ts("2011-11-09 12:50"), ts("2011-12-09 12:50"))
     assert apply_filters(s, f).count() == 1
+    lazy = quick_filters(s, "30d", resolve=False)  # scalar subqueries, same bounds
+    r = spark.range(1).select(lazy.start.alias("s"), lazy.end.alias("e")).first()
+    assert (r.s, r.e) == (f.start, f.end)
+    assert apply_filters(s, lazy).count() == 1

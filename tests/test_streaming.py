@@ -1,0 +1,18 @@
+"""The streaming ingest equals the batch cleaning on the same files."""
+
+from tests.conftest import SF001
+from tillpoint.fixture import raw_transactions
+from tillpoint.operators.clean import clean_transactions
+from tillpoint.streaming import start_ingest
+
+
+def test_available_now_ingest_matches_batch(spark, scratch):
+    raw = raw_transactions(spark, SF001)
+    raw.repartition(3).write.parquet(f"{scratch}/landing")  # three files landing
+    q = start_ingest(spark, f"{scratch}/landing", f"{scratch}/table", f"{scratch}/ckpt", fmt="parquet",
+                     watermark="36500 days", max_files_per_trigger=1)
+    q.awaitTermination(300)
+    got = spark.read.parquet(f"{scratch}/table")
+    want = clean_transactions(raw)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

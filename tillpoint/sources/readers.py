@@ -14,7 +14,8 @@ def read_transactions(spark: SparkSession, path: str, fmt: str = "csv", schema=R
     """SK1: raw invoice lines from a CSV (with header) or Parquet folder.
 
     CSV is read with the declared schema (splittable, no inference pass);
-    Parquet columns are cast to it so later stages see the same types.
+    an empty field reads as NULL, as in any CSV interchange. Parquet columns
+    are cast to the schema so later stages see the same types.
     """
     if fmt == "csv":
         r = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")

@@ -1,0 +1,8 @@
+"""Incremental ingestion: the cleaning chain on a file stream.
+
+The analysed application has no streaming operators; this package only
+re-expresses its load path (read raw lines, clean, append to the table) for
+files that keep arriving, with Structured Streaming's exactly-once file sink.
+"""
+
+from .ingest import clean_stream, start_ingest  # noqa: F401
