@@ -63,9 +63,19 @@ def test_unknown_customer_filtered_at_scan(wh):
     assert "Not(EqualTo(CustomerID,Unknown))" in p
 
 
-def test_cleaning_dedups_share_one_shuffle(spark):
+def test_sales_table_is_one_map_side_combined_shuffle(spark):
     from tillpoint.plans.inputs import FixtureInputs
 
-    p = main_plan(FixtureInputs(spark, SF001).sales)
+    p = plan(FixtureInputs(spark, SF001).sales)
     hashed = [line for line in p.splitlines() if "Exchange hashpartitioning" in line]
-    assert len(hashed) == 1 and "InvoiceNo" in hashed[0] and "CustomerID" in hashed[0]
+    assert len(hashed) == 1 and "invoiceno" in hashed[0] and "customerid" in hashed[0]
+    assert "partial_min" in p  # copies and hot keys are combined before the shuffle
+
+
+def test_exact_dedup_combines_copies_before_shuffle(spark):
+    from tillpoint.plans.inputs import FixtureInputs
+
+    p = plan(FixtureInputs(spark, SF001).clean)
+    agg_lines = [i for i, line in enumerate(p.splitlines()) if "HashAggregate" in line or "Exchange hash" in line]
+    kinds = ["X" if "Exchange" in p.splitlines()[i] else "A" for i in agg_lines]
+    assert kinds[:3] == ["A", "X", "A"]  # final dedup, shuffle, partial dedup (top-down)

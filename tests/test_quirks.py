@@ -229,3 +229,31 @@ def test_quick_ranges_anchor_at_latest_line(spark):
     r = spark.range(1).select(lazy.start.alias("s"), lazy.end.alias("e")).first()
     assert (r.s, r.e) == (f.start, f.end)
     assert apply_filters(s, lazy).count() == 1
+
+
+def test_duplicate_rows_chunked_large_group(spark):
+    from tillpoint.operators import quality
+
+    rows = [("1", "A", "x", 1, "2011-01-01 10:00", 1, "c", "F")] * 25 + \
+           [("2", "A", "x", 1, "2011-01-01 10:00", 1, "c", "F")] * 3 + \
+           [("3", "A", "x", 1, "2011-01-01 10:00", 1, "c", "F")]
+    df = raw_df(spark, rows)
+    got = quality.duplicate_rows(df, chunk=4).groupBy("InvoiceNo").count().collect()
+    assert sorted((r[0], r[1]) for r in got) == [("1", 24), ("2", 2)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 50])
+def test_exact_quantiles_match_numpy_and_split_hot_group(spark, n):
+    import numpy as np
+
+    rng = np.random.default_rng(n)
+    hot = [float(x) for x in rng.integers(-500, 5000, size=n * 40) / 4]  # ties included
+    small = [float(x) for x in rng.integers(0, 100, size=n)]
+    rows = [("hot", v) for v in hot] + [("small", v) for v in small] + [(None, 1.0), (None, 3.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    got = {r.g: r._q for r in customers.exact_quantiles(df, "v", [0.25, 0.5, 0.75], ["g"]).collect()}
+    for key, vals in (("hot", hot), ("small", small), (None, [1.0, 3.0])):
+        want = np.quantile(np.array(vals), [0.25, 0.5, 0.75])
+        assert got[key] == pytest.approx(list(want), rel=1e-12, abs=1e-9)
+    whole = customers.exact_quantiles(df, "v", [0.5], []).first()._q[0]
+    assert whole == pytest.approx(float(np.quantile(np.array(hot + small + [1.0, 3.0]), 0.5)))

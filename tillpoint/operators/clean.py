@@ -46,11 +46,14 @@ def parse_timestamp(df: DataFrame, column: str = "InvoiceDate", fmt: str | None
 def drop_exact_duplicates(df: DataFrame, cluster_by=None) -> DataFrame:
     """Whole-line dedup (NULLs compare equal).
 
-    Without ``cluster_by`` Spark shuffles on all columns. With it, the lines
-    are hash-partitioned on those columns only; that partitioning still
-    satisfies the all-column grouping, and a later stage grouped by the same
-    columns (the key dedup of the table load) reuses it: one shuffle serves
-    both dedups.
+    Default plan: a partial (map-side) dedup, a shuffle on all columns, a
+    final dedup. A group of identical copies, however large, is reduced to
+    one line per task before the shuffle.
+
+    ``cluster_by`` instead hash-partitions on those columns first, so a later
+    stage grouped by them reuses the partitioning; but then the copies are
+    not combined map-side, and one huge group of copies would land in one
+    task. Only for inputs known to have small copy groups.
     """
     if cluster_by:
         df = df.repartition(*[F.col(c) for c in cluster_by])
@@ -88,7 +91,7 @@ def handle_quantity_and_price(df: DataFrame) -> DataFrame:
 def clean_transactions(raw: DataFrame) -> DataFrame:
     """Raw lines -> cleaned lines (raw columns + 7 derived columns)."""
     filled = coerce_types(fill_missing(raw))
-    return revenue_columns(handle_quantity_and_price(drop_exact_duplicates(filled, LINE_KEY)))
+    return revenue_columns(handle_quantity_and_price(drop_exact_duplicates(filled)))
 
 
 def customer_domain(raw: DataFrame) -> DataFrame:
@@ -122,6 +125,19 @@ def dedup_keys(df: DataFrame, keys=SALES_KEY, order: list[str] | None = None) ->
         .select(*df.columns)
 
 
+def sales_from_raw(raw: DataFrame) -> DataFrame:
+    """``to_sales_table(clean_transactions(raw))`` in one shuffle.
+
+    The key dedup keeps, per key, the smallest remaining-column tuple; exact
+    duplicate lines share both key and tuple, so removing them first cannot
+    change which line survives. Skipping that step leaves a single
+    aggregate, combined map-side (safe for hot keys and for huge groups of
+    copies).
+    """
+    filled = coerce_types(fill_missing(raw))
+    return to_sales_table(revenue_columns(handle_quantity_and_price(filled)))
+
+
 def to_sales_table(clean: DataFrame) -> DataFrame:
     """Cleaned lines -> ``sales_data`` rows: lower-case names, one line per
     (invoice, stock code, customer), table column types."""

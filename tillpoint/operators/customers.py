@@ -8,7 +8,7 @@ are first grouped by (customer, invoice), which spreads it too).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import int_sum, mean, money_sum, ratio, whole_days_between
@@ -111,7 +111,61 @@ def rfm_base(sales: DataFrame, f: Filters | None = None, by=("country",)) -> Dat
     )
 
 
-def quartile_segments(rfm: DataFrame, by=("country",), value: str = "monetary", approx: bool = False,
+def exact_quantiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
+    """Linear-interpolated quantiles of ``value`` per ``by`` group, exactly,
+    without ever holding one group in one task.
+
+    1. Range-partition on (by, value) and sort within partitions: a hot group
+       is split over many partitions.
+    2. ``monotonically_increasing_id`` then numbers the rows of each
+       partition in sorted order; small per-(partition, group) counts give
+       each partition's rank offset inside its group.
+    3. Only the rows at the needed ranks (floor / ceil of (n - 1) * p) are
+       kept and combined: q = lo + (hi - lo) * t.
+
+    Returns (by..., ``_q`` array<double>) with one entry per probability.
+    """
+    keys = _by(by)
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    v = F.col(value).cast("double")
+    base = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull())
+    ordered = (base.repartitionByRange(parts, *[F.col(k) for k in keys], F.col("_v"))
+               .sortWithinPartitions(*keys, "_v")
+               .withColumn("_pid", F.spark_partition_id())
+               .withColumn("_pos", F.monotonically_increasing_id()))
+    stats = ordered.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_p0"))
+    w_before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy(*keys)
+    on = ["_pid"] + keys
+    offsets = stats.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(on)], "_p0",
+                           F.coalesce(F.sum("_c").over(w_before), F.lit(0)).alias("_off"),
+                           F.sum("_c").over(w_all).alias("_n"))
+    cond = [F.col(c).eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(on)]
+    ranked = ordered.join(offsets, on=cond).select(
+        *keys, "_v", "_n", (F.col("_off") + F.col("_pos") - F.col("_p0")).alias("_rank"))
+    n1 = (F.col("_n") - 1).cast("double")
+    lows = [F.floor(n1 * p) for p in probs]
+    highs = [F.ceil(n1 * p) for p in probs]
+    wanted = None
+    for r in lows + highs:
+        cond = F.col("_rank") == r
+        wanted = cond if wanted is None else wanted | cond
+    picks = ranked.filter(wanted)
+    aggs = [F.first("_n").alias("_n")]
+    for i, (lo, hi) in enumerate(zip(lows, highs)):
+        aggs += [F.max(F.when(F.col("_rank") == lo, F.col("_v"))).alias(f"_lo{i}"),
+                 F.max(F.when(F.col("_rank") == hi, F.col("_v"))).alias(f"_hi{i}")]
+    per_group = picks.groupBy(*keys).agg(*aggs)
+    cuts = []
+    for i, p in enumerate(probs):
+        t = n1 * p - F.floor(n1 * p)
+        lo_v, hi_v = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        cuts.append(lo_v + (hi_v - lo_v) * t)
+    return per_group.select(*keys, F.array(*cuts).alias("_q"))
+
+
+def quartile_segments(rfm: DataFrame, by=("country",), value: str = "monetary", method: str = "exact",
                       strict: bool = False, accuracy: int = 10000) -> DataFrame:
     """Bronze / Silver / Gold / Platinum by quartiles of ``value`` per ``by``.
 
@@ -120,16 +174,26 @@ def quartile_segments(rfm: DataFrame, by=("country",), value: str = "monetary",
     (count 0, mean NULL when empty). Repeated cut points put a value into
     the lowest matching bin; ``strict=True`` raises instead.
 
-    Plan: one aggregate for the cut points per group, joined back on the
-    group key (group-grain, so AQE broadcasts it when small), then one
-    conditional aggregate per group unpivoted to four rows. Exact percentiles
-    keep each group's distinct values; ``approx=True`` bounds that memory.
+    method: 'exact' (default) = ``exact_quantiles``, skew-safe; 'percentile'
+    = Spark's exact ``percentile`` aggregate (one shuffle, but each group's
+    distinct values meet in one task); 'approx' = ``percentile_approx``
+    (bounded sketch, approximate cuts).
+
+    The cut points are group-grain and joined back on the group key (AQE
+    broadcasts them when measured small), then one conditional aggregate per
+    group is unpivoted to four rows.
     """
     keys = _by(by)
     v = F.col(value).cast("double")
     probs = [0.25, 0.5, 0.75]
-    q = F.percentile_approx(v, probs, accuracy) if approx else F.percentile(v, F.array(*[F.lit(p) for p in probs]))
-    cuts = rfm.groupBy(*keys).agg(q.alias("_q"))
+    if method == "exact":
+        cuts = exact_quantiles(rfm, value, probs, keys)
+    elif method == "percentile":
+        cuts = rfm.groupBy(*keys).agg(F.percentile(v, F.array(*[F.lit(p) for p in probs])).alias("_q"))
+    elif method == "approx":
+        cuts = rfm.groupBy(*keys).agg(F.percentile_approx(v, probs, accuracy).alias("_q"))
+    else:
+        raise ValueError(f"unknown quantile method {method!r}")
     if keys:
         renamed = cuts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_q")
         cond = [rfm[k].eqNullSafe(renamed[f"_k_{k}"]) for k in keys]

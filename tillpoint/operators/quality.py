@@ -27,15 +27,25 @@ def duplicate_profile(df: DataFrame) -> DataFrame:
     return out.withColumn("removed_pct", ratio(F.col("duplicate_rows") * 100, "total_rows"))
 
 
-def duplicate_rows(df: DataFrame, sample: int | None = None) -> DataFrame:
+def duplicate_rows(df: DataFrame, sample: int | None = None, chunk: int = 100_000) -> DataFrame:
     """The redundant copies (n - 1 per identical group of n lines).
 
-    Copies are regenerated per group with ``explode(sequence)``: linear in the
-    output, never pairs. ``sample`` returns the first lines in column order.
+    Copies are regenerated from the group counts with ``explode(sequence)``:
+    linear in the output, never pairs. A group of copies larger than
+    ``chunk`` is first split into chunk descriptors spread over all shuffle
+    partitions, so no single task regenerates a huge group. ``sample``
+    returns the first lines in column order.
     """
     cols = df.columns
     g = _groups(df).filter(F.col("_n") > 1)
-    out = g.select(*cols, F.explode(F.sequence(F.lit(2), F.col("_n"))).alias("_copy")).select(*cols)
+    n = F.col("_n")
+    pieces = g.select(*cols, n.alias("_n"),
+                      F.explode(F.sequence(F.lit(0), F.floor((n - 2) / F.lit(chunk)).cast("long"))).alias("_chunk"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = pieces.repartition(parts, *[F.col(c) for c in cols], F.col("_chunk"))
+    lo = F.lit(2) + F.col("_chunk") * F.lit(chunk)
+    hi = F.least(F.col("_n"), lo + F.lit(chunk - 1))
+    out = spread.select(*cols, F.explode(F.sequence(lo, hi)).alias("_copy")).select(*cols)
     if sample is not None:
         out = out.orderBy(*[F.col(c).asc_nulls_first() for c in cols]).limit(sample)
     return out

@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..fixture import raw_transactions
-from ..operators.clean import clean_transactions, customer_domain, lowercase_columns, to_sales_table
+from ..operators.clean import clean_transactions, customer_domain, lowercase_columns, sales_from_raw
 from ..operators.customers import customer_summary
 from ..schema import SUMMARY_SCHEMA
 from ..sources.tables import conform
@@ -41,7 +41,7 @@ class FixtureInputs:
 
     @cached_property
     def sales(self) -> DataFrame:
-        return to_sales_table(self.clean)
+        return sales_from_raw(self.raw)
 
     @cached_property
     def summary(self) -> DataFrame:
