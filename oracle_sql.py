@@ -220,6 +220,18 @@ SELECT invoiceno, stockcode, customerid, invoiceno || '-' || stockcode || '-' ||
 oracle("p12_product_labels", "sales", "SELECT DISTINCT description, substring(description, 1, 30) AS label FROM sales")
 
 # --- filters ---------------------------------------------------------------------
+oracle("f2_country_lines", "sales", f"SELECT * FROM sales WHERE country = '{COUNTRY}'")
+oracle("f3_date_range_lines", "sales", """
+SELECT * FROM sales
+WHERE invoicedate BETWEEN TIMESTAMP '1998-01-01 00:00:00' AND TIMESTAMP '1999-12-31 00:00:00'""")
+oracle("f6_known_country_lines", "sales",
+       "SELECT * FROM sales WHERE country IS NOT NULL AND country <> 'Unspecified'")
+oracle("f7_nonblank_country_lines", "sales", "SELECT * FROM sales WHERE country IS NOT NULL AND country <> ''")
+oracle("f8_positive_revenue_lines", "sales", "SELECT * FROM sales WHERE net_revenue > 0")
+oracle("f9_lines_with_items", "sales", "SELECT * FROM sales WHERE total_items > 0")
+oracle("f10_lines_with_sales", "sales", "SELECT * FROM sales WHERE sale_qty > 0")
+oracle("f14_positive_customers", "clean", "SELECT * FROM ctable WHERE total_net_revenue > 0",
+       DOMAIN + "," + CUSTOMER_AGG)
 oracle("f4_selected_product_lines", "sales", f"SELECT * FROM sales WHERE description IN {PRODUCTS}")
 oracle("f11_non_product_lines", "clean",
        "SELECT * FROM clean WHERE StockCode IN ('S', 'D', 'BANK CHARGES', 'CRUK', 'M', 'AMAZONFEE')")
@@ -440,6 +452,21 @@ SELECT country,
             ELSE format('{:+.1f}', growth_pct) || '%' END AS growth_card,
        '$' || format('{:,.0f}', revenue_per_customer) AS revenue_per_customer_card
 FROM kpis""", WINDOW + "," + _src + "," + _agg)
+oracle("p13_formatted_metrics", "sales", f"""
+SELECT metric, value, format,
+       CASE WHEN value IS NULL THEN '0'
+            WHEN format = 'currency' THEN '$' || format('{{:,.2f}}', value)
+            WHEN format = 'count' THEN format('{{:,}}', CAST(trunc(value) AS BIGINT))
+            WHEN format = 'percent' THEN format('{{:.1f}}', value) || '%'
+            ELSE format('{{:.2f}}', value) END AS display
+FROM (
+  SELECT 'total_net_revenue' AS metric, CAST(SUM(net_revenue) AS DOUBLE) AS value, 'currency' AS format FROM sales
+  UNION ALL SELECT 'unique_products', CAST(COUNT(DISTINCT stockcode) AS DOUBLE), 'count' FROM sales
+  UNION ALL SELECT 'return_pct', CAST(SUM(return_qty) * 100 AS DOUBLE) / CAST(SUM(sale_qty) AS DOUBLE), 'percent'
+            FROM sales
+  UNION ALL SELECT 'revenue_per_customer',
+            CAST(CAST(SUM(net_revenue) AS {M2}) / COUNT(DISTINCT customerid) AS DOUBLE), 'other' FROM sales
+)""")
 oracle("a38_financial_summary", "sales", f"""
 SELECT CAST(SUM(revenue) AS {M2}) AS total_revenue, CAST(SUM(net_revenue) AS {M2}) AS total_net_revenue,
        CAST(SUM(sale_qty) AS BIGINT) AS total_items_sold, CAST(SUM(return_qty) AS BIGINT) AS total_items_returned,

@@ -117,6 +117,77 @@ def _p12(src):
 
 # --- filters ----------------------------------------------------------------------
 
+@register("f2_country_lines")
+def _f2(src):
+    from ..operators.filters import apply_filters
+
+    return apply_filters(src.sales, Filters(country=COUNTRY))
+
+
+@register("f3_date_range_lines")
+def _f3(src):
+    from ..operators.filters import apply_filters
+
+    return apply_filters(src.sales, Filters(start=EXPORT_START, end=EXPORT_END))
+
+
+@register("f6_known_country_lines")
+def _f6(src):
+    from ..operators.filters import known_country
+
+    return src.sales.filter(known_country("country"))
+
+
+@register("f7_nonblank_country_lines")
+def _f7(src):
+    from ..operators.filters import non_blank
+
+    return src.sales.filter(non_blank("country"))
+
+
+@register("f8_positive_revenue_lines")
+def _f8(src):
+    from ..operators.filters import positive
+
+    return src.sales.filter(positive("net_revenue"))
+
+
+@register("f9_lines_with_items")
+def _f9(src):
+    from ..operators.filters import positive
+
+    return src.sales.filter(positive("total_items"))
+
+
+@register("f10_lines_with_sales")
+def _f10(src):
+    from ..operators.filters import positive
+
+    return src.sales.filter(positive("sale_qty"))
+
+
+@register("f14_positive_customers")
+def _f14(src):
+    from ..operators.filters import positive
+
+    return src.summary_table.filter(positive("total_net_revenue"))
+
+
+@register("p13_formatted_metrics")
+def _p13(src):
+    from ..functions.format import format_value
+
+    one = kpi.financial_summary(src.sales)
+    rows = [("total_net_revenue", F.col("total_net_revenue"), "currency"),
+            ("unique_products", F.col("unique_products"), "count"),
+            ("return_pct", F.col("total_items_returned") * 100 / F.col("total_items_sold"), "percent"),
+            ("revenue_per_customer", F.col("total_net_revenue") / F.col("unique_customers"), "other")]
+    long = one.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("metric"), v.cast("double").alias("value"), F.lit(f).alias("format"))
+        for n, v, f in rows])))
+    return long.withColumn("display", format_value("value", F.col("format")))
+
+
 @register("f4_selected_product_lines")
 def _f4(src):
     from ..operators.filters import apply_filters
