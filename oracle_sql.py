@@ -462,10 +462,9 @@ SELECT metric, value, format,
 FROM (
   SELECT 'total_net_revenue' AS metric, CAST(SUM(net_revenue) AS DOUBLE) AS value, 'currency' AS format FROM sales
   UNION ALL SELECT 'unique_products', CAST(COUNT(DISTINCT stockcode) AS DOUBLE), 'count' FROM sales
-  UNION ALL SELECT 'return_pct', CAST(SUM(return_qty) * 100 AS DOUBLE) / CAST(SUM(sale_qty) AS DOUBLE), 'percent'
+  UNION ALL SELECT 'return_pct', {ratio('SUM(return_qty) * 100', 'SUM(sale_qty)')}, 'percent' FROM sales
+  UNION ALL SELECT 'revenue_per_customer', {ratio('SUM(net_revenue)', 'COUNT(DISTINCT customerid)')}, 'other'
             FROM sales
-  UNION ALL SELECT 'revenue_per_customer',
-            CAST(CAST(SUM(net_revenue) AS {M2}) / COUNT(DISTINCT customerid) AS DOUBLE), 'other' FROM sales
 )""")
 oracle("a38_financial_summary", "sales", f"""
 SELECT CAST(SUM(revenue) AS {M2}) AS total_revenue, CAST(SUM(net_revenue) AS {M2}) AS total_net_revenue,

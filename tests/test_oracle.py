@@ -38,9 +38,9 @@ def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 9)
+        return None if math.isnan(v) else repr(v)  # exact, as a value hash would be
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 9)
+        return str(v.normalize()) if v != 0 else "0"
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, dt.date):

@@ -42,10 +42,11 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     buyers = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     headers = orders.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
-    # lines x orders is the large join (both grow with the data): a shuffled
-    # hash join on the order key, never a broadcast of either side. The
-    # shuffle also spreads the driver's single-row-group files over all cores.
-    lines = (lineitem.join(headers.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # lines x orders is the large join (both grow with the data): a
+    # sort-merge join on the order key (spills, never a broadcast of either
+    # side). The shuffle also spreads the driver's single-row-group files
+    # over all cores.
+    lines = (lineitem.join(headers.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
              .join(part, F.col("l_partkey") == F.col("p_partkey")))
 
     pk, ok, ck, nk = (F.col(c) for c in ("l_partkey", "l_orderkey", "o_custkey", "n_nationkey"))

@@ -20,6 +20,7 @@ from ..schema import (
     VALUE_NEGATIVE,
     VALUE_POSITIVE,
 )
+from ..session import ensure_checkpoint_dir
 from .filters import Filters, apply_filters, known_customer
 
 MONEY = "decimal(38,2)"
@@ -118,8 +119,9 @@ def exact_quantiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
     1. Range-partition on (by, value) and sort within partitions: a hot group
        is split over many partitions.
     2. ``monotonically_increasing_id`` then numbers the rows of each
-       partition in sorted order; small per-(partition, group) counts give
-       each partition's rank offset inside its group.
+       partition in sorted order (materialised once by a checkpoint); small
+       per-(partition, group) counts give each partition's rank offset
+       inside its group.
     3. Only the rows at the needed ranks (floor / ceil of (n - 1) * p) are
        kept and combined: q = lo + (hi - lo) * t.
 
@@ -130,10 +132,16 @@ def exact_quantiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = F.col(value).cast("double")
     base = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull())
-    ordered = (base.repartitionByRange(parts, *[F.col(k) for k in keys], F.col("_v"))
-               .sortWithinPartitions(*keys, "_v")
-               .withColumn("_pid", F.spark_partition_id())
-               .withColumn("_pos", F.monotonically_increasing_id()))
+    numbered = (base.repartitionByRange(parts, *[F.col(k) for k in keys], F.col("_v"))
+                .sortWithinPartitions(*keys, "_v")
+                .withColumn("_pid", F.spark_partition_id())
+                .withColumn("_pos", F.monotonically_increasing_id()))
+    # The numbering is read twice (counts, then ranks). A reliable checkpoint
+    # in the shared checkpoint folder fixes it once: both reads see the same
+    # partition bounds and positions, even if the range exchange were planned
+    # twice (its sampled bounds could differ) or an executor were lost.
+    ensure_checkpoint_dir(spark)
+    ordered = numbered.checkpoint(eager=True)
     stats = ordered.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_p0"))
     w_before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*keys)

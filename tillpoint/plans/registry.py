@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import composite_key, label30
+from ..functions.columns import composite_key, label30, ratio
 from ..operators import clean as C
 from ..operators import customers, kpi, products, quality, rankings, trends
 from ..operators.filters import Filters, previous_period, quick_filters, quick_ranges
@@ -180,8 +180,8 @@ def _p13(src):
     one = kpi.financial_summary(src.sales)
     rows = [("total_net_revenue", F.col("total_net_revenue"), "currency"),
             ("unique_products", F.col("unique_products"), "count"),
-            ("return_pct", F.col("total_items_returned") * 100 / F.col("total_items_sold"), "percent"),
-            ("revenue_per_customer", F.col("total_net_revenue") / F.col("unique_customers"), "other")]
+            ("return_pct", ratio(F.col("total_items_returned") * 100, "total_items_sold"), "percent"),
+            ("revenue_per_customer", ratio("total_net_revenue", "unique_customers"), "other")]
     long = one.select(F.inline(F.array(*[
         F.struct(F.lit(n).alias("metric"), v.cast("double").alias("value"), F.lit(f).alias("format"))
         for n, v, f in rows])))
