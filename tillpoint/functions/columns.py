@@ -103,8 +103,12 @@ def weekday_abbr(ts="invoicedate") -> Column:
 
 
 def month_start(ts="invoicedate") -> Column:
-    """First instant of the month, zone-less (date_trunc yields a zoned timestamp)."""
-    return F.date_trunc("month", col_or_name(ts)).cast("timestamp_ntz")
+    """First instant of the month as a zone-less timestamp.
+
+    Truncates the calendar date and casts it back: no step goes through the
+    session time zone (``date_trunc`` on a timestamp would).
+    """
+    return F.trunc(F.to_date(col_or_name(ts)), "month").cast("timestamp_ntz")
 
 
 def whole_days_between(start, end) -> Column:
