@@ -257,3 +257,10 @@ def test_exact_quantiles_match_numpy_and_split_hot_group(spark, n):
         assert got[key] == pytest.approx(list(want), rel=1e-12, abs=1e-9)
     whole = customers.exact_quantiles(df, "v", [0.5], []).first()._q[0]
     assert whole == pytest.approx(float(np.quantile(np.array(hot + small + [1.0, 3.0]), 0.5)))
+
+
+def test_shuffle_partition_sizing():
+    from tillpoint.session import shuffle_partitions_for
+
+    assert shuffle_partitions_for(10 << 20) == 8
+    assert shuffle_partitions_for(100 * 10**12) == 372530

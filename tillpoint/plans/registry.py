@@ -15,7 +15,6 @@ from ..functions.columns import composite_key, label30, ratio
 from ..operators import clean as C
 from ..operators import customers, kpi, products, quality, rankings, trends
 from ..operators.filters import Filters, previous_period, quick_filters, quick_ranges
-from ..schema import QUICK_RANGE_DAYS
 from ..sources import sinks
 from ..sources.tables import run_sql
 from . import inputs
@@ -526,5 +525,3 @@ def _a36(src):
 def _a37(src):
     return rankings.countries_by_lines(src.sales)
 
-
-_ = QUICK_RANGE_DAYS

@@ -20,12 +20,20 @@ BASE_CONF = {
 }
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20, minimum: int = 8) -> int:
+    """Shuffle partition count so each partition holds about ``target_bytes``
+    of the largest shuffled input (e.g. 100 TB of lines -> ~400k partitions;
+    AQE coalesces the small ones and splits skewed ones at runtime)."""
+    return max(minimum, -(-int(input_bytes) // int(target_bytes)))
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tillpoint",
                   extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings the operators assume.
 
     On a cluster pass ``master=None`` so the launcher's master is kept, and
-    size ``shuffle_partitions`` to the input (AQE coalesces small ones).
+    size ``shuffle_partitions`` to the input with ``shuffle_partitions_for``
+    (AQE coalesces small partitions and splits skewed ones).
     """
     b = SparkSession.builder.appName(app)
     if master:
