@@ -15,7 +15,8 @@ from tillpoint.plans.warehouse import build_warehouse
 def wh(spark):
     import tempfile
 
-    return build_warehouse(spark, raw_transactions(spark, SF001), tempfile.mkdtemp(prefix="tillpoint-plan-"))
+    return build_warehouse(spark, raw_transactions(spark, SF001), tempfile.mkdtemp(prefix="tillpoint-plan-"),
+                           keep_raw=True)
 
 
 def plan(df) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import AMOUNT, DAY_ABBREVIATIONS, FREE_NO, FREE_YES, PRICE
+from ..schema import AMOUNT, FREE_NO, FREE_YES, PRICE
 
 __all__ = [
     "col_or_name",
@@ -97,9 +97,8 @@ def weekday0(ts="invoicedate") -> Column:
 
 
 def weekday_abbr(ts="invoicedate") -> Column:
-    """Three-letter English day name ('Sun' .. 'Sat'), locale independent."""
-    m = F.create_map(*[x for i, d in enumerate(DAY_ABBREVIATIONS) for x in (F.lit(i), F.lit(d))])
-    return m[weekday0(ts)]
+    """Three-letter English day name ('Sun' .. 'Sat')."""
+    return F.date_format(col_or_name(ts), "EEE")
 
 
 def month_start(ts="invoicedate") -> Column:

@@ -54,18 +54,23 @@ class FixtureInputs:
 
 
 class WarehouseInputs:
-    """Inputs read back from a materialized warehouse folder."""
+    """Inputs read back from a materialized warehouse folder.
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``raw`` is the landed input when given (it is not copied by default);
+    otherwise the folder's ``raw_lines`` copy.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, raw: DataFrame | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._raw = raw
 
     def _t(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}")
 
     @cached_property
     def raw(self) -> DataFrame:
-        return self._t("raw_lines")
+        return self._raw if self._raw is not None else self._t("raw_lines")
 
     @cached_property
     def clean(self) -> DataFrame:

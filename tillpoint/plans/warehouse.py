@@ -25,12 +25,19 @@ def default_root(spark: SparkSession, name: str = "warehouse") -> str:
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None,
-                    keep_raw: bool = True) -> WarehouseInputs:
+                    keep_raw: bool = False) -> WarehouseInputs:
+    """Write cleaned lines, customer domain, ``sales_data`` and both summary
+    tiers under ``root``.
+
+    The raw input is read where it landed; ``keep_raw=True`` first writes a
+    Parquet copy (worth it only when ``raw`` is an expensive derivation, as
+    the test fixture's joins are).
+    """
     root = (root or default_root(spark)).rstrip("/")
-    wh = WarehouseInputs(spark, root)
     if keep_raw:
         replace_table(raw, f"{root}/raw_lines")
-        raw = wh.raw
+        raw = WarehouseInputs(spark, root).raw
+    wh = WarehouseInputs(spark, root, raw=raw)
     replace_table(clean_transactions(raw), f"{root}/cleaned_lines")
     replace_table(customer_domain(raw), f"{root}/customer_domain")
     clean = wh.clean
@@ -41,4 +48,4 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
     replace_table(sales, f"{root}/sales_data")
     replace_table(customer_summary(clean, wh.domain, sort=False), f"{root}/customer_summary_lines")
     replace_table(conform(lowercase_columns(wh.summary), SUMMARY_SCHEMA), f"{root}/customer_summary")
-    return WarehouseInputs(spark, root)
+    return WarehouseInputs(spark, root, raw=raw)
