@@ -55,3 +55,18 @@ def test_write_csv_is_partitioned(spark, scratch):
     write_csv(df, f"{scratch}/csv")
     parts = [f for f in os.listdir(f"{scratch}/csv") if f.startswith("part-")]
     assert len(parts) == 4
+
+
+def test_cli_summaries_report_ingest(spark, scratch):
+    from tillpoint.cli import main
+
+    raw_transactions(spark, SF001).write.parquet(f"{scratch}/raw")
+    out = main(["summaries", "--raw", f"{scratch}/raw", "--format", "parquet", "--out", f"{scratch}/out",
+                "--warehouse", f"{scratch}/wh1"], spark=spark)
+    assert int(out["overview"]["total_rows"]) == FixtureInputs(spark, SF001).clean.count()
+    rep = main(["report", "--cleaned", out["csv"]["cleaned"], "--summary", out["csv"]["customer_summary"],
+                "--warehouse", f"{scratch}/wh2", "--reports", f"{scratch}/reports", "--run-ts", "r1"], spark=spark)
+    assert rep["results"]["dashboard_metrics"]["latest"].endswith("dashboard_metrics/latest")
+    ing = main(["ingest", "--landing", f"{scratch}/raw", "--table", f"{scratch}/t", "--checkpoint",
+                f"{scratch}/ck", "--format", "parquet"], spark=spark)
+    assert spark.read.parquet(ing["table"]).count() > 0
