@@ -48,6 +48,15 @@ def _norm(v):
     return v
 
 
+def _duck_type(t) -> str:
+    from pyspark.sql import types as T
+
+    if isinstance(t, T.DecimalType):
+        return f"DECIMAL({t.precision},{t.scale})"
+    return {T.IntegerType: "INTEGER", T.LongType: "BIGINT", T.DoubleType: "DOUBLE", T.StringType: "VARCHAR",
+            T.TimestampNTZType: "TIMESTAMP", T.DateType: "DATE", T.BooleanType: "BOOLEAN"}[type(t)]
+
+
 def _sorted(rows):
     return sorted(rows, key=lambda r: tuple((x is None, str(type(x)), x) for x in r))
 
@@ -66,10 +75,14 @@ def test_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     scols = sdf.columns
     srows = [tuple(r) for r in sdf.collect()]
-    cur = duck.execute(E.oracle_sql()[name])
-    drows = cur.fetchall()
-    dcols = [d[0] for d in cur.description]
+    rel = duck.sql(E.oracle_sql()[name])
+    dcols, dtypes = rel.columns, [str(t).replace(" ", "") for t in rel.types]
+    drows = rel.fetchall()
     assert sorted(scols) == sorted(dcols)
+    # declared column types agree too
+    dtype = dict(zip(dcols, dtypes))
+    for f in sdf.schema.fields:
+        assert _duck_type(f.dataType) == dtype[f.name], (f.name, f.dataType, dtype[f.name])
     assert len(srows) == len(drows)
     idx = sorted(range(len(scols)), key=lambda i: scols[i])
     didx = [dcols.index(scols[i]) for i in idx]
