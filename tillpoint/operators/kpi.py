@@ -87,15 +87,20 @@ def derive_kpis(agg: DataFrame) -> DataFrame:
     })
 
 
-def kpi_cards(kpis: DataFrame, by=("country",)) -> DataFrame:
-    """Display strings of the KPI block (the dashboard's eight cards)."""
+def kpi_cards(kpis: DataFrame, by=("country",), keep_values: bool = False) -> DataFrame:
+    """Display strings of the KPI block (the dashboard's eight cards).
+
+    keep_values=True returns the KPI columns and the cards together, so one
+    aggregate serves both.
+    """
     g = F.col("growth_pct")
     growth_text = F.concat(F.when(g >= 0, F.lit("+")).otherwise(F.lit("")), format_pattern(g, "0.0"), F.lit("%"))
     growth_display = (F.when(F.col("growth_status") == "na", F.lit("N/A"))
                       .when(F.col("growth_status") == "partial", F.concat(growth_text, F.lit("*")))
                       .otherwise(growth_text))
+    lead = list(kpis.columns) if keep_values else _by(by)
     return kpis.select(
-        *_by(by),
+        *lead,
         F.concat(F.lit("$"), F.format_number(F.col("total_revenue").cast("double"), 0)).alias("revenue_card"),
         F.format_number(F.col("total_transactions"), 0).alias("transactions_card"),
         F.concat(F.lit("$"), F.format_number(F.col("avg_order"), 0)).alias("avg_order_card"),

@@ -22,10 +22,9 @@ def filter_domains(sales: DataFrame) -> dict[str, DataFrame]:
 
 def panels(sales: DataFrame, f: Filters, compare: str = "none") -> dict[str, DataFrame]:
     by = () if f.country is not None else ("country",)
-    kpis = kpi.kpi_block(sales, f, by)
     out = {
-        "kpis": kpis,
-        "cards": kpi.kpi_cards(kpis, by),
+        # values and display cards from one aggregate
+        "kpis": kpi.kpi_cards(kpi.kpi_block(sales, f, by), by, keep_values=True),
         "monthly": trends.monthly_comparison(sales, f, compare, by) if compare != "none" or f.has_range
         else trends.monthly_revenue(sales, f, by),
         "weekday": trends.sales_by_weekday(sales, f, by),
