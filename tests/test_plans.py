@@ -81,3 +81,26 @@ def test_exact_dedup_combines_copies_before_shuffle(spark):
     agg_lines = [i for i, line in enumerate(p.splitlines()) if "HashAggregate" in line or "Exchange hash" in line]
     kinds = ["X" if "Exchange" in p.splitlines()[i] else "A" for i in agg_lines]
     assert kinds[:3] == ["A", "X", "A"]  # final dedup, shuffle, partial dedup (top-down)
+
+
+def test_monthly_layout_prunes_directories_and_keeps_results(spark, wh):
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from tillpoint.sources.sinks import export_rows
+
+    monthly = build_warehouse(spark, wh.raw, tempfile.mkdtemp(prefix="tillpoint-monthly-"), layout="monthly")
+    assert "invoice_month" in monthly.sales.columns
+    f = Filters(country="United Kingdom", start="1998-01-01", end="1998-12-31")
+    df = kpi.kpi_block(monthly.sales, f)
+    p = main_plan(df)
+    assert "PartitionFilters: [isnotnull(invoice_month" in p and "1997-" in p  # previous window pruned too
+    cols = [c for c in kpi.kpi_block(wh.sales, f).columns]
+    a = sorted(map(tuple, kpi.kpi_block(wh.sales, f).select(cols).collect()), key=repr)
+    b = sorted(map(tuple, df.select(cols).collect()), key=repr)
+    assert a == b
+    assert export_rows(monthly.sales, f).columns == export_rows(wh.sales, f).columns
+    m1 = trends.monthly_revenue(wh.sales, f).orderBy("month").collect()
+    m2 = trends.monthly_revenue(monthly.sales, f).orderBy("month").collect()
+    assert m1 == m2 and F is not None

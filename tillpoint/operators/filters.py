@@ -96,6 +96,19 @@ def product_filter(df: DataFrame, products, col: str = "description") -> DataFra
     return df.filter(F.col(col).isin(list(products)))
 
 
+MONTH_PARTITION = "invoice_month"  # layout column of a month-partitioned table
+
+
+def prune_months(df: DataFrame, start, end) -> DataFrame:
+    """On a month-partitioned table, add the month predicate implied by a
+    time range (directory pruning); otherwise a no-op."""
+    if MONTH_PARTITION not in df.columns:
+        return df
+    lo = F.trunc(F.to_date(ts_bound(start)), "month")
+    hi = F.trunc(F.to_date(ts_bound(end)), "month")
+    return df.filter(F.col(MONTH_PARTITION).between(lo, hi))
+
+
 def apply_filters(df: DataFrame, f: Filters | None, ts: str = "invoicedate", country: str = "country",
                   product: str = "description", dates: bool = True) -> DataFrame:
     if f is None:
@@ -103,7 +116,7 @@ def apply_filters(df: DataFrame, f: Filters | None, ts: str = "invoicedate", cou
     if f.country is not None:
         df = df.filter(country_is(f.country, country))
     if dates and f.has_range:
-        df = df.filter(in_range(ts, f.start, f.end))
+        df = prune_months(df, f.start, f.end).filter(in_range(ts, f.start, f.end))
     if f.products is not None:
         df = product_filter(df, f.products, product)
     return df

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import int_sum, mean, money_sum, safe_ratio
 from ..functions.format import format_pattern, format_value
 from ..schema import COMPLETENESS_OK_PCT
-from .filters import Filters, apply_filters, in_range, non_blank, previous_period
+from .filters import Filters, apply_filters, in_range, non_blank, previous_period, prune_months
 
 MONEY = "decimal(38,2)"
 
@@ -45,7 +45,7 @@ def kpi_block(sales: DataFrame, f: Filters | None = None, by=("country",)) -> Da
         cur = in_range(ts, f.start, f.end)
         days, prev_start, prev_end = previous_period(f.start, f.end)
         prev = ts.between(prev_start, prev_end)
-        df = df.filter(cur | prev)
+        df = prune_months(df, prev_start, f.end).filter(cur | prev)
     else:
         cur, prev, days = F.lit(True), F.lit(False), F.lit(0)
     net = F.col("net_revenue")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.filters import Filters, apply_filters
+from ..operators.filters import MONTH_PARTITION, Filters, apply_filters
 
 
 def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -72,8 +72,10 @@ def save_with_latest(df: DataFrame, base_dir: str, name: str, run_timestamp: str
 
 
 def export_rows(sales: DataFrame, f: Filters) -> DataFrame:
-    """SK9 rows: the filtered lines, newest first (a range-partitioned sort)."""
-    return apply_filters(sales, f).orderBy(F.col("invoicedate").desc())
+    """SK9 rows: the filtered lines, newest first (a range-partitioned sort).
+    A month-partitioned table's layout column is not exported."""
+    rows = apply_filters(sales, f).orderBy(F.col("invoicedate").desc())
+    return rows.drop(MONTH_PARTITION)
 
 
 def export_name(f: Filters) -> str:
