@@ -29,9 +29,11 @@ def main_plan(df) -> str:
 
 
 @pytest.mark.parametrize("name", sorted(OPERATORS))
-def test_no_cartesian_product(wh, name):
+def test_no_cartesian_product_no_python(wh, name):
     p = plan(OPERATORS[name](wh))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    # everything runs as JVM expressions: no Python UDF evaluation anywhere
+    assert "EvalPython" not in p and "PythonUDF" not in p and "MapInPandas" not in p
 
 
 @pytest.mark.parametrize("name", ["a4_top_profitable", "a1_worst_products", "a34_top_products_by_volume",
