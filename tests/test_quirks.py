@@ -264,3 +264,11 @@ def test_shuffle_partition_sizing():
 
     assert shuffle_partitions_for(10 << 20) == 8
     assert shuffle_partitions_for(100 * 10**12) == 372530
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from tillpoint.session import checkpoint_root, ensure_checkpoint_dir
+
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert configured and ensure_checkpoint_dir(spark) == configured
+    assert checkpoint_root(spark) == configured.rstrip("/")
