@@ -272,3 +272,14 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert configured and ensure_checkpoint_dir(spark) == configured
     assert checkpoint_root(spark) == configured.rstrip("/")
+
+
+def test_growth_text_matches_python_signed_format(spark):
+    from tillpoint.functions.format import format_pattern
+
+    vals = [-0.04, 0.0, 0.04, 12.25, -12.25, 1234.56]
+    g = F.col("g")
+    df = spark.createDataFrame([(v,) for v in vals], "g double")
+    got = [r[0] for r in df.select(F.concat(F.when(g >= 0, F.lit("+")).otherwise(F.lit("")),
+                                            format_pattern(g, "0.0"), F.lit("%"))).collect()]
+    assert got == [f"{v:+.1f}%" for v in vals]
