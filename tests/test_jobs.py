@@ -70,3 +70,13 @@ def test_cli_summaries_report_ingest(spark, scratch):
     ing = main(["ingest", "--landing", f"{scratch}/raw", "--table", f"{scratch}/t", "--checkpoint",
                 f"{scratch}/ck", "--format", "parquet"], spark=spark)
     assert spark.read.parquet(ing["table"]).count() > 0
+
+
+def test_dashboard_cached_slice_gives_same_panels(spark):
+    sales = FixtureInputs(spark, SF001).sales
+    f = quick_filters(sales, "year", country="United Kingdom")
+    plain = {k: sorted(map(repr, df.collect())) for k, df in dashboard.panels(sales, f, "yoy").items()}
+    with dashboard.cached_slice(sales, "United Kingdom") as part:
+        cached = {k: sorted(map(repr, df.collect()))
+                  for k, df in dashboard.panels(sales, f, "yoy", country_lines=part).items()}
+    assert plain == cached

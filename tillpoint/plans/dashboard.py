@@ -7,10 +7,13 @@ the KPI block computes current and previous windows together.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..operators import customers, kpi, rankings, trends
-from ..operators.filters import Filters
+from ..operators.filters import Filters, apply_filters
 
 
 def filter_domains(sales: DataFrame) -> dict[str, DataFrame]:
@@ -20,8 +23,30 @@ def filter_domains(sales: DataFrame) -> dict[str, DataFrame]:
             "products": kpi.distinct_values(sales, "description")}
 
 
-def panels(sales: DataFrame, f: Filters, compare: str = "none") -> dict[str, DataFrame]:
+@contextmanager
+def cached_slice(sales: DataFrame, country: str):
+    """Persist one country's lines for a series of interactions on it.
+
+    Every country-scoped panel (KPIs with the previous window, monthly series
+    and comparison, weekday, heatmap, segments, products) then reads the
+    cached slice instead of scanning the table. The slice is one country's
+    lines only, and is released when the block ends.
+    """
+    part = apply_filters(sales, Filters(country=country)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield part
+    finally:
+        part.unpersist()
+
+
+def panels(sales: DataFrame, f: Filters, compare: str = "none", country_lines: DataFrame | None = None
+           ) -> dict[str, DataFrame]:
+    """All panels for one selection. ``country_lines``: a ``cached_slice`` of
+    ``f.country`` to read the country-scoped panels from."""
     by = () if f.country is not None else ("country",)
+    geo_source = sales
+    if country_lines is not None and f.country is not None:
+        sales = country_lines
     out = {
         # values and display cards from one aggregate
         "kpis": kpi.kpi_cards(kpi.kpi_block(sales, f, by), by, keep_values=True),
@@ -30,7 +55,7 @@ def panels(sales: DataFrame, f: Filters, compare: str = "none") -> dict[str, Dat
         "weekday": trends.sales_by_weekday(sales, f, by),
         "heatmap": trends.hour_weekday_heatmap(sales, f, by),
         "segments": customers.quartile_segments(customers.rfm_base(sales, f, by), by),
-        "geography": rankings.country_revenue(sales, Filters(start=f.start, end=f.end)),
+        "geography": rankings.country_revenue(geo_source, Filters(start=f.start, end=f.end)),
     }
     if f.products is not None:
         out["products"] = rankings.selected_products(sales, f.products, Filters(f.country, f.start, f.end), by)
