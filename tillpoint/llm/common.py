@@ -69,6 +69,14 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows of a task one at a time: a row may be a block of megabytes."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+        pa.default_memory_pool().release_unused()
+
+
 def packs(batches: Iterable[pa.RecordBatch], key: str, text: str, max_bytes: int) -> Iterator[tuple[list, list[bytes]]]:
     """Group the rows of a task into packs of about ``max_bytes`` of text (a
     longer document is a pack of its own). Yields (keys, texts)."""

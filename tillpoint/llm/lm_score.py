@@ -33,9 +33,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, packs, partitions, spans_of, stage
+from .common import crc_mod, packs, partitions, rows, spans_of, stage
 
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 1 << 22
 CLASSES = 40  # size classes of c(h)
 BINS, _EDGE = 96, 12.0  # of log2(p_ml / p(w)) from -12 to 12; one more bin has p_ml = 0
 START = np.uint64(0x5354415254)
@@ -67,11 +67,11 @@ def _words(data: bytes) -> Iterator[list[bytes]]:
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for keys, held in packs(batches, "key", "text", BLOCK_BYTES):
         index: dict[bytes, int] = {_END: 0}
-        rows = []
+        texts = []
         for text in held:
             ids = [np.fromiter((index.setdefault(w, len(index)) for w in words), dtype=np.uint32, count=len(words)) for words in _words(text)]
-            rows.append(np.concatenate([*ids, np.zeros(1, dtype=np.uint32)]))
-        tokens = np.concatenate(rows)
+            texts.append(np.concatenate([*ids, np.zeros(1, dtype=np.uint32)]))
+        tokens = np.concatenate(texts)
         counts = np.bincount(tokens, minlength=len(index))
         order = np.argsort(-counts, kind="stable")  # frequent words first: small numbers compress
         rank = np.empty(len(order), dtype=np.uint32)
@@ -79,7 +79,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, index), dtype=np.uint64, count=len(index))[order]
         yield pa.record_batch([
             pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([[k["doc"] for k in keys]], pa.list_(pa.int64())),
-            pa.array([[k["train"] for k in keys]], pa.list_(pa.bool_())), pa.array([_zip(np.array([len(r) for r in rows], dtype=np.int64))]),
+            pa.array([[k["train"] for k in keys]], pa.list_(pa.bool_())), pa.array([_zip(np.array([len(t) for t in texts], dtype=np.int64))]),
             pa.array([_zip(rank[tokens])]), pa.array([_zip(hashes)])], names=["block", "docs", "train", "sizes", "tokens", "words"])
 
 
@@ -135,19 +135,18 @@ SENT = "part int, block long, n int, low binary, high binary, count binary"
 
 def _send(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                b = Block(row)
-                pairs, inverse = b.bigrams()
-                grams = {1: b.unigrams(), 2: (b.bigram_hashes(pairs), np.bincount(inverse[b.learn], minlength=len(pairs)))}
-                for n, (h, counts) in grams.items():
-                    sent = [(p, h[i] if n == 1 else h[i] >> np.uint64(24), counts[i]) for p, i in _grouped(h, parts)]
-                    yield pa.record_batch([
-                        pa.array([p for p, _, _ in sent], pa.int32()), pa.array([row["block"]] * len(sent), pa.int64()), pa.array([n] * len(sent), pa.int32()),
-                        # 32 and 32 bits of a word's hash, 32 and 8 of a bigram's
-                        pa.array([v.astype(np.uint32).tobytes() for _, v, _ in sent], pa.binary()),
-                        pa.array([(v >> np.uint64(32)).astype(_high(n)).tobytes() for _, v, _ in sent], pa.binary()),
-                        pa.array([_zip(c.astype(np.uint32), 1) for _, _, c in sent], pa.binary())], names=[c.split()[0] for c in SENT.split(", ")])
+        for row in rows(batches):
+            b = Block(row)
+            pairs, inverse = b.bigrams()
+            grams = {1: b.unigrams(), 2: (b.bigram_hashes(pairs), np.bincount(inverse[b.learn], minlength=len(pairs)))}
+            for n, (h, counts) in grams.items():
+                sent = [(p, h[i] if n == 1 else h[i] >> np.uint64(24), counts[i]) for p, i in _grouped(h, parts)]
+                yield pa.record_batch([
+                    pa.array([p for p, _, _ in sent], pa.int32()), pa.array([row["block"]] * len(sent), pa.int64()), pa.array([n] * len(sent), pa.int32()),
+                    # 32 and 32 bits of a word's hash, 32 and 8 of a bigram's
+                    pa.array([v.astype(np.uint32).tobytes() for _, v, _ in sent], pa.binary()),
+                    pa.array([(v >> np.uint64(32)).astype(_high(n)).tobytes() for _, v, _ in sent], pa.binary()),
+                    pa.array([_zip(c.astype(np.uint32), 1) for _, _, c in sent], pa.binary())], names=[c.split()[0] for c in SENT.split(", ")])
     return run
 
 
@@ -177,11 +176,11 @@ def _add_up(table: pa.Table) -> pa.Table:
 def _joined(parts: int):
     """Blocks with the global counts of their words and distinct bigrams."""
     def run(key: tuple, blocks: pa.Table, counted: pa.Table) -> pa.Table:
-        rows = blocks.to_pylist()
+        held = list(rows(blocks.to_batches()))  # one
         found: dict = {1: {}, 2: {}}
-        for r in counted.to_pylist():
+        for r in rows(counted.to_batches()):
             found[r["n"]][r["part"]] = r["count"]
-        for row in rows:
+        for row in held:
             b = Block(row)
             pairs, _ = b.bigrams()
             for n, h in ((1, b.unigrams()[0]), (2, b.bigram_hashes(pairs))):
@@ -190,7 +189,7 @@ def _joined(parts: int):
                     counts[i] = _unzip(found[n][p], np.int64)
                 row[f"c{n}"] = _zip(counts)
         names = [c.split()[0] for c in BLOCK.split(", ")]
-        out = {c: [r[c] for r in rows] for c in [*names, "c1", "c2"]}
+        out = {c: [r[c] for r in held] for c in [*names, "c1", "c2"]}
         types = {"block": pa.int64(), "docs": pa.list_(pa.int64()), "train": pa.list_(pa.bool_())}
         return pa.table({c: pa.array(v, types.get(c, pa.binary())) for c, v in out.items()})
     return run
@@ -200,25 +199,23 @@ def _size_class(c: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(np.maximum(c, 1)).astype(np.int64), CLASSES - 1)
 
 
-
 def _histogram(n_tokens: int, n_types: int):
     """Training bigrams by size class and log2 ratio of p_ml, own count left
     out, to p(w)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hist = np.zeros((CLASSES, BINS + 1))
-        for batch in batches:
-            for row in batch.to_pylist():
-                b, c1, c2 = Block(row), _unzip(row["c1"], np.int64), _unzip(row["c2"], np.int64)
-                pairs, inverse = b.bigrams()
-                own = np.bincount(inverse[b.learn], minlength=len(pairs))
-                use = np.flatnonzero(own)
-                h, w = pairs[use] // b.v, pairs[use] % b.v
-                ch = c1[h]
-                ratio = (c2[use] - 1) / np.maximum(ch - 1, 1) / ((c1[w] + 1) / (n_tokens + n_types + 1))
-                with np.errstate(divide="ignore"):
-                    log = np.log2(ratio)
-                bin_ = np.where(ratio > 0, np.clip((np.where(ratio > 0, log, 0) + _EDGE) * BINS / (2 * _EDGE), 0, BINS - 1), BINS).astype(np.int64)
-                np.add.at(hist, (_size_class(ch), bin_), own[use])
+        for row in rows(batches):
+            b, c1, c2 = Block(row), _unzip(row["c1"], np.int64), _unzip(row["c2"], np.int64)
+            pairs, inverse = b.bigrams()
+            own = np.bincount(inverse[b.learn], minlength=len(pairs))
+            use = np.flatnonzero(own)
+            h, w = pairs[use] // b.v, pairs[use] % b.v
+            ch = c1[h]
+            ratio = (c2[use] - 1) / np.maximum(ch - 1, 1) / ((c1[w] + 1) / (n_tokens + n_types + 1))
+            with np.errstate(divide="ignore"):
+                log = np.log2(ratio)
+            bin_ = np.where(ratio > 0, np.clip((np.where(ratio > 0, log, 0) + _EDGE) * BINS / (2 * _EDGE), 0, BINS - 1), BINS).astype(np.int64)
+            np.add.at(hist, (_size_class(ch), bin_), own[use])
         size, bin_ = np.nonzero(hist)
         yield pa.record_batch([pa.array(size), pa.array(bin_), pa.array(hist[size, bin_].astype(np.int64))], names=["size", "bin", "n"])
     return run
@@ -264,16 +261,15 @@ def walk(b: Block, c1: np.ndarray, c2: np.ndarray, n_tokens: int, n_types: int,
 
 def _score(n_tokens: int, n_types: int, backoff: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                b, c1, c2 = Block(row), _unzip(row["c1"], np.int64), _unzip(row["c2"], np.int64)
-                c = c1[b.tokens]
-                base = np.add.reduceat(np.log10((c + 1) / (n_tokens + n_types + 1)), b.at[:-1])
-                known = np.add.reduceat((c > 0).astype(np.int64), b.at[:-1])
-                yield pa.record_batch([
-                    pa.array(b.docs, pa.int64()), pa.array(b.train), pa.array(np.diff(b.at)), pa.array(known), pa.array(np.full(len(b.docs), n_tokens)),
-                    pa.array(base), pa.array(walk(b, c1, c2, n_tokens, n_types, backoff))],
-                    names=["doc", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        for row in rows(batches):
+            b, c1, c2 = Block(row), _unzip(row["c1"], np.int64), _unzip(row["c2"], np.int64)
+            c = c1[b.tokens]
+            base = np.add.reduceat(np.log10((c + 1) / (n_tokens + n_types + 1)), b.at[:-1])
+            known = np.add.reduceat((c > 0).astype(np.int64), b.at[:-1])
+            yield pa.record_batch([
+                pa.array(b.docs, pa.int64()), pa.array(b.train), pa.array(np.diff(b.at)), pa.array(known), pa.array(np.full(len(b.docs), n_tokens)),
+                pa.array(base), pa.array(walk(b, c1, c2, n_tokens, n_types, backoff))],
+                names=["doc", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 
 
@@ -291,8 +287,8 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", mod: i
     """
     spark = docs.sparkSession
     train = F.coalesce(crc_mod(key, mod) != held, F.lit(False))
-    rows = docs.select(F.struct(F.col(key).cast("long").alias("doc"), train.alias("train")).alias("key"), F.col(text).alias("text"))
-    blocks = stage(rows.mapInArrow(_encode, BLOCK), "lm-blocks")
+    keyed = docs.select(F.struct(F.col(key).cast("long").alias("doc"), train.alias("train")).alias("key"), F.col(text).alias("text"))
+    blocks = stage(keyed.mapInArrow(_encode, BLOCK), "lm-blocks")
     parts = 4 * partitions(spark)  # several to a partition, so that they even out
     counted = stage(blocks.mapInArrow(_send(parts), SENT).groupBy("part", "n").applyInArrow(_add_up, COUNTED), "lm-counts")
     model = stage(blocks.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(_joined(parts), BLOCK + ", c1 binary, c2 binary"), "lm-model")
