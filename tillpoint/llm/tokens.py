@@ -11,7 +11,9 @@ import functools
 import re
 from collections.abc import Iterable, Iterator
 
-CACHE = 400_000  # pre-tokens kept by a worker; all are dropped when full
+import numpy as np
+
+CACHE = 400_000  # pre-tokens of each generation of a worker's cache
 PIECE = 1 << 20
 
 # fixed values: the tokenizer's pre-token pattern for texts of these characters
@@ -33,37 +35,58 @@ def _pieces(text: str) -> Iterator[str]:
 
 
 class WordBpe:
+    """Pre-tokens met lately are in ``recent``, those before in ``older``: when
+    ``recent`` is full it becomes ``older``, and what is met again moves back."""
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a pre-token
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null as empty."""
+        held: list[list] = []  # of each text, pieces: words to look up, or the ids
+        size = 0
         for text in texts:
-            yield b"".join(self._encode_piece(p) for p in _pieces(text or ""))
-
-    def _encode_piece(self, text: str) -> bytes:
-        if _OTHER.search(text):
-            return self._ids([text])[0]
-        words = _PRE.findall(text.lower())
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            new = [w for w in set(words) if w not in known]
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list(set(words))
-            known.update(zip(new, self._ids(new)))
-            return b"".join(map(known.__getitem__, words))
+            held.append([self._ids(p).tobytes() if _OTHER.search(p) else _PRE.findall(p.lower()) for p in _pieces(text or "")])
+            size += len(text or "")
+            if size > PIECE:
+                yield from self._looked_up(held)
+                held, size = [], 0
+        yield from self._looked_up(held)
+
+    def _looked_up(self, held: list[list]) -> Iterator[bytes]:
+        self._learn(set().union(*(p for pieces in held for p in pieces if isinstance(p, list))))
+        get = self.recent.__getitem__
+        for pieces in held:
+            yield b"".join(p if isinstance(p, bytes) else b"".join(map(get, p)) for p in pieces)
+
+    def _learn(self, words: set[str]) -> None:
+        new = words.difference(self.recent)
+        if len(self.recent) + len(new) > CACHE:
+            self.recent, self.older = {}, self.recent
+            new = words
+        older = self.older
+        self.recent.update({w: older[w] for w in new if w in older})
+        missing = [w for w in new if w not in older]
+        if not missing:
+            return
+        # all at once: the last id of each pre-token says so
+        ids = self._ids(" ".join(missing))
+        ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
+        if len(ends) != len(missing) or ends[-1] != len(ids):
+            raise ValueError("pre-tokens were cut otherwise than by the tokenizer")
+        raw = ids.tobytes()
+        self.recent.update(zip(missing, (raw[4 * i:4 * j] for i, j in zip([0, *ends], ends))))
 
 
 @functools.lru_cache(maxsize=2)
