@@ -80,22 +80,24 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([
             pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([[k["doc"] for k in keys]], pa.list_(pa.int64())),
             pa.array([[k["train"] for k in keys]], pa.list_(pa.bool_())), pa.array([_zip(np.array([len(t) for t in texts], dtype=np.int64))]),
-            pa.array([_zip(rank[tokens])]), pa.array([_zip(hashes)])], names=["block", "docs", "train", "sizes", "tokens", "words"])
+            pa.array([_zip(rank[tokens])]), pa.array([len(index)], pa.int64()), pa.array([_zip(hashes)])],
+            names=["block", "docs", "train", "sizes", "tokens", "v", "words"])
 
 
-BLOCK = "block long, docs array<long>, train array<boolean>, sizes binary, tokens binary, words binary"
+BLOCK = "block long, docs array<long>, train array<boolean>, sizes binary, tokens binary, v long, words binary"
 
 
 class Block:
-    """Texts as word numbers; ``words`` has the words' hashes. Number 0 to
-    V - 1 are words (the end token among them), V is the start state."""
+    """Texts as word numbers; ``words`` has the words' hashes (none once the
+    counts are there). Number 0 to v - 1 are words (the end token among them),
+    v is the start state."""
 
     def __init__(self, row: dict):
         self.docs, self.train = row["docs"], np.array(row["train"], dtype=bool)
         self.at = spans_of(_unzip(row["sizes"], np.int64))
         self.tokens = _unzip(row["tokens"], np.uint32).astype(np.int64)
         self.words = _unzip(row["words"], np.uint64)
-        self.v = len(self.words)
+        self.v = row["v"]
         before = np.empty(len(self.tokens), dtype=np.int64)
         before[1:] = self.tokens[:-1]
         before[self.at[:-1]] = self.v
@@ -188,9 +190,10 @@ def _joined(parts: int):
                 for p, i in _grouped(h, parts):
                     counts[i] = _unzip(found[n][p], np.int64)
                 row[f"c{n}"] = _zip(counts)
+            row["words"] = _zip(np.empty(0, dtype=np.uint64))
         names = [c.split()[0] for c in BLOCK.split(", ")]
         out = {c: [r[c] for r in held] for c in [*names, "c1", "c2"]}
-        types = {"block": pa.int64(), "docs": pa.list_(pa.int64()), "train": pa.list_(pa.bool_())}
+        types = {"block": pa.int64(), "v": pa.int64(), "docs": pa.list_(pa.int64()), "train": pa.list_(pa.bool_())}
         return pa.table({c: pa.array(v, types.get(c, pa.binary())) for c, v in out.items()})
     return run
 
