@@ -3,6 +3,7 @@ Arrow batch access."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -69,12 +70,22 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system: workers are kept
+    between tasks, next to the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
     """The rows of a task one at a time: a row may be a block of megabytes."""
     for batch in batches:
         for i in range(batch.num_rows):
             yield {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-        pa.default_memory_pool().release_unused()
+    release()
 
 
 def packs(batches: Iterable[pa.RecordBatch], key: str, text: str, max_bytes: int) -> Iterator[tuple[list, list[bytes]]]:
@@ -93,6 +104,8 @@ def packs(batches: Iterable[pa.RecordBatch], key: str, text: str, max_bytes: int
             size += len(t)
     if held:
         yield keys, held
+    del keys, held
+    release()
 
 
 def spans_of(lengths: np.ndarray) -> np.ndarray:

@@ -33,10 +33,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, packs, partitions, spans_of, stage
+from .common import broadcast_if_small, packs, partitions, rows, spans_of, stage
 
 K = 16
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 1 << 23
 CHUNK = 1 << 20
 NONE = np.iinfo(np.int64).max
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -145,24 +145,23 @@ def _part_and_value(grams: np.ndarray, parts: int) -> np.ndarray:
 
 def _send_grams(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                b = Block(row)
-                key = _part_and_value(b.grams(), parts)
-                order = np.argsort(key, kind="stable")
-                key, ids = key[order], b.ids[b.docs(b.anchors[order])]
-                if not len(key):
-                    continue
-                first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-                many = np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)
-                key = key[first]
-                part = (key >> np.uint64(32)).astype(np.int32)
-                own, cut = np.unique(part, return_index=True)
-                cut = [*cut.tolist(), len(part)]
-                yield pa.record_batch([
-                    pa.array(own), pa.array(np.full(len(own), row["block"])),
-                    pa.array([key[a:z].astype(np.uint32).tobytes() for a, z in zip(cut, cut[1:])], pa.binary()),
-                    pa.array([np.packbits(many[a:z]).tobytes() for a, z in zip(cut, cut[1:])], pa.binary())], names=["part", "block", "grams", "many"])
+        for row in rows(batches):
+            b = Block(row)
+            key = _part_and_value(b.grams(), parts)
+            order = np.argsort(key, kind="stable")
+            key, ids = key[order], b.ids[b.docs(b.anchors[order])]
+            if not len(key):
+                continue
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            many = np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)
+            key = key[first]
+            part = (key >> np.uint64(32)).astype(np.int32)
+            own, cut = np.unique(part, return_index=True)
+            cut = [*cut.tolist(), len(part)]
+            yield pa.record_batch([
+                pa.array(own), pa.array(np.full(len(own), row["block"])),
+                pa.array([key[a:z].astype(np.uint32).tobytes() for a, z in zip(cut, cut[1:])], pa.binary()),
+                pa.array([np.packbits(many[a:z]).tobytes() for a, z in zip(cut, cut[1:])], pa.binary())], names=["part", "block", "grams", "many"])
     return run
 
 
@@ -198,11 +197,11 @@ class Entries:
         right[np.arange(length) >= self.right_len[:, None]] = 0
         left = T[np.maximum(pos[:, None] - 1 - np.arange(side), 0)]
         left[np.arange(side) >= self.left_len[:, None]] = 0
-        # one row of bytes per suffix: right, left, lengths; compared as big-endian words
-        rows = np.zeros((len(pos), -(-(length + side + 2) // 8) * 8), dtype=np.uint8)
-        rows[:, :length], rows[:, length:length + side] = right, left
-        rows[:, length + side], rows[:, length + side + 1] = self.right_len, self.left_len
-        words = rows.view(">u8").astype(np.uint64)
+        # one line of bytes per suffix: right, left, lengths; compared as big-endian words
+        lines = np.zeros((len(pos), -(-(length + side + 2) // 8) * 8), dtype=np.uint8)
+        lines[:, :length], lines[:, length:length + side] = right, left
+        lines[:, length + side], lines[:, length + side + 1] = self.right_len, self.left_len
+        words = lines.view(">u8").astype(np.uint64)
         order = np.lexsort((*words.T[::-1], part))
         words, part = words[order], part[order]
         new = np.ones(len(pos), dtype=bool)
@@ -213,7 +212,7 @@ class Entries:
         self.entry[order] = np.cumsum(new) - 1
         self.pos, self.id = pos, ids
         self.part = part[first]
-        self.rows = rows[order][first]
+        self.lines = lines[order][first]
         self.low = np.minimum.reduceat(ids[order], first) if len(first) else np.empty(0, dtype=np.int64)
         self.high = np.maximum.reduceat(ids[order], first) if len(first) else np.empty(0, dtype=np.int64)
         self.length, self.side = length, side
@@ -223,11 +222,11 @@ class Entries:
         own, cut = np.unique(self.part, return_index=True)
         cut = [*cut.tolist(), len(self.part)]
         for part, a, z in zip(own.tolist(), cut, cut[1:]):
-            right = self.rows[a:z, :self.length]
+            right = self.lines[a:z, :self.length]
             differ = np.concatenate([right[1:] != right[:-1], np.ones((z - a - 1, 1), dtype=bool)], axis=1)
             shared = np.concatenate([[0], differ.argmax(axis=1)]).astype(np.uint8)
             rest = right[np.arange(self.length) >= shared[:, None]]
-            yield part, a, {"n": z - a, "shared": _zip(shared), "rest": _zip(rest), "left": _zip(self.rows[a:z, self.length:self.length + self.side + 2]),
+            yield part, a, {"n": z - a, "shared": _zip(shared), "rest": _zip(rest), "left": _zip(self.lines[a:z, self.length:self.length + self.side + 2]),
                             "low": _zip(self.low[a:z]), "high": _zip(self.high[a:z])}
 
 
@@ -237,7 +236,7 @@ RUN = "part int, block long, first long, n long, shared binary, rest binary, lef
 def _send_runs(parts: int, length: int):
     def run(key: tuple, blocks: pa.Table, shared: pa.Table) -> pa.Table:
         out = []
-        for row in blocks.to_pylist():
+        for row in rows(blocks.to_batches()):
             e = Entries(Block(row), list(zip(shared["part"].to_pylist(), shared["grams"].to_pylist())), parts, length)
             out += [{"part": part, "block": row["block"], "first": first, **r} for part, first, r in e.runs()]
         types = {"part": pa.int32(), "block": pa.int64(), "first": pa.int64(), "n": pa.int64()}
@@ -346,15 +345,15 @@ def _merge(length: int):
     side = length - K
 
     def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
+        sent = table.to_pylist()
         zd = zstandard.ZstdDecompressor()
-        runs = [(_unzip(r["shared"], np.uint8), zd.decompress(r["rest"])) for r in rows]
+        runs = [(_unzip(r["shared"], np.uint8), zd.decompress(r["rest"])) for r in sent]
         which, place, shared = (np.array(x, dtype=np.int64) for x in merge_runs(runs, length))
-        start = spans_of(np.array([r["n"] for r in rows], dtype=np.int64))
+        start = spans_of(np.array([r["n"] for r in sent], dtype=np.int64))
         at = start[which] + place
 
         def all_of(c, dtype):
-            return np.concatenate([_unzip(r[c], dtype) for r in rows])
+            return np.concatenate([_unzip(r[c], dtype) for r in sent])
 
         left = all_of("left", np.uint8).reshape(-1, side + 2)[at]
         low, high = all_of("low", np.int64)[at], all_of("high", np.int64)[at]
@@ -363,7 +362,7 @@ def _merge(length: int):
         back = np.empty(len(at), dtype=np.int64)
         back[at] = np.arange(len(at))
         out = []
-        for i, r in enumerate(rows):
+        for i, r in enumerate(sent):
             own = back[start[i]:start[i + 1]]
             entry = np.flatnonzero(use[own])
             m = least[own[entry]]
@@ -426,7 +425,7 @@ def _cut(parts: int, length: int):
     def run(key: tuple, blocks: pa.Table, answers: pa.Table) -> pa.Table:
         out = {c: [] for c in ("doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text_sha256", "kept")}
         found = answers.to_pylist()
-        for row in blocks.to_pylist():
+        for row in rows(blocks.to_batches()):
             b = Block(row)
             shared = [(r["part"], r["grams"]) for r in found if r["grams"] is not None]
             e = Entries(b, shared, parts, length)
@@ -488,11 +487,11 @@ def cut_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
     found = (repeated_bytes(docs, key, text, length).where("n_removed > 0").dropDuplicates([key, "text_sha256"])
              .select(F.col(key).alias("id"), F.col("text_sha256").alias("sha"), "kept"))
     found = broadcast_if_small(stage(found, "cuts"), 200_000)  # a few ranges a row
-    rows = docs.toDF(*names)
-    joined = rows.join(found, (rows[k].cast("long") == found["id"]) & (F.sha2(rows[t].cast("binary"), 256) == found["sha"]), "left")
-    body = rows[t].cast("binary")
+    own = docs.toDF(*names)
+    joined = own.join(found, (own[k].cast("long") == found["id"]) & (F.sha2(own[t].cast("binary"), 256) == found["sha"]), "left")
+    body = own[t].cast("binary")
     parts = F.transform("kept", lambda r: F.substring(body, (r["start"] + 1).cast("int"), r["n"].cast("int")).cast("string"))
-    joined = joined.withColumn(t, F.when(F.col("kept").isNotNull(), F.array_join(parts, "")).otherwise(rows[t]))
+    joined = joined.withColumn(t, F.when(F.col("kept").isNotNull(), F.array_join(parts, "")).otherwise(own[t]))
     if n_chars in docs.columns:
         n = names[docs.columns.index(n_chars)]
         joined = joined.withColumn(n, F.when(F.col("kept").isNotNull(), F.char_length(t).cast(docs.schema[n_chars].dataType)).otherwise(F.col(n)))

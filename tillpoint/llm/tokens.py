@@ -13,7 +13,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-CACHE = 400_000  # pre-tokens of each generation of a worker's cache
+from .common import release
+
+CACHE = 200_000  # pre-tokens of each generation of a worker's cache
 PIECE = 1 << 20
 
 # fixed values: the tokenizer's pre-token pattern for texts of these characters
@@ -63,6 +65,7 @@ class WordBpe:
                 yield from self._looked_up(held)
                 held, size = [], 0
         yield from self._looked_up(held)
+        release()
 
     def _looked_up(self, held: list[list]) -> Iterator[bytes]:
         self._learn(set().union(*(p for pieces in held for p in pieces if isinstance(p, list))))

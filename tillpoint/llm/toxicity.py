@@ -21,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packs, spans_of, stage
+from .common import packs, release, spans_of, stage
 
 _WORD = re.compile(r"\w+")
-BATCH_BYTES = 1 << 23
+BATCH_BYTES = 1 << 22
 CACHE = 300_000
 
 
@@ -300,6 +300,8 @@ def tag(docs: DataFrame, crf: Crf, text: str = "text") -> DataFrame:
                 spans = [_toxic_spans(held[i].decode(), odds[at[i]:at[i + 1]] >= 0) if n[i] else [] for i in range(len(held))]
                 yield pa.record_batch([*batch.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32)), pa.array(n.astype(np.int64)), pa.array(spans, spans_type)],
                                       names=[*batch.schema.names, "score", "predicted", "n_toxic", "spans"])
+                del E, odds, held
+        release()
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{columns}, {TAGS}")
