@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_root
 
 BROADCAST_ROWS = 1_000_000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package's code, once for each application, as
-    ``--py-files`` does, so that tasks can import it wherever it is run from."""
+    """Once for each application: bound Arrow batches, and give the executors this package's code, as ``--py-files`` does, so that tasks can import it
+    wherever it is run from."""
     package = Path(__file__).resolve().parents[1]
     app = spark.sparkContext.applicationId
     if app in _SHIPPED or not package.is_dir():
@@ -34,6 +35,10 @@ def ship_package(spark: SparkSession) -> None:
             z.write(source, source.relative_to(package.parent))
     spark.sparkContext.addPyFile(str(path))
     _SHIPPED.add(app)
+    # whole texts are long: unless the session says otherwise, batches of some
+    # megabytes instead of ten thousand rows
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, "500")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
