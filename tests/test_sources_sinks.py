@@ -106,3 +106,55 @@ def test_d12_column_types_and_preview(spark):
     assert quality.preview(raw, 5).count() == 5
     assert quality.shape(raw).first().columns == 8
     assert raw.filter(F.col("InvoiceNo").isNull()).count() == 0
+
+
+def test_csv_round_trip_keeps_quotes_blanks_and_line_breaks(spark, scratch):
+    texts = ['NECKL.36"BLUE', '"CHARLIE", BUSY SIGN', " PAD ", "two\nlines", "a,b", '""', "back\\slash"]
+    rows = [(str(i), "A", t, 1, "2011-01-01 10:00", 1, "c", " X") for i, t in enumerate(texts)]
+    raw = raw_df(spark, rows)
+    sinks.write_csv(raw, f"{scratch}/csv")
+    assert _same(readers.read_transactions(spark, f"{scratch}/csv", multi_line=True), raw)
+
+
+def test_sk8_runs_read_as_one_dataset(spark, scratch):
+    df = spark.createDataFrame([(1, "a")], "n int, s string")
+    for ts in ("r1", "r2"):
+        sinks.save_with_latest(df, scratch, "metric", ts)
+    both = spark.read.option("header", True).csv(f"{scratch}/metric/runs")
+    assert sorted(r.run_ts for r in both.collect()) == ["r1", "r2"]
+
+
+def test_session_keeps_submitted_settings_and_needs_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    import pytest
+
+    from tillpoint.session import build_session, ensure_checkpoint_dir
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert build_session().conf.get("spark.sql.shuffle.partitions") == before
+    conf = SimpleNamespace(get=lambda *_: None)
+    cluster = SimpleNamespace(sparkContext=SimpleNamespace(master="yarn", getConf=lambda: conf, getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(cluster)
+
+
+def test_trends_are_in_order_and_comparison_is_one_pruned_scan(spark):
+    from tillpoint.operators import trends
+    from tillpoint.plans.inputs import FixtureInputs
+
+    sales = FixtureInputs(spark, SF001).sales
+    for df, keys in ((trends.monthly_positive_revenue(sales), ["month"]), (trends.sales_by_weekday(sales, by=()), ["day_num"]),
+                     (trends.hour_weekday_revenue(sales, by=()), ["day_num", "hour"])):
+        rows = [tuple(r[k] for k in keys) for r in df.collect()]
+        assert rows == sorted(rows)
+    path = os.path.join(__import__("tempfile").mkdtemp(prefix="tillpoint-test-"), "s")
+    sales.write.parquet(path)
+    f = Filters(start="1996-03-10", end="1996-06-20")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = trends.monthly_comparison(spark.read.parquet(path), f)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert plan.count("FileScan") == 1
+    assert "GreaterThanOrEqual(invoicedate,1995-03-01" in plan and "LessThanOrEqual(invoicedate,1996-06-20" in plan

@@ -9,7 +9,6 @@ Layers
 ``functions``  column-expression helpers (derived measures, calendar parts, formatting)
 ``operators``  cleaning, quality profiles, KPIs, trends, rankings, customers, products
 ``plans``      the end-to-end jobs: pipeline, report, dashboard panels
-``streaming``  incremental ingestion of raw files with the same cleaning plan
 """
 
 __version__ = "0.1.0"

@@ -1,8 +1,7 @@
 """Command-line entry points, for ``spark-submit`` or ``python -m tillpoint``.
 
-    python -m tillpoint summaries --raw DIR [--format csv|parquet] --out DIR [--warehouse DIR]
+    python -m tillpoint summaries --raw DIR [--format csv|parquet] --out DIR --warehouse DIR
     python -m tillpoint report --cleaned DIR --summary DIR --warehouse DIR --reports DIR [--run-ts TS]
-    python -m tillpoint ingest --landing DIR --table DIR [--checkpoint DIR] [--format csv|parquet]
 
 The master comes from ``spark-submit`` (or ``--master`` for a local run).
 """
@@ -17,24 +16,19 @@ import json
 def main(argv: list[str] | None = None, spark=None) -> dict:
     ap = argparse.ArgumentParser(prog="tillpoint")
     ap.add_argument("--master", default=None)
-    ap.add_argument("--shuffle-partitions", type=int, default=200)
+    ap.add_argument("--shuffle-partitions", type=int, default=None, help="default: the session's own setting")
     sub = ap.add_subparsers(dest="cmd", required=True)
     s = sub.add_parser("summaries", help="raw lines -> cleaned lines, customer summary, product analysis")
     s.add_argument("--raw", required=True)
     s.add_argument("--format", default="csv", choices=["csv", "parquet"])
     s.add_argument("--out", required=True)
-    s.add_argument("--warehouse", default=None)
+    s.add_argument("--warehouse", required=True)
     r = sub.add_parser("report", help="cleaned CSV + summary CSV -> tables and report results")
     r.add_argument("--cleaned", required=True)
     r.add_argument("--summary", required=True)
     r.add_argument("--warehouse", required=True)
     r.add_argument("--reports", required=True)
     r.add_argument("--run-ts", default=None)
-    i = sub.add_parser("ingest", help="append newly landed raw files, cleaned, to a table")
-    i.add_argument("--landing", required=True)
-    i.add_argument("--table", required=True)
-    i.add_argument("--checkpoint", default=None)
-    i.add_argument("--format", default="csv", choices=["csv", "parquet"])
     a = ap.parse_args(argv)
 
     if spark is None:
@@ -47,16 +41,10 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         run = run_summaries(spark, a.raw, a.out, fmt=a.format, warehouse_dir=a.warehouse)
         overview = run.overview.first().asDict()  # one row
         out = {"csv": run.csv_paths, "overview": {k: str(v) for k, v in overview.items()}}
-    elif a.cmd == "report":
+    else:
         from .plans.report import run_report
 
         ts = a.run_ts or dt.datetime.now().strftime("%Y%m%d_%H%M%S")
         out = {"run_timestamp": ts, "results": run_report(spark, a.cleaned, a.summary, a.warehouse, a.reports, ts)}
-    else:
-        from .streaming import start_ingest
-
-        q = start_ingest(spark, a.landing, a.table, a.checkpoint, fmt=a.format)
-        q.awaitTermination()
-        out = {"table": a.table, "batches": len(q.recentProgress)}
     print(json.dumps(out, default=str))
     return out

@@ -6,7 +6,7 @@ country; pass a ``Filters`` with a country to get a single one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import int_sum, money_sum, month_start, weekday0, weekday_abbr
@@ -26,14 +26,14 @@ def monthly_revenue(sales: DataFrame, f: Filters | None = None, by=("country",),
     df = apply_filters(sales, f)
     g = df.groupBy(*_by(by), month_start("invoicedate").alias("month"))
     out = g.agg(F.coalesce(money_sum("net_revenue", MONEY), F.lit(0).cast(MONEY)).alias("revenue"))
-    return out.withColumn("month_label", F.date_format("month", label_fmt))
+    return out.withColumn("month_label", F.date_format("month", label_fmt)).orderBy(*_by(by), "month")
 
 
 def monthly_positive_revenue(sales: DataFrame, f: Filters | None = None, by=()) -> DataFrame:
     """Revenue per month over positive lines only (the report's series)."""
     df = apply_filters(sales, f).filter(positive("net_revenue"))
     return (df.groupBy(*_by(by), month_start("invoicedate").alias("month"))
-            .agg(money_sum("net_revenue", MONEY).alias("monthly_revenue")))
+            .agg(money_sum("net_revenue", MONEY).alias("monthly_revenue")).orderBy(*_by(by), "month"))
 
 
 def monthly_sales(sales: DataFrame, f: Filters | None = None, by=()) -> DataFrame:
@@ -42,7 +42,7 @@ def monthly_sales(sales: DataFrame, f: Filters | None = None, by=()) -> DataFram
     return (df.groupBy(*_by(by), month_start("invoicedate").alias("month"))
             .agg(money_sum("net_revenue", MONEY).alias("monthly_revenue"),
                  F.count(F.lit(1)).alias("transactions"),
-                 int_sum("sale_qty").alias("items_sold")))
+                 int_sum("sale_qty").alias("items_sold")).orderBy(*_by(by), "month"))
 
 
 def peak_month(monthly: DataFrame, value: str = "monthly_revenue", by=(), label_fmt: str = "MMM yyyy") -> DataFrame:
@@ -63,29 +63,41 @@ def monthly_comparison(sales: DataFrame, f: Filters, mode: str = "yoy", by=("cou
     """Monthly revenue next to the revenue of the comparison month.
 
     ``mode='yoy'``: same month one year earlier; ``mode='prev'``: the month
-    ``n`` months earlier, n = months in the selected window. The comparison
-    side is the same monthly series *without* the date filter, joined on
-    (by, month): a join of two month-grain aggregates, gap-safe (a missing
+    ``n`` months earlier, n = months in the selected window. Comparison months
+    are whole, the window's first and last month are cut by its bounds. One
+    scan reads from the first comparison month to the window's end; the
+    comparison is a range window over the month-grain sums, gap-safe (a missing
     month gives NULL, never a neighbour's value as ``lag`` would).
     """
     keys = _by(by)
-    current = monthly_revenue(sales, f, keys)
     if mode == "none":
-        return current
+        return monthly_revenue(sales, f, keys)
     if mode == "yoy":
-        shift = F.lit(12)
+        shift = 12
     elif mode == "prev":
         if not f.has_range:
             raise ValueError("mode='prev' needs a date range")
-        shift = months_in_window(f.start, f.end)
+        shift = sales.sparkSession.range(1).select(months_in_window(f.start, f.end)).first()[0]
     else:
         raise ValueError(f"unknown comparison mode {mode!r}")
-    base = monthly_revenue(sales, f.without_dates(), keys).select(
-        *[F.col(k).alias(f"_c_{k}") for k in keys],
-        F.col("month").alias("_c_month"), F.col("revenue").alias("compare_revenue"))
-    cur = current.withColumn("compare_month", F.timestamp_add("MONTH", -shift, F.col("month")))
-    cond = [cur[k].eqNullSafe(base[f"_c_{k}"]) for k in keys] + [cur["compare_month"] == base["_c_month"]]
-    return cur.join(base, cond, "left").select(*current.columns, "compare_month", "compare_revenue")
+    df, when = apply_filters(sales, f.without_dates()), F.col("invoicedate")
+    inside = F.lit(True)
+    if f.start is not None:
+        df = df.where(when >= F.timestamp_add("MONTH", F.lit(-shift), month_start(ts_bound(f.start))))
+        inside &= when >= ts_bound(f.start)
+    if f.end is not None:
+        df = df.where(when <= ts_bound(f.end))
+    money = F.lit(0).cast(MONEY)
+    months = (df.withColumn("_in", inside).withColumn("_part", F.when(inside, F.col("net_revenue")))
+              .groupBy(*keys, month_start("invoicedate").alias("month"))
+              .agg(F.coalesce(money_sum("_part", MONEY), money).alias("revenue"), F.bool_or("_in").alias("_in"),
+                   F.coalesce(money_sum("net_revenue", MONEY), money).alias("_all")))
+    index = F.year("month") * 12 + F.month("month")
+    back = Window.partitionBy(*keys).orderBy("_index").rangeBetween(-shift, -shift)
+    return (months.withColumn("_index", index).withColumn("compare_revenue", F.max("_all").over(back)).where("_in")
+            .select(*keys, "month", "revenue", F.date_format("month", "MMM yy").alias("month_label"),
+                    F.timestamp_add("MONTH", F.lit(-shift), F.col("month")).alias("compare_month"), "compare_revenue")
+            .orderBy(*keys, "month"))
 
 
 def sales_by_weekday(sales: DataFrame, f: Filters | None = None, by=("country",)) -> DataFrame:
@@ -94,7 +106,7 @@ def sales_by_weekday(sales: DataFrame, f: Filters | None = None, by=("country",)
     return (df.groupBy(*_by(by), weekday0("invoicedate").alias("day_num"),
                        weekday_abbr("invoicedate").alias("day_name"))
             .agg(F.coalesce(money_sum("net_revenue", MONEY), F.lit(0).cast(MONEY)).alias("revenue"),
-                 F.count(F.lit(1)).alias("transactions")))
+                 F.count(F.lit(1)).alias("transactions")).orderBy(*_by(by), "day_num"))
 
 
 def hour_weekday_revenue(sales: DataFrame, f: Filters | None = None, by=("country",)) -> DataFrame:
@@ -102,7 +114,8 @@ def hour_weekday_revenue(sales: DataFrame, f: Filters | None = None, by=("countr
     df = apply_filters(sales, f)
     return (df.groupBy(*_by(by), weekday0("invoicedate").alias("day_num"),
                        F.hour("invoicedate").alias("hour"))
-            .agg(F.coalesce(money_sum("net_revenue", MONEY), F.lit(0).cast(MONEY)).alias("revenue")))
+            .agg(F.coalesce(money_sum("net_revenue", MONEY), F.lit(0).cast(MONEY)).alias("revenue"))
+            .orderBy(*_by(by), "day_num", "hour"))
 
 
 def hour_weekday_heatmap(sales: DataFrame, f: Filters | None = None, by=("country",)) -> DataFrame:
@@ -118,4 +131,4 @@ def hour_weekday_heatmap(sales: DataFrame, f: Filters | None = None, by=("countr
     renamed = grid.select(*_by(by), "hour",
                           *[F.coalesce(F.col(str(i)), F.lit(0).cast(MONEY)).alias(d.lower())
                             for i, d in enumerate(DAY_ABBREVIATIONS)])
-    return renamed
+    return renamed.orderBy(*_by(by), "hour")

@@ -27,34 +27,35 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20, mini
     return max(minimum, -(-int(input_bytes) // int(target_bytes)))
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tillpoint",
+def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "tillpoint",
                   extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings the operators assume.
 
-    On a cluster pass ``master=None`` so the launcher's master is kept, and
-    size ``shuffle_partitions`` to the input with ``shuffle_partitions_for``
-    (AQE coalesces small partitions and splits skewed ones).
+    The launcher's master is kept unless one is given, and so is its number of
+    shuffle partitions; ``shuffle_partitions_for`` sizes one to the input (AQE
+    coalesces small partitions and splits skewed ones).
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.ui.enabled"] = "false"
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared lineage-cut folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when the session has none (local
-    tests) is a private scratch folder created and registered.
+    The cluster's setting always wins. Only a local master without one (tests)
+    gets a private scratch folder; elsewhere executors could not share it, so
+    its absence is an error.
     """
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -62,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if sc.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tillpoint-ckpt-")
     sc.setCheckpointDir(local)
     return local

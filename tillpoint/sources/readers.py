@@ -9,16 +9,22 @@ from ..operators.clean import lowercase_columns
 from ..schema import CLEAN_SCHEMA, PIPELINE_SUMMARY_SCHEMA, RAW_SCHEMA
 
 
+# standard CSV: a quote within a quoted field is doubled; blanks are kept
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "FAILFAST",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def read_transactions(spark: SparkSession, path: str, fmt: str = "csv", schema=RAW_SCHEMA,
-                      timestamp_format: str | None = None) -> DataFrame:
+                      timestamp_format: str | None = None, multi_line: bool = False) -> DataFrame:
     """SK1: raw invoice lines from a CSV (with header) or Parquet folder.
 
     CSV is read with the declared schema (splittable, no inference pass);
-    an empty field reads as NULL, as in any CSV interchange. Parquet columns
-    are cast to the schema so later stages see the same types.
+    an empty field reads as NULL, as in any CSV interchange. ``multi_line``
+    accepts line breaks within quoted fields, at the cost of splitting files.
+    Parquet columns are cast to the schema so later stages see the same types.
     """
     if fmt == "csv":
-        r = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
+        r = spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", multi_line)
         if timestamp_format:
             r = r.option("timestampNTZFormat", timestamp_format)
         return r.csv(path)
@@ -28,10 +34,11 @@ def read_transactions(spark: SparkSession, path: str, fmt: str = "csv", schema=R
     raise ValueError(f"unsupported format {fmt!r}")
 
 
-def load_csv_data(spark: SparkSession, cleaned_path: str, customer_path: str) -> tuple[DataFrame, DataFrame]:
+def load_csv_data(spark: SparkSession, cleaned_path: str, customer_path: str,
+                  multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
     """SK2: the pipeline's cleaned lines and customer summary, column names in
-    lower case, timestamps parsed (ISO text)."""
-    lines = spark.read.schema(CLEAN_SCHEMA).option("header", True).option("mode", "FAILFAST").csv(cleaned_path)
-    summary = (spark.read.schema(PIPELINE_SUMMARY_SCHEMA).option("header", True).option("mode", "FAILFAST")
-               .csv(customer_path))
+    lower case, timestamps parsed (ISO text). Descriptions may hold line breaks;
+    ``multi_line=False`` reads files without any in splits."""
+    r = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
+    lines, summary = r.schema(CLEAN_SCHEMA).csv(cleaned_path), r.schema(PIPELINE_SUMMARY_SCHEMA).csv(customer_path)
     return lowercase_columns(lines), lowercase_columns(summary)

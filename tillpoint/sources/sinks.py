@@ -26,7 +26,9 @@ def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None
 
 
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """SK5 + SK4: clear-then-append as one atomic replace."""
+    """SK5 + SK4: clear, then append. Not atomic: the old rows go before the new
+    ones are written, so ``df`` must not read ``path`` and a failed write leaves
+    no table; write it again from its source."""
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -39,7 +41,8 @@ def clear_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def save_results(clean: DataFrame, summary: DataFrame, output_dir: str) -> dict[str, str]:
@@ -52,8 +55,8 @@ def save_results(clean: DataFrame, summary: DataFrame, output_dir: str) -> dict[
 
 
 def save_with_latest(df: DataFrame, base_dir: str, name: str, run_timestamp: str) -> dict[str, str] | None:
-    """SK8: write a (small) result under its run timestamp and as 'latest';
-    skip when empty.
+    """SK8: write a (small) result under ``name/runs/run_ts=...`` (readable as one
+    dataset of all runs) and as ``name/latest``; skip when empty.
 
     The result is persisted so the emptiness check and both writes compute
     it once.
@@ -63,7 +66,7 @@ def save_with_latest(df: DataFrame, base_dir: str, name: str, run_timestamp: str
     try:
         if df.isEmpty():
             return None
-        paths = {"run": f"{base}/{name}/run_ts={run_timestamp}", "latest": f"{base}/{name}/latest"}
+        paths = {"run": f"{base}/{name}/runs/run_ts={run_timestamp}", "latest": f"{base}/{name}/latest"}
         write_csv(df, paths["run"])
         write_csv(df, paths["latest"])
         return paths
@@ -72,9 +75,11 @@ def save_with_latest(df: DataFrame, base_dir: str, name: str, run_timestamp: str
 
 
 def export_rows(sales: DataFrame, f: Filters) -> DataFrame:
-    """SK9 rows: the filtered lines, newest first (a range-partitioned sort).
+    """SK9 rows: the filtered lines, newest first (a range-partitioned sort),
+    lines without a date first, lines of one time in the order of their keys.
     A month-partitioned table's layout column is not exported."""
-    rows = apply_filters(sales, f).orderBy(F.col("invoicedate").desc())
+    rows = apply_filters(sales, f).orderBy(
+        F.col("invoicedate").desc_nulls_first(), "invoiceno", "stockcode", "customerid")
     return rows.drop(MONTH_PARTITION)
 
 
