@@ -23,7 +23,8 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Once for each application: bound Arrow batches, and give the executors this package's code, as ``--py-files`` does, so that tasks can import it
+    """Once for each application: bound Arrow batches, and give the executors
+    this package's code, as ``--py-files`` does, so that tasks can import it
     wherever it is run from."""
     package = Path(__file__).resolve().parents[1]
     app = spark.sparkContext.applicationId
