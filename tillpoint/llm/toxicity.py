@@ -25,7 +25,7 @@ from .common import packs, release, spans_of, stage
 
 _WORD = re.compile(r"\w+")
 BATCH_BYTES = 1 << 22
-CACHE = 300_000
+CACHE = 150_000
 
 
 def features(word: str) -> list[str]:
