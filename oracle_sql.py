@@ -198,6 +198,12 @@ grp AS (SELECT {ALL_RAW}, COUNT(*) AS n FROM filled GROUP BY ALL)"""
 
 # --- sources / sinks -------------------------------------------------------------
 oracle("sk3_summary_table", "clean", "SELECT * FROM ctable", DOMAIN + "," + CUSTOMER_AGG)
+oracle("sk3_key_check", "clean", """
+SELECT CAST(COUNT(*) AS BIGINT) AS total_rows, COUNT(DISTINCT customerid) AS unique_keys,
+       (SELECT COUNT(*) FROM (SELECT customerid FROM ctable WHERE customerid IS NOT NULL
+                              GROUP BY customerid HAVING COUNT(*) > 1)) AS repeated_keys,
+       COUNT(*) FILTER (WHERE customerid IS NULL) AS null_keys
+FROM ctable""", DOMAIN + "," + CUSTOMER_AGG)
 oracle("sk6_sql_top_countries", "sales", f"""
 SELECT country, CAST(SUM(net_revenue) AS {M2}) AS revenue FROM sales
 WHERE net_revenue > 0 AND country IS NOT NULL AND country <> 'Unspecified'

@@ -55,6 +55,13 @@ def test_kpi_block_is_one_scan_with_pushed_range(wh):
     assert "Subquery" not in p  # bounds are literals
 
 
+@pytest.mark.parametrize("name", ["a17_kpi_block", "a38_financial_summary"])
+def test_lines_are_summed_before_the_distinct_counts_expand(wh, name):
+    lines = main_plan(OPERATORS[name](wh)).splitlines()  # top-down
+    expand = [i for i, line in enumerate(lines) if "Expand" in line]
+    assert len(expand) == 1 and any("HashAggregate" in line for line in lines[expand[0]:])
+
+
 def test_column_pruning(wh):
     p = main_plan(trends.monthly_positive_revenue(wh.sales))
     assert "ReadSchema: struct<invoicedate:timestamp_ntz,net_revenue:decimal(12,2)>" in p

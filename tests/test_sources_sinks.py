@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001
@@ -9,8 +10,10 @@ from tests.helpers import raw_df
 from tillpoint.fixture import raw_transactions
 from tillpoint.operators import clean as C
 from tillpoint.operators.filters import Filters
-from tillpoint.schema import RAW_COLUMNS, SALES_SCHEMA
+from tillpoint.operators.quality import duplicate_rows, unique_check
+from tillpoint.schema import RAW_COLUMNS, SALES_LENGTHS, SALES_SCHEMA
 from tillpoint.sources import readers, sinks, tables
+from tillpoint.sources.tables import check_lengths
 
 
 def _same(a, b):
@@ -63,6 +66,28 @@ def test_sk3_conform_and_sk4_sk5_tables(spark, scratch):
     assert spark.read.parquet(path).count() == 1
 
 
+def test_sk3_lengths_are_checked_on_write(spark, scratch):
+    good = ("1", "A", "x" * 500, 2, "2011-01-01 10:00", 1, "c" * 20, "France")
+    sales = C.to_sales_table(C.clean_transactions(raw_df(spark, [good, good[:6] + (None, None)])))
+    checked = check_lengths(sales, SALES_LENGTHS)
+    assert checked.columns == sales.columns and _same(checked, sales)
+    bad = C.to_sales_table(C.clean_transactions(raw_df(spark, [good, ("9" * 50,) + good[1:]])))
+    with pytest.raises(Exception, match="value too long for invoiceno"):
+        sinks.replace_table(check_lengths(bad, SALES_LENGTHS), f"{scratch}/bad")
+
+
+def test_sk3_key_check(spark):
+    t = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "customerid string")
+    assert tuple(unique_check(t).first()) == (4, 2, 1, 1)
+    assert tuple(unique_check(t.limit(0)).first()) == (0, 0, 0, 0)
+
+
+def test_d4_sample_reads_the_first_groups(spark):
+    t = spark.createDataFrame([(k, "x") for k in range(30) for _ in range(1 + k % 3)], "k int, v string")
+    got = [r.k for r in duplicate_rows(t, sample=5).collect()]
+    assert got == [1, 2, 2, 4, 5]
+
+
 def test_sk6_run_sql_binds_values(spark):
     rows = [("1", "A", "x", 2, "2011-01-01 10:00", 1, "c1", "O'Brien Land"),
             ("2", "A", "x", 2, "2011-01-01 10:00", 1, "c1", "France")]

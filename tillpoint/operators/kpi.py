@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import int_sum, mean, money_sum, safe_ratio
+from ..functions.columns import int_sum, mean, money_sum, ratio, safe_ratio
 from ..functions.format import format_pattern, format_value
 from ..schema import COMPLETENESS_OK_PCT
 from .filters import Filters, apply_filters, in_range, non_blank, previous_period, prune_months
@@ -48,19 +48,33 @@ def kpi_block(sales: DataFrame, f: Filters | None = None, by=("country",)) -> Da
         df = prune_months(df, prev_start, f.end).filter(cur | prev)
     else:
         cur, prev, days = F.lit(True), F.lit(False), F.lit(0)
-    net = F.col("net_revenue")
-
-    agg = df.groupBy(*keys).agg(
-        F.coalesce(money_sum(F.when(cur, net), MONEY), _zero_money()).alias("total_revenue"),
-        F.count_if(cur).alias("total_transactions"),
-        F.coalesce(mean(net, cur), F.lit(0.0)).alias("avg_order"),
-        F.count_distinct(F.when(cur, F.col("customerid"))).alias("total_customers"),
-        F.coalesce(int_sum(F.when(cur, F.col("sale_qty"))), F.lit(0).cast("bigint")).alias("total_qty"),
-        F.coalesce(int_sum(F.when(cur, F.col("return_qty"))), F.lit(0).cast("bigint")).alias("return_qty"),
-        F.coalesce(mean("total_items", cur), F.lit(0.0)).alias("avg_items_exact"),
-        F.count_distinct(F.when(prev, F.to_date(ts))).alias("days_with_data"),
-        F.count_if(prev).alias("prev_records"),
-        F.coalesce(money_sum(F.when(prev, net), MONEY), _zero_money()).alias("prev_revenue"),
+    net, items = F.col("net_revenue"), F.col("total_items")
+
+    # Two distinct counts expand every row they see. Lines are first summed by
+    # customer and day, map-side, so that only those sums are expanded.
+    sums = df.groupBy(*keys, "customerid", F.to_date(ts).alias("_day")).agg(
+        money_sum(F.when(cur, net), MONEY).alias("_net"),
+        F.count(F.when(cur, net)).alias("_net_n"),
+        F.count_if(cur).alias("_lines"),
+        int_sum(F.when(cur, F.col("sale_qty"))).alias("_sold"),
+        int_sum(F.when(cur, F.col("return_qty"))).alias("_returned"),
+        int_sum(F.when(cur, items)).alias("_items"),
+        F.count(F.when(cur, items)).alias("_items_n"),
+        F.count_if(prev).alias("_prev_lines"),
+        money_sum(F.when(prev, net), MONEY).alias("_prev_net"),
+    )
+    zero = F.lit(0).cast("bigint")
+    agg = sums.groupBy(*keys).agg(
+        F.coalesce(money_sum("_net", MONEY), _zero_money()).alias("total_revenue"),
+        F.coalesce(int_sum("_lines"), zero).alias("total_transactions"),
+        F.coalesce(ratio(F.sum("_net"), F.sum("_net_n")), F.lit(0.0)).alias("avg_order"),
+        F.count_distinct(F.when(F.col("_lines") > 0, F.col("customerid"))).alias("total_customers"),
+        F.coalesce(int_sum("_sold"), zero).alias("total_qty"),
+        F.coalesce(int_sum("_returned"), zero).alias("return_qty"),
+        F.coalesce(ratio(F.sum("_items"), F.sum("_items_n")), F.lit(0.0)).alias("avg_items_exact"),
+        F.count_distinct(F.when(F.col("_prev_lines") > 0, F.col("_day"))).alias("days_with_data"),
+        F.coalesce(int_sum("_prev_lines"), zero).alias("prev_records"),
+        F.coalesce(money_sum("_prev_net", MONEY), _zero_money()).alias("prev_revenue"),
     )
     return derive_kpis(agg.withColumn("expected_days", days.cast("bigint")))
 
@@ -138,12 +152,19 @@ def distinct_values(sales: DataFrame, col: str) -> DataFrame:
 
 
 def financial_summary(sales: DataFrame) -> DataFrame:
-    """One row of totals and distinct counts."""
-    return sales.agg(
-        money_sum("revenue", MONEY).alias("total_revenue"),
-        money_sum("net_revenue", MONEY).alias("total_net_revenue"),
-        int_sum("sale_qty").alias("total_items_sold"),
-        int_sum("return_qty").alias("total_items_returned"),
+    """One row of totals and distinct counts, taken from sums by customer
+    and product (the distinct counts expand those, not the lines)."""
+    sums = sales.groupBy("customerid", "stockcode").agg(
+        money_sum("revenue", MONEY).alias("_revenue"),
+        money_sum("net_revenue", MONEY).alias("_net"),
+        int_sum("sale_qty").alias("_sold"),
+        int_sum("return_qty").alias("_returned"),
+    )
+    return sums.agg(
+        money_sum("_revenue", MONEY).alias("total_revenue"),
+        money_sum("_net", MONEY).alias("total_net_revenue"),
+        int_sum("_sold").alias("total_items_sold"),
+        int_sum("_returned").alias("total_items_returned"),
         F.count_distinct("customerid").alias("unique_customers"),
         F.count_distinct("stockcode").alias("unique_products"),
     )

@@ -34,10 +34,14 @@ def duplicate_rows(df: DataFrame, sample: int | None = None, chunk: int = 100_00
     linear in the output, never pairs. A group of copies larger than
     ``chunk`` is first split into chunk descriptors spread over all shuffle
     partitions, so no single task regenerates a huge group. ``sample``
-    returns the first lines in column order.
+    returns the first lines in column order; as every group has a copy, they
+    are found in the first ``sample`` groups, and only those are regenerated.
     """
     cols = df.columns
+    order = [F.col(c).asc_nulls_first() for c in cols]
     g = _groups(df).filter(F.col("_n") > 1)
+    if sample is not None:
+        g = g.orderBy(*order).limit(sample)
     n = F.col("_n")
     pieces = g.select(*cols, n.alias("_n"),
                       F.explode(F.sequence(F.lit(0), F.floor((n - 2) / F.lit(chunk)).cast("long"))).alias("_chunk"))
@@ -47,7 +51,7 @@ def duplicate_rows(df: DataFrame, sample: int | None = None, chunk: int = 100_00
     hi = F.least(F.col("_n"), lo + F.lit(chunk - 1))
     out = spread.select(*cols, F.explode(F.sequence(lo, hi)).alias("_copy")).select(*cols)
     if sample is not None:
-        out = out.orderBy(*[F.col(c).asc_nulls_first() for c in cols]).limit(sample)
+        out = out.orderBy(*order).limit(sample)
     return out
 
 
@@ -128,6 +132,17 @@ def key_check(sales: DataFrame, keys=("invoiceno", "stockcode", "customerid")) -
                      F.count_distinct(composite_key(*keys)).alias("unique_rows"))
 
 
+def unique_check(table: DataFrame, key: str = "customerid") -> DataFrame:
+    """SK3: rows, distinct keys, keys found more than once, rows without a
+    key. A primary key holds when the last two are 0."""
+    per_key = table.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    known = F.col(key).isNotNull()
+    return per_key.agg(F.coalesce(int_sum("_n"), F.lit(0).cast("bigint")).alias("total_rows"),
+                       F.count_if(known).alias("unique_keys"),
+                       F.count_if(known & (F.col("_n") > 1)).alias("repeated_keys"),
+                       F.coalesce(int_sum(F.when(~known, F.col("_n"))), F.lit(0).cast("bigint")).alias("null_keys"))
+
+
 def load_check(sales: DataFrame, summary: DataFrame) -> DataFrame:
     """Lines in both tables and lines per customer (NULL if no customers)."""
     base = sales.agg(F.count(F.lit(1)).alias("sales_count"))

@@ -67,6 +67,11 @@ def _sk3s(src):
     return src.summary_table
 
 
+@register("sk3_key_check")
+def _sk3k(src):
+    return quality.unique_check(src.summary_table)
+
+
 @register("sk6_sql_top_countries")
 def _sk6(src):
     sql = """

@@ -11,10 +11,10 @@ from pyspark.sql import SparkSession
 
 from ..operators import kpi, quality, rankings, trends
 from ..operators.clean import SALES_KEY, dedup_keys
-from ..schema import SALES_SCHEMA, SUMMARY_SCHEMA
+from ..schema import SALES_LENGTHS, SALES_SCHEMA, SUMMARY_LENGTHS, SUMMARY_SCHEMA
 from ..sources.readers import load_csv_data
 from ..sources.sinks import replace_table, save_with_latest
-from ..sources.tables import conform
+from ..sources.tables import check_lengths, conform
 from .inputs import WarehouseInputs
 
 
@@ -22,10 +22,10 @@ def run_report(spark: SparkSession, cleaned_csv: str, summary_csv: str, warehous
                run_timestamp: str) -> dict[str, dict | None]:
     lines, summary = load_csv_data(spark, cleaned_csv, summary_csv)
     order = ["description", "quantity", "invoicedate", "unitprice", "country"]
-    sales = conform(dedup_keys(lines, SALES_KEY, order), SALES_SCHEMA)
+    sales = check_lengths(conform(dedup_keys(lines, SALES_KEY, order), SALES_SCHEMA), SALES_LENGTHS)
     root = warehouse_dir.rstrip("/")
     replace_table(sales, f"{root}/sales_data")
-    replace_table(conform(summary, SUMMARY_SCHEMA), f"{root}/customer_summary")
+    replace_table(check_lengths(conform(summary, SUMMARY_SCHEMA), SUMMARY_LENGTHS), f"{root}/customer_summary")
     wh = WarehouseInputs(spark, root)
     tables = wh.sales
     results = {

@@ -14,10 +14,10 @@ from ..operators.clean import clean_transactions, customer_domain, lowercase_col
 from ..functions.columns import month_start
 from ..operators.customers import customer_summary
 from ..operators.filters import MONTH_PARTITION
-from ..schema import SUMMARY_SCHEMA
+from ..schema import SALES_LENGTHS, SUMMARY_LENGTHS, SUMMARY_SCHEMA
 from ..session import checkpoint_root
 from ..sources.sinks import replace_table
-from ..sources.tables import conform
+from ..sources.tables import check_lengths, conform
 from .inputs import WarehouseInputs
 
 
@@ -52,7 +52,7 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
     # sorted on time within each output file: every row group covers a narrow
     # time span, so date-range filters skip row groups by their min/max
     # statistics, without an extra shuffle for the write.
-    sales = to_sales_table(clean)
+    sales = check_lengths(to_sales_table(clean), SALES_LENGTHS)
     if layout == "monthly":
         sales = (sales.withColumn(MONTH_PARTITION, month_start("invoicedate").cast("date"))
                  .repartitionByRange(MONTH_PARTITION, "invoicedate")
@@ -63,5 +63,6 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
     else:
         raise ValueError(f"unknown layout {layout!r}")
     replace_table(customer_summary(clean, wh.domain, sort=False), f"{root}/customer_summary_lines")
-    replace_table(conform(lowercase_columns(wh.summary), SUMMARY_SCHEMA), f"{root}/customer_summary")
+    replace_table(check_lengths(conform(lowercase_columns(wh.summary), SUMMARY_SCHEMA), SUMMARY_LENGTHS),
+                  f"{root}/customer_summary")
     return WarehouseInputs(spark, root, raw=raw)

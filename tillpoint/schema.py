@@ -85,6 +85,10 @@ SUMMARY_SCHEMA = T.StructType(
     ]
 )
 
+# Declared text lengths of the two tables (fixed values).
+SALES_LENGTHS = {"invoiceno": 20, "stockcode": 50, "customerid": 20, "country": 100, "is_free_item": 3}
+SUMMARY_LENGTHS = {"customerid": 20, "customer_value": 20}
+
 # Column order of the pipeline's customer summary (source-file names).
 SUMMARY_COLUMNS = [
     "CustomerID",

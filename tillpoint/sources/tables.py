@@ -18,8 +18,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     Decimal casts round half away from zero; a double goes through its
     shortest decimal text first (what a CSV round trip stores). With ANSI on,
-    a value that does not fit the declared precision raises, as an insert
-    into the table would.
+    a number that does not fit the declared precision raises. Text lengths are
+    checked when a table is written (``check_lengths``).
     """
     by_lower = {c.lower(): c for c in df.columns}
     missing = [f.name for f in schema.fields if f.name.lower() not in by_lower]
@@ -28,6 +28,16 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(by_lower[f.name.lower()]).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def check_lengths(df: DataFrame, lengths: Mapping[str, int]) -> DataFrame:
+    """The same rows; a text with more characters than its column declares
+    raises, as an insert into the table would."""
+    def checked(name: str, limit: int):
+        message = F.concat(F.lit(f"value too long for {name} varchar({limit}): "), F.col(name))
+        return F.when(F.char_length(name) > limit, F.raise_error(message)).otherwise(F.col(name))
+
+    return df.withColumns({name: checked(name, limit) for name, limit in lengths.items()})
+
+
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
