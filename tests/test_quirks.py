@@ -259,6 +259,28 @@ def test_exact_quantiles_match_numpy_and_split_hot_group(spark, n):
     assert whole == pytest.approx(float(np.quantile(np.array(hot + small + [1.0, 3.0]), 0.5)))
 
 
+def test_quartiles_collapse_ties_and_start_no_job(spark):
+    import numpy as np
+
+    vals = [0] * 9000 + [int(x) for x in np.random.default_rng(3).integers(-10**6, 10**6, size=1000)]
+    rfm = spark.createDataFrame([("hot", Decimal(v) / 100) for v in vals] + [("none", None), (None, Decimal(7))],
+                                "country string, monetary decimal(38,2)").repartition(8)
+    counts = customers._value_counts(rfm, "monetary", ["country"])
+    assert counts.filter("country = 'hot'").count() <= 1001  # nine tenths of the rows are one row with a count
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("quartiles", "plan only")
+    seg = customers.quartile_segments(rfm)
+    assert not tracker.getJobIdsForGroup("quartiles")
+    spark.sparkContext.setJobGroup("", "")
+    assert "rangepartitioning" not in seg._jdf.queryExecution().executedPlan().toString()
+    got = {(r.country, r.segment): r.customer_count for r in seg.collect()}
+    v = np.array(vals) / 100
+    edges = [-np.inf, *np.quantile(v, [0.25, 0.5, 0.75]), np.inf]
+    for lo, hi, name in zip(edges, edges[1:], ("Bronze", "Silver", "Gold", "Platinum")):
+        assert got["hot", name] == ((v > lo) & (v <= hi)).sum()
+    assert got[None, "Bronze"] == 1 and not any(k == "none" for k, _ in got)
+
+
 def test_shuffle_partition_sizing():
     from tillpoint.session import shuffle_partitions_for
 

@@ -20,7 +20,6 @@ from ..schema import (
     VALUE_NEGATIVE,
     VALUE_POSITIVE,
 )
-from ..session import ensure_checkpoint_dir
 from .filters import Filters, apply_filters, known_customer
 
 MONEY = "decimal(38,2)"
@@ -112,69 +111,73 @@ def rfm_base(sales: DataFrame, f: Filters | None = None, by=("country",)) -> Dat
     )
 
 
+def _value_counts(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    """(keys..., _x, _n): the distinct values of each group and how often each
+    occurs. Ties are combined before the shuffle; missing values have no rank."""
+    return (df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_x"))
+            .agg(F.count(F.lit(1)).alias("_n")))
+
+
+def _magnitude(v: Column) -> Column:
+    """An integer that never falls as ``v`` rises: 256 steps for each doubling,
+    so at most some 700,000 different ones, whatever the data."""
+    size = F.floor(F.log2(F.abs(v)) * 256) + F.lit(1 << 20)
+    return F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0).cast("bigint"))
+
+
+def _same(left: list[str], right: list[str]) -> list[Column]:
+    return [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)]
+
+
+def _cuts(counts: DataFrame, probs, keys: list[str]) -> DataFrame:
+    """Quantiles of ``_value_counts``, one row per group: (keys..., _q)."""
+    v = F.col("_x").cast("double")
+    placed = counts.select(*keys, v.alias("_v"), "_n", _magnitude(v).alias("_m"))
+    by_size = Window.partitionBy(*keys).orderBy("_m")
+    steps = placed.groupBy(*keys, "_m").agg(F.sum("_n").alias("_c")).select(
+        *keys, "_m", "_c",
+        F.coalesce(F.sum("_c").over(by_size.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.sum("_c").over(Window.partitionBy(*keys)).alias("_total"))
+    n1 = (F.col("_total") - 1).cast("double")
+    ranks = F.array_distinct(F.array(*[side(n1 * p) for p in probs for side in (F.floor, F.ceil)]))
+    here = F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_c")))
+    on = [*keys, "_m"]
+    renamed = [f"_t{i}" for i in range(len(on))]
+    steps = (steps.select(*[F.col(c).alias(r) for c, r in zip(on, renamed)], "_before", "_total", here.alias("_ranks"))
+             .filter(F.size("_ranks") > 0))
+    last = F.col("_before") + F.sum("_n").over(Window.partitionBy(*on).orderBy("_v"))
+    held = F.filter("_ranks", lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("_n")))
+    # a few rows for each group: its needed ranks and their values
+    at = (placed.join(steps, on=_same(on, renamed)).select(*keys, "_v", "_total", "_n", "_ranks", last.alias("_end"))
+          .select(*keys, "_v", "_total", F.explode(held).alias("_rank"))
+          .groupBy(*keys).agg(F.first("_total").alias("_total"),
+                              F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at")))
+    cuts = []
+    for p in probs:
+        lo_v, hi_v = (F.element_at("_at", side(n1 * p)) for side in (F.floor, F.ceil))
+        cuts.append(lo_v + (hi_v - lo_v) * (n1 * p - F.floor(n1 * p)))
+    return at.select(*keys, F.array(*cuts).alias("_q"))
+
+
 def exact_quantiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
     """Linear-interpolated quantiles of ``value`` per ``by`` group, exactly,
-    without ever holding one group in one task.
+    lazily, and without ever holding one group in one task.
 
-    1. Range-partition on (by, value) and sort within partitions: a hot group
-       is split over many partitions.
-    2. ``monotonically_increasing_id`` then numbers the rows of each
-       partition in sorted order (materialised once by a checkpoint); small
-       per-(partition, group) counts give each partition's rank offset
-       inside its group.
-    3. Only the rows at the needed ranks (floor / ceil of (n - 1) * p) are
-       kept and combined: q = lo + (hi - lo) * t.
+    1. Equal values of a group become one row with a count, before the shuffle.
+    2. Counts by order of magnitude (``_magnitude``) give the rank at which
+       each step of a group begins; their number is bounded by the type.
+    3. Only the steps that hold a needed rank (floor / ceil of (n - 1) * p) are
+       ordered value by value: distinct values that differ by less than 0.3 %.
+       q = lo + (hi - lo) * t.
 
     Returns (by..., ``_q`` array<double>) with one entry per probability.
+    Missing values are left out; a group without any other has no row.
     """
     keys = _by(by)
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    v = F.col(value).cast("double")
-    base = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull())
-    numbered = (base.repartitionByRange(parts, *[F.col(k) for k in keys], F.col("_v"))
-                .sortWithinPartitions(*keys, "_v")
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_pos", F.monotonically_increasing_id()))
-    # The numbering is read twice (counts, then ranks). A reliable checkpoint
-    # in the shared checkpoint folder fixes it once: both reads see the same
-    # partition bounds and positions, even if the range exchange were planned
-    # twice (its sampled bounds could differ) or an executor were lost.
-    ensure_checkpoint_dir(spark)
-    ordered = numbered.checkpoint(eager=True)
-    stats = ordered.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_p0"))
-    w_before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*keys)
-    on = ["_pid"] + keys
-    offsets = stats.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(on)], "_p0",
-                           F.coalesce(F.sum("_c").over(w_before), F.lit(0)).alias("_off"),
-                           F.sum("_c").over(w_all).alias("_n"))
-    cond = [F.col(c).eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(on)]
-    ranked = ordered.join(offsets, on=cond).select(
-        *keys, "_v", "_n", (F.col("_off") + F.col("_pos") - F.col("_p0")).alias("_rank"))
-    n1 = (F.col("_n") - 1).cast("double")
-    lows = [F.floor(n1 * p) for p in probs]
-    highs = [F.ceil(n1 * p) for p in probs]
-    wanted = None
-    for r in lows + highs:
-        cond = F.col("_rank") == r
-        wanted = cond if wanted is None else wanted | cond
-    picks = ranked.filter(wanted)
-    aggs = [F.first("_n").alias("_n")]
-    for i, (lo, hi) in enumerate(zip(lows, highs)):
-        aggs += [F.max(F.when(F.col("_rank") == lo, F.col("_v"))).alias(f"_lo{i}"),
-                 F.max(F.when(F.col("_rank") == hi, F.col("_v"))).alias(f"_hi{i}")]
-    per_group = picks.groupBy(*keys).agg(*aggs)
-    cuts = []
-    for i, p in enumerate(probs):
-        t = n1 * p - F.floor(n1 * p)
-        lo_v, hi_v = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        cuts.append(lo_v + (hi_v - lo_v) * t)
-    return per_group.select(*keys, F.array(*cuts).alias("_q"))
+    return _cuts(_value_counts(df, value, keys), probs, keys)
 
 
-def quartile_segments(rfm: DataFrame, by=("country",), value: str = "monetary", method: str = "exact",
-                      strict: bool = False, accuracy: int = 10000) -> DataFrame:
+def quartile_segments(rfm: DataFrame, by=("country",), value: str = "monetary", strict: bool = False) -> DataFrame:
     """Bronze / Silver / Gold / Platinum by quartiles of ``value`` per ``by``.
 
     Cut points are linear-interpolated quartiles; bins are right-closed and
@@ -182,32 +185,21 @@ def quartile_segments(rfm: DataFrame, by=("country",), value: str = "monetary",
     (count 0, mean NULL when empty). Repeated cut points put a value into
     the lowest matching bin; ``strict=True`` raises instead.
 
-    method: 'exact' (default) = ``exact_quantiles``, skew-safe; 'percentile'
-    = Spark's exact ``percentile`` aggregate (one shuffle, but each group's
-    distinct values meet in one task); 'approx' = ``percentile_approx``
-    (bounded sketch, approximate cuts).
-
-    The cut points are group-grain and joined back on the group key (AQE
-    broadcasts them when measured small), then one conditional aggregate per
-    group is unpivoted to four rows.
+    Cut points, counts and means all come from the distinct values and their
+    counts. The cut points are group-grain and joined back on the group key
+    (AQE broadcasts them when measured small), then one conditional aggregate
+    per group is unpivoted to four rows.
     """
     keys = _by(by)
-    v = F.col(value).cast("double")
-    probs = [0.25, 0.5, 0.75]
-    if method == "exact":
-        cuts = exact_quantiles(rfm, value, probs, keys)
-    elif method == "percentile":
-        cuts = rfm.groupBy(*keys).agg(F.percentile(v, F.array(*[F.lit(p) for p in probs])).alias("_q"))
-    elif method == "approx":
-        cuts = rfm.groupBy(*keys).agg(F.percentile_approx(v, probs, accuracy).alias("_q"))
-    else:
-        raise ValueError(f"unknown quantile method {method!r}")
+    counts = _value_counts(rfm, value, keys)
+    cuts = _cuts(counts, [0.25, 0.5, 0.75], keys)
     if keys:
-        renamed = cuts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_q")
-        cond = [rfm[k].eqNullSafe(renamed[f"_k_{k}"]) for k in keys]
-        joined = rfm.join(renamed, cond, "inner").drop(*[f"_k_{k}" for k in keys])
+        renamed = [f"_k{i}" for i in range(len(keys))]
+        cuts = cuts.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], "_q")
+        joined = counts.join(cuts, _same(keys, renamed)).drop(*renamed)
     else:
-        joined = rfm.withColumn("_q", cuts.select("_q").scalar())
+        joined = counts.withColumn("_q", cuts.select("_q").scalar())
+    v = F.col("_x").cast("double")
     q1, q2, q3 = (F.col("_q")[i] for i in range(3))
     seg = (F.when(v <= q1, F.lit(0)).when(v <= q2, F.lit(1)).when(v <= q3, F.lit(2)).otherwise(F.lit(3)))
     if strict:
@@ -217,7 +209,9 @@ def quartile_segments(rfm: DataFrame, by=("country",), value: str = "monetary",
     aggs = []
     for i in range(4):
         inside = F.col("_seg") == i
-        aggs += [F.count_if(inside).alias(f"n{i}"), mean(value, inside).alias(f"m{i}")]
+        n = F.coalesce(F.sum(F.when(inside, F.col("_n"))), F.lit(0))
+        total = F.sum(F.when(inside, F.col("_x") * F.col("_n")))
+        aggs += [n.alias(f"n{i}"), (total.cast("double") / F.nullif(n, F.lit(0)).cast("double")).alias(f"m{i}")]
     per_group = labelled.groupBy(*keys).agg(*aggs)
     rows = [F.struct(F.lit(i).alias("segment_order"), F.lit(lbl).alias("segment"),
                      F.col(f"n{i}").alias("customer_count"), F.col(f"m{i}").alias("avg_monetary"))
