@@ -28,7 +28,7 @@ def test_summaries_then_report(spark, scratch):
     res = run_report(spark, run.csv_paths["cleaned"], run.csv_paths["customer_summary"], f"{scratch}/wh2",
                      f"{scratch}/reports", "20260101_000000")
     assert set(res) == {"duplicate_check", "monthly_revenue", "top_countries", "dashboard_metrics"}
-    table = spark.read.parquet(f"{scratch}/wh2/sales_data")
+    table = spark.read.parquet(f"{scratch}/wh2/sales_data").drop("invoice_month")  # the layout's own column
     # CSV interchange turns blank countries into NULL; everything else equals the direct load
     want = src.sales.withColumn("country", F.when(F.col("country") != "", F.col("country")))
     assert table.count() == want.count() and table.exceptAll(want).count() == 0
@@ -36,6 +36,21 @@ def test_summaries_then_report(spark, scratch):
     assert top.count() == 8
 
 
+def test_report_from_parquet_keeps_every_text_and_prunes_months(spark, scratch):
+    raw_transactions(spark, SF001).write.parquet(f"{scratch}/raw")
+    run_summaries(spark, f"{scratch}/raw", f"{scratch}/out", fmt="parquet", warehouse_dir=f"{scratch}/wh1")
+    run_report(spark, f"{scratch}/wh1/cleaned_lines", f"{scratch}/wh1/customer_summary_lines", f"{scratch}/wh2",
+               f"{scratch}/reports", "r1", fmt="parquet")
+    want = FixtureInputs(spark, SF001).sales
+    f = Filters(country="United Kingdom", start="1998-01-01", end="1998-12-31")
+    for wh in ("wh1", "wh2"):
+        table = spark.read.parquet(f"{scratch}/{wh}/sales_data")
+        assert table.count() == want.count()
+        assert table.drop("invoice_month").exceptAll(want).count() == 0
+        plan = dashboard.panels(table, f)["kpis"]._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(invoice_month" in plan
+
+
 def test_dashboard_panels(spark):
     sales = FixtureInputs(spark, SF001).sales
     doms = dashboard.filter_domains(sales)

@@ -1,7 +1,9 @@
 """Command-line entry points, for ``spark-submit`` or ``python -m tillpoint``.
 
     python -m tillpoint summaries --raw DIR [--format csv|parquet] --out DIR --warehouse DIR
-    python -m tillpoint report --cleaned DIR --summary DIR --warehouse DIR --reports DIR [--run-ts TS]
+    python -m tillpoint report --cleaned DIR --summary DIR [--format csv|parquet] --warehouse DIR --reports DIR [--run-ts TS]
+
+Both write ``sales_data`` in month directories unless ``--layout sorted`` is given.
 
 The master comes from ``spark-submit`` (or ``--master`` for a local run).
 """
@@ -23,12 +25,15 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     s.add_argument("--format", default="csv", choices=["csv", "parquet"])
     s.add_argument("--out", required=True)
     s.add_argument("--warehouse", required=True)
-    r = sub.add_parser("report", help="cleaned CSV + summary CSV -> tables and report results")
+    r = sub.add_parser("report", help="cleaned lines + summary -> tables and report results")
     r.add_argument("--cleaned", required=True)
     r.add_argument("--summary", required=True)
     r.add_argument("--warehouse", required=True)
     r.add_argument("--reports", required=True)
     r.add_argument("--run-ts", default=None)
+    r.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    for job in (s, r):
+        job.add_argument("--layout", default="monthly", choices=["monthly", "sorted"])
     a = ap.parse_args(argv)
 
     if spark is None:
@@ -38,13 +43,14 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     if a.cmd == "summaries":
         from .plans.summaries import run_summaries
 
-        run = run_summaries(spark, a.raw, a.out, fmt=a.format, warehouse_dir=a.warehouse)
+        run = run_summaries(spark, a.raw, a.out, fmt=a.format, warehouse_dir=a.warehouse, layout=a.layout)
         overview = run.overview.first().asDict()  # one row
         out = {"csv": run.csv_paths, "overview": {k: str(v) for k, v in overview.items()}}
     else:
         from .plans.report import run_report
 
         ts = a.run_ts or dt.datetime.now().strftime("%Y%m%d_%H%M%S")
-        out = {"run_timestamp": ts, "results": run_report(spark, a.cleaned, a.summary, a.warehouse, a.reports, ts)}
+        out = {"run_timestamp": ts, "results": run_report(spark, a.cleaned, a.summary, a.warehouse, a.reports, ts,
+                                                             fmt=a.format, layout=a.layout)}
     print(json.dumps(out, default=str))
     return out

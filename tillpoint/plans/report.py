@@ -1,6 +1,6 @@
 """The batch report.
 
-cleaned CSV + summary CSV -> key dedup -> replace both tables -> checks,
+cleaned lines + summary (CSV or Parquet) -> key dedup -> replace both tables -> checks,
 monthly revenue, top countries, KPI list -> result folders (per run and
 'latest').
 """
@@ -12,19 +12,20 @@ from pyspark.sql import SparkSession
 from ..operators import kpi, quality, rankings, trends
 from ..operators.clean import SALES_KEY, dedup_keys
 from ..schema import SALES_LENGTHS, SALES_SCHEMA, SUMMARY_LENGTHS, SUMMARY_SCHEMA
-from ..sources.readers import load_csv_data
+from ..sources.readers import load_tables
 from ..sources.sinks import replace_table, save_with_latest
 from ..sources.tables import check_lengths, conform
 from .inputs import WarehouseInputs
+from .warehouse import write_sales
 
 
-def run_report(spark: SparkSession, cleaned_csv: str, summary_csv: str, warehouse_dir: str, report_dir: str,
-               run_timestamp: str) -> dict[str, dict | None]:
-    lines, summary = load_csv_data(spark, cleaned_csv, summary_csv)
+def run_report(spark: SparkSession, cleaned: str, summary_path: str, warehouse_dir: str, report_dir: str,
+               run_timestamp: str, fmt: str = "csv", layout: str = "monthly") -> dict[str, dict | None]:
+    lines, summary = load_tables(spark, cleaned, summary_path, fmt)
     order = ["description", "quantity", "invoicedate", "unitprice", "country"]
     sales = check_lengths(conform(dedup_keys(lines, SALES_KEY, order), SALES_SCHEMA), SALES_LENGTHS)
     root = warehouse_dir.rstrip("/")
-    replace_table(sales, f"{root}/sales_data")
+    write_sales(sales, root, layout)
     replace_table(check_lengths(conform(summary, SUMMARY_SCHEMA), SUMMARY_LENGTHS), f"{root}/customer_summary")
     wh = WarehouseInputs(spark, root)
     tables = wh.sales

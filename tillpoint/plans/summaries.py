@@ -26,9 +26,9 @@ class SummaryRun:
 
 
 def run_summaries(spark: SparkSession, raw_path: str, output_dir: str, fmt: str = "csv",
-                  warehouse_dir: str | None = None, losses: str = "largest") -> SummaryRun:
+                  warehouse_dir: str | None = None, losses: str = "largest", layout: str = "monthly") -> SummaryRun:
     raw = read_transactions(spark, raw_path, fmt)
-    wh = build_warehouse(spark, raw, warehouse_dir, keep_raw=False)
+    wh = build_warehouse(spark, raw, warehouse_dir, keep_raw=False, layout=layout)
     clean = wh.clean
     products = analyze_products(clean, losses=losses)
     from pyspark.sql import functions as F

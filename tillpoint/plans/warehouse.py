@@ -26,6 +26,26 @@ def default_root(spark: SparkSession, name: str = "warehouse") -> str:
     return f"{checkpoint_root(spark)}/tillpoint/{name}"
 
 
+def write_sales(sales: DataFrame, root: str, layout: str) -> None:
+    """Write ``sales_data`` under ``root``.
+
+    layout='sorted': by time within each file (row-group skipping, no extra
+    shuffle). layout='monthly': directories per month (``invoice_month``),
+    written after a range repartition on (month, time), so a busy month is
+    split over many tasks and each task writes to one or two months; date
+    filters then prune whole directories.
+    """
+    if layout == "monthly":
+        sales = (sales.withColumn(MONTH_PARTITION, month_start("invoicedate").cast("date"))
+                 .repartitionByRange(MONTH_PARTITION, "invoicedate")
+                 .sortWithinPartitions("invoicedate"))
+        replace_table(sales, f"{root}/sales_data", partition_by=[MONTH_PARTITION])
+    elif layout == "sorted":
+        replace_table(sales.sortWithinPartitions("invoicedate"), f"{root}/sales_data")
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
+
+
 def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None,
                     keep_raw: bool = False, layout: str = "sorted") -> WarehouseInputs:
     """Write cleaned lines, customer domain, ``sales_data`` and both summary
@@ -35,11 +55,7 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
     Parquet copy (worth it only when ``raw`` is an expensive derivation, as
     the test fixture's joins are).
 
-    layout='sorted' (default): ``sales_data`` sorted by time within each file
-    (row-group skipping, no extra shuffle). layout='monthly': directories per
-    month (``invoice_month``), written after a range repartition on
-    (month, time) so a busy month is split over many tasks and each task
-    writes to one or two months; date filters then prune whole directories.
+    ``layout``: see ``write_sales``; the batch jobs ask for 'monthly'.
     """
     root = (root or default_root(spark)).rstrip("/")
     if keep_raw:
@@ -49,19 +65,7 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
     replace_table(clean_transactions(raw), f"{root}/cleaned_lines")
     replace_table(customer_domain(raw), f"{root}/customer_domain")
     clean = wh.clean
-    # sorted on time within each output file: every row group covers a narrow
-    # time span, so date-range filters skip row groups by their min/max
-    # statistics, without an extra shuffle for the write.
-    sales = check_lengths(to_sales_table(clean), SALES_LENGTHS)
-    if layout == "monthly":
-        sales = (sales.withColumn(MONTH_PARTITION, month_start("invoicedate").cast("date"))
-                 .repartitionByRange(MONTH_PARTITION, "invoicedate")
-                 .sortWithinPartitions("invoicedate"))
-        replace_table(sales, f"{root}/sales_data", partition_by=[MONTH_PARTITION])
-    elif layout == "sorted":
-        replace_table(sales.sortWithinPartitions("invoicedate"), f"{root}/sales_data")
-    else:
-        raise ValueError(f"unknown layout {layout!r}")
+    write_sales(check_lengths(to_sales_table(clean), SALES_LENGTHS), root, layout)
     replace_table(customer_summary(clean, wh.domain, sort=False), f"{root}/customer_summary_lines")
     replace_table(check_lengths(conform(lowercase_columns(wh.summary), SUMMARY_SCHEMA), SUMMARY_LENGTHS),
                   f"{root}/customer_summary")

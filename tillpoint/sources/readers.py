@@ -42,3 +42,14 @@ def load_csv_data(spark: SparkSession, cleaned_path: str, customer_path: str,
     r = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
     lines, summary = r.schema(CLEAN_SCHEMA).csv(cleaned_path), r.schema(PIPELINE_SUMMARY_SCHEMA).csv(customer_path)
     return lowercase_columns(lines), lowercase_columns(summary)
+
+
+def load_tables(spark: SparkSession, cleaned_path: str, customer_path: str, fmt: str = "csv") -> tuple[DataFrame, DataFrame]:
+    """SK2 from either form in which the summaries job leaves its results: the
+    CSV export, or its warehouse's ``cleaned_lines`` and ``customer_summary_lines``
+    (Parquet: splittable, typed, every text as it was)."""
+    if fmt == "csv":
+        return load_csv_data(spark, cleaned_path, customer_path)
+    if fmt == "parquet":
+        return lowercase_columns(spark.read.parquet(cleaned_path)), lowercase_columns(spark.read.parquet(customer_path))
+    raise ValueError(f"unsupported format {fmt!r}")
