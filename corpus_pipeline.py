@@ -3,14 +3,14 @@ operator, each written as Parquet and reread by the next."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillpoint.llm.common import broadcast_if_small, shared_path, stage
 from tillpoint.llm.decontaminate import contained_items
 from tillpoint.llm.packing import pack
 from tillpoint.llm.queries import read, tokenizer_path, toxicity_model
-from tillpoint.llm.simhash import simhash_dedup
+from tillpoint.llm.simhash import components
 from tillpoint.llm.suffix_dedup import cut_texts
 from tillpoint.llm.toxicity import tag
 
@@ -24,15 +24,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays, the one of smallest id.
-    Rows with a null id stay; of rows that repeat an id the least stays."""
-    found = stage(simhash_dedup(docs).where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "kept-ids")
-    once = broadcast_if_small(found.where("n = 1").select("doc_id"))
-    again = broadcast_if_small(found.where("n > 1").select("doc_id"))
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    least = (docs.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *rest)).alias("row"))
-             .select("doc_id", "row.*").select(*docs.columns))
-    single = docs.join(once, "doc_id", "left_semi").select(*docs.columns)
+    """One document of each SimHash component stays, the one of smallest id; of
+    rows of that id in the component the least. Rows with a null id stay."""
+    leads = components(docs).where("id = component_id").groupBy("group", "id", "row").agg(F.count(F.lit(1)).alias("n"))
+    leads = stage(leads, "kept-rows")
+    sizes = stage(leads.groupBy("group").agg(F.sum("n").alias("n"), F.min("id").alias("id"), F.min("row").alias("row")), "kept-groups")
+    once = broadcast_if_small(sizes.where("n = 1").select("id", "row"))
+    again = broadcast_if_small(stage(leads.join(sizes.where("n > 1").select("group"), "group", "left_semi"), "kept-repeats")
+                               .select("group", "id", "row"))
+
+    def same(rows: DataFrame) -> Column:
+        return (docs["doc_id"] == rows["id"]) & (F.xxhash64(docs["text"]) == rows["row"])
+
+    order = ["text", *[c for c in docs.columns if c != "text"]]
+    least = (docs.join(again, same(again)).select(again["group"], F.struct(*[docs[c] for c in order]).alias("doc"))
+             .groupBy("group").agg(F.min("doc").alias("doc")).select("doc.*").select(*docs.columns))
+    single = docs.join(once, same(once), "left_semi")
     return single.unionByName(least).unionByName(docs.where("doc_id is null"))
 
 

@@ -110,3 +110,18 @@ def test_crc_is_of_the_id_as_text(spark):
 
     got = spark.range(50).select("id", crc_mod("id", 5).alias("m")).collect()
     assert all(r["m"] == zlib.crc32(str(r["id"]).encode()) % 5 for r in got)
+
+
+def test_near_copies_are_judged_by_row(spark, scratch):
+    """An id with several texts: each row goes or stays with its own component."""
+    import corpus_pipeline as cp
+
+    rng = random.Random(11)
+    a, b, c, d = (" ".join(words(rng, 400)) for _ in range(4))
+    near = [t + " x" for t in (a, b, c, d)]
+    rows = [(7, a), (7, b), (9, near[1]), (3, near[0]), (5, c), (8, near[2]), (8, d), (8, near[3]), (8, d), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), "x", "y") for i, t in rows], DOCS)
+    got = cp.drop_near_copies(spark, docs, scratch)
+    assert got.columns == docs.columns
+    kept = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr)
+    assert kept == sorted([(3, near[0]), (7, b), (5, c), (8, d), (None, a)], key=repr)

@@ -60,15 +60,17 @@ def fingerprint(data: bytes, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str, text: str, shingle: int = 3) -> DataFrame:
-    """(key, fp): one row per input row; null text counts as empty."""
+    """(key, row, fp): one row per input row; null text counts as empty.
+    ``row`` is a hash of the text: with the key it names the row."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = np.array([fingerprint(t, shingle) for t in texts(batch, text)], dtype=np.uint64).view(np.int64)
-            yield pa.record_batch([batch.column(0), pa.array(fp)], names=[key, "fp"])
+            fp = np.array([fingerprint(t, shingle) for t in texts(batch, "body")], dtype=np.uint64).view(np.int64)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(fp)], names=["id", "row", "fp"])
 
-    return docs.select(key, text).mapInArrow(run, f"{key} {kind}, fp long")
+    read = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("row"), F.col(text).alias("body"))
+    return read.mapInArrow(run, f"id {kind}, row long, fp long")
 
 
 def _segments(n: int) -> list[tuple[int, int]]:
@@ -150,6 +152,24 @@ def near_links(reps: DataFrame, radius: int, n_rows: int) -> DataFrame:
     return pairs.mapInArrow(_compare(radius), "a long, b long")
 
 
+def components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
+    """(id, row, fp, group, component_id), one row per input row: ``group`` is
+    the smallest fingerprint reachable, ``component_id`` the smallest key of
+    that group's rows (a key with several texts can lead several groups).
+    Rows with a null key have neither."""
+    fps = stage(fingerprints(docs, key, text, shingle), "fingerprints")
+    reps = stage(fps.where("id is not null").groupBy("fp").agg(F.min("id").alias("least")), "classes")
+    # fingerprints are linked, not keys: rows that repeat a key stay apart
+    links = near_links(reps.select("fp", F.col("fp").alias("rep")), radius, reps.count())
+    comps = connected_components(links, "a", "b").select(F.col("node").alias("fp"), F.col("component").alias("group"))
+    classes = reps.join(comps, "fp", "left").select("fp", "least", F.coalesce("group", "fp").alias("group"))
+    least = classes.groupBy("group").agg(F.min("least").alias("component_id"))
+    classes = stage(classes.select("fp", "group").join(least, "group"), "components")
+    known = F.col("id").isNotNull()
+    return (fps.join(classes, "fp", "left")
+            .select("id", "row", "fp", *[F.when(known, F.col(c)).alias(c) for c in ("group", "component_id")]))
+
+
 def simhash_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
     """(key, fingerprint, component_id, kept), one row per input row.
 
@@ -160,14 +180,6 @@ def simhash_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", shin
     each keep a row; they join the component of their own fingerprint. Other
     columns of ``docs`` are not read. No rows: no rows.
     """
-    fps = stage(fingerprints(docs, key, text, shingle), "fingerprints")
-    reps = stage(fps.where(F.col(key).isNotNull()).groupBy("fp").agg(F.min(key).alias("rep")), "classes")
-    links = near_links(reps, radius, reps.count())
-    comps = connected_components(links, "a", "b")
-    classes = stage(reps.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-                    .select("fp", F.coalesce("component", "rep").alias("component_id")), "components")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    out = fps.join(classes, "fp", "left")
-    component = F.when(F.col(key).isNotNull(), F.col("component_id"))
-    return out.select(key, hexed.alias("fingerprint"), component.alias("component_id"),
-                      (F.col(key) == component).alias("kept"))
+    return components(docs, key, text, shingle, radius).select(
+        F.col("id").alias(key), hexed.alias("fingerprint"), "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
