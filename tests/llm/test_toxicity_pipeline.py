@@ -125,3 +125,16 @@ def test_near_copies_are_judged_by_row(spark, scratch):
     assert got.columns == docs.columns
     kept = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr)
     assert kept == sorted([(3, near[0]), (7, b), (5, c), (8, d), (None, a)], key=repr)
+
+
+def test_contaminated_rows_go_whatever_their_id(spark, scratch):
+    import corpus_pipeline as cp
+
+    rng = random.Random(12)
+    item, one, two = (" ".join(words(rng, 30)) for _ in range(3))
+    rows = [(None, f"{one} {item}"), (None, one), (4, f"{item} {two}"), (4, two), (4, None), (5, item), (6, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "x", "y") for i, t in rows], DOCS)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
+    got = cp.drop_contaminated(spark, docs, scratch)
+    assert got.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr) == sorted([(None, one), (4, two), (4, None), (6, "")], key=repr)
