@@ -63,6 +63,15 @@ def test_contained_items_equal_brute_force(spark, docs):
     assert {tuple(r)[:4] for r in got.collect()} == want and len(want) > 5
 
 
+def test_short_items_are_found_in_long_texts(spark):
+    words = [f"w{i}" for i in range(40)]
+    long_item = " ".join(words[20:30])
+    items = [(1, "W3, w4 w5"), (2, "w7"), (3, "w3 w5"), (4, long_item), (5, "w10 w11 w12 w13"), (6, "a b"), (7, "...")]
+    docs = [(1, " ".join(words)), (2, "w3 w4 w5"), (3, "w4 w5"), (4, "a-b"), (None, " ".join(words)), (5, None)]
+    got = contained_items(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {tuple(r) for r in got.collect()} == {(1, 1, 1, 1, 1.0), (1, 2, 1, 1, 1.0), (1, 4, 6, 6, 1.0), (1, 5, 1, 1, 1.0), (2, 1, 1, 1, 1.0), (4, 6, 1, 1, 1.0)}
+
+
 def test_decontaminate_runs_no_python(spark, docs):
     items = spark.createDataFrame([(1, ROWS[0][1])], "item_id long, text string")
     plan = contained_items(docs, items)._jdf.queryExecution().toString()
