@@ -198,6 +198,21 @@ def test_tokenizer_pieces_equal_the_tokenizer():
     assert list(WordBpe(TOKENIZER).encode(texts)) == [np.array(i, dtype="<u4").tobytes() for i in ids_of(texts)]
 
 
+def test_added_tokens_in_a_text_are_the_tokenizer_s(spark, scratch):
+    from tokenizers import Tokenizer
+
+    texts = ["hello <|endoftext|> world", "<|startoftext|>", "a<|endoftext|>b", "<|EndOfText|> x", "é中<|endoftext|>", "<| endoftext |>", "hello world", None]
+    plain = Tokenizer.from_file(TOKENIZER)
+    want = [e.ids for e in plain.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert want[0] == [3306, 49407, 1002]
+    assert list(WordBpe(TOKENIZER).encode(texts)) == [np.array(i, dtype="<u4").tobytes() for i in want]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in pack(df, TOKENIZER).collect()}
+    assert got == {i: (len(w) + 1, zlib.crc32(np.array([*w, 0], dtype="<u4").tobytes())) for i, w in enumerate(want)}
+    write_flat(df, f"{scratch}/flat", TOKENIZER)
+    assert sorted(r["n_tokens"] for r in scan_flat(spark, f"{scratch}/flat").collect()) == sorted(map(len, want))
+
+
 @pytest.mark.parametrize("block", [7, 1 << 20])
 def test_separator_scan_round_trip(spark, docs, scratch, block):
     write_flat(docs, f"{scratch}/flat", TOKENIZER, rows_per_file=20)

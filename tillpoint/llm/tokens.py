@@ -1,8 +1,9 @@
 """Token ids of texts by a public lower-casing word tokenizer, inside tasks.
 
 A text of plain Latin letters is cut into pre-tokens by one pattern and each
-distinct pre-token is encoded once per worker (a bounded cache); any other text
-goes through the tokenizer whole. Both give the tokenizer's own ids.
+distinct pre-token is encoded once per worker (a bounded cache); any other text,
+and one that holds an added token's string, goes through the tokenizer whole.
+Both give the tokenizer's own ids.
 """
 
 from __future__ import annotations
@@ -44,7 +45,8 @@ class WordBpe:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # the tokenizer finds their strings within texts, some before lower-casing, some after
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a pre-token
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -54,12 +56,19 @@ class WordBpe:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
+    def _cut(self, text: str) -> bytes | list[str]:
+        """The ids, or the pre-tokens to look up."""
+        low = text.lower()
+        if _OTHER.search(text) or any(t in low for t in self.added):
+            return self._ids(text).tobytes()
+        return _PRE.findall(low)
+
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null as empty."""
         held: list[list] = []  # of each text, pieces: words to look up, or the ids
         size = 0
         for text in texts:
-            held.append([self._ids(p).tobytes() if _OTHER.search(p) else _PRE.findall(p.lower()) for p in _pieces(text or "")])
+            held.append([self._cut(p) for p in _pieces(text or "")])
             size += len(text or "")
             if size > PIECE:
                 yield from self._looked_up(held)
