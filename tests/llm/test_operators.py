@@ -102,6 +102,16 @@ def test_embedding_links_equal_brute_force(spark):
     assert embedding_dedup(df.limit(0)).count() == 0
 
 
+def test_vectors_of_one_id_keep_their_own_links(spark):
+    u, v, w = [[float(k == j) for k in range(8)] for j in range(3)]
+    near = [[x + 0.1 * (k == 7) for k, x in enumerate(e)] for e in (u, v, w)]
+    rows = [(1, u), (1, v), (2, near[0]), (3, near[1]), (4, v), (5, [x + 0.1 for x in v]), (6, w), (2, near[2])]
+    got = embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    want = Counter({(1, 1, 1, True): 1, (1, 3, 1, True): 1, (2, 1, 1, False): 1, (2, 1, 2, True): 1, (3, 3, 1, False): 1, (4, 3, 1, False): 1,
+                    (5, 3, 1, False): 1, (6, 1, 2, False): 1})
+    assert Counter(tuple(r) for r in got) == want
+
+
 # --- 3
 
 def test_audit_finds_each_damaged_record(spark):

@@ -36,7 +36,7 @@ def _sign_rows(tables: int, bits: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = 1 << np.arange(bits)
         for batch in batches:
-            ids, size, dims = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "size", "dim"))
+            ids, size, dims = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "size", "dim"))
             flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
             at = np.concatenate([[0], np.cumsum(dims)])
             for d in np.unique(dims):
@@ -52,7 +52,7 @@ def _sign_rows(tables: int, bits: int, seed: int):
                         pa.array(np.full(len(own), t, dtype=np.int32)), pa.array(sig[:, t].astype(np.int32)),
                         pa.array(np.full(len(own), d, dtype=np.int32)), pa.array(ids[own]), pa.array(size[own]),
                         pa.array(raw, pa.binary()), pa.array(sigs, pa.binary())],
-                        names=["t", "bucket", "dim", "rep", "size", "vec", "sig"])
+                        names=["t", "bucket", "dim", "node", "size", "vec", "sig"])
     return run
 
 
@@ -60,7 +60,7 @@ def _check(threshold: float, stored: str):
     def load(items, dim):
         X = np.frombuffer(b"".join(items.field("vec").to_pylist()), dtype=stored).reshape(-1, dim).astype(np.float64)
         S = np.frombuffer(b"".join(items.field("sig").to_pylist()), dtype="<u2").reshape(len(X), -1)
-        return X, np.sqrt((X * X).sum(axis=1)), S, items.field("rep").to_numpy(), items.field("size").to_numpy()
+        return X, np.sqrt((X * X).sum(axis=1)), S, items.field("node").to_numpy(), items.field("size").to_numpy()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,7 +87,7 @@ def _check(threshold: float, stored: str):
                 root = forest(len(ids_all), x, y + shift)
                 out = np.flatnonzero(add)
                 yield pa.record_batch([pa.array(ids_all[out]), pa.array(ids_all[root[out]]), pa.array(add[out])],
-                                      names=["rep", "root", "n"])
+                                      names=["node", "root", "n"])
     return run
 
 
@@ -102,7 +102,8 @@ def embedding_dedup(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
     reachable, ``kept`` says that a row leads its component. Null, empty or
     zero vectors and vectors with null or non-finite components link with
     nothing, nor do rows with a null key (component null, not kept). Vectors
-    of different lengths never link. Repeated rows count once. Other columns
+    of different lengths never link. A key with several vectors has a row, with
+    links and a component of its own, for each. Repeated rows count once. Other columns
     are not read. More rows want more bits, and with them more tables.
     """
     single = vectors.schema[embedding].dataType.simpleString() == "array<float>"
@@ -111,26 +112,31 @@ def embedding_dedup(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = F.col("id").isNotNull() & F.col("embedding").isNotNull() & ~bad & F.exists("embedding", lambda x: x != 0)
     good = rows.where(usable)
-    classes = stage(good.groupBy("embedding").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size")), "vector-classes")
-    hashed = (classes.select("rep", "size", F.size("embedding").alias("dim"), "embedding")
-              .mapInArrow(_sign_rows(tables, bits, seed), "t int, bucket int, dim int, rep long, size long, vec binary, sig binary"))
+    classes = good.groupBy("embedding").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("size"))
+    # numbered once, as they are written: one id can have several vectors, so an id does not name a class
+    classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
+    hashed = (classes.select("node", "size", F.size("embedding").alias("dim"), "embedding")
+              .mapInArrow(_sign_rows(tables, bits, seed), "t int, bucket int, dim int, node long, size long, vec binary, sig binary"))
     where = ["t", "bucket", "dim"]
     sizes = hashed.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("n_tiles"))
     # tables * 2 ** bits buckets for each vector length; checked, else joined by shuffle
     sizes = broadcast_if_small(stage(sizes, "bucket-sizes"))
-    placed = hashed.join(sizes, where).withColumn("tile", F.pmod(F.xxhash64("rep"), "n_tiles").cast("int"))
-    items = F.collect_list(F.struct("vec", "sig", "rep", "size"))
+    placed = hashed.join(sizes, where).withColumn("tile", F.pmod(F.xxhash64("node"), "n_tiles").cast("int"))
+    items = F.collect_list(F.struct("vec", "sig", "node", "size"))
     tiles = placed.groupBy(*where, "tile").agg(items.alias("a"))
     many = placed.where("n_tiles > 1").groupBy(*where, "tile").agg(items.alias("a"))
     across = (many.withColumnRenamed("tile", "ta").join(many.withColumnsRenamed({"tile": "tb", "a": "b"}), where).where("ta < tb")
               .select("t", "dim", F.lit(False).alias("own"), "a", "b"))
     pairs = tiles.select("t", "dim", F.lit(True).alias("own"), "a", F.lit(None).alias("b")).unionByName(across)
-    found = stage(pairs.mapInArrow(_check(threshold, stored), "rep long, root long, n long"), "vector-links")
-    comps = connected_components(found, "rep", "root")
-    counts = found.groupBy("rep").agg(F.sum("n").alias("n"))
-    classes = stage(classes.join(counts, "rep", "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+    found = stage(pairs.mapInArrow(_check(threshold, stored), "node long, root long, n long"), "vector-links")
+    counts = found.groupBy("node").agg(F.sum("n").alias("n"))
+    comps = connected_components(found, "node", "root")
+    # a component is called by the smallest id of its vectors
+    labels = classes.select("node", "least").join(comps, "node").groupBy("component").agg(F.min("least").alias("label"))
+    labels = comps.join(labels, "component").select("node", "label")
+    classes = stage(classes.join(counts, "node", "left").join(labels, "node", "left")
                     .select("embedding", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"),
-                            F.coalesce("component", "rep").alias("component_id")), "vector-components")
+                            F.coalesce("label", "least").alias("component_id")), "vector-components")
     linked = good.join(classes, "embedding").select("id", "n_links", "component_id")
     alone = rows.where(~F.coalesce(usable, F.lit(False))).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return linked.unionByName(alone).select(F.col("id").alias(key), "n_links", "component_id",
