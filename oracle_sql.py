@@ -215,6 +215,7 @@ ORDER BY invoicedate DESC""")
 
 # --- projections -----------------------------------------------------------------
 oracle("p1_fill_missing", "filled", "SELECT * FROM filled")
+oracle("p2_p3_text_load", "raw", "SELECT * FROM raw")
 oracle("p10_lowercase_columns", "clean", """
 SELECT InvoiceNo AS invoiceno, StockCode AS stockcode, Description AS description, Quantity AS quantity,
        InvoiceDate AS invoicedate, UnitPrice AS unitprice, CustomerID AS customerid, Country AS country,

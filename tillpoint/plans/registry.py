@@ -96,6 +96,12 @@ def _p1(src):
     return C.fill_missing(src.raw)
 
 
+@register("p2_p3_text_load")
+def _p23(src):
+    text = src.raw.select(*[F.col(c).cast("string").alias(c) for c in src.raw.columns])
+    return C.coerce_types(C.parse_timestamp(text))
+
+
 @register("p_clean_transactions")
 def _clean(src):
     return src.clean
