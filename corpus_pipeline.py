@@ -73,7 +73,7 @@ STAGES = [
 ]
 
 # A trained random field, tokenizer ids and a greedy plan have no SQL form;
-# tests compare the stages with brute force.
+# tests compare the operators with brute force and try the stages one by one.
 ORACLE_SQL = None
 
 
