@@ -1,3 +1,4 @@
 """Training-data operators: decontamination, near-duplicate removal, fixity
-audits, toxicity tagging, URL filtering, token counting, packing and language
-model scoring. Nothing else in the library imports this subpackage."""
+audits, toxicity tagging, URL filtering, token counting, packing, language model
+scoring, tokenizer alignment, quality rules and conversation repair. Nothing else
+in the library imports this subpackage."""

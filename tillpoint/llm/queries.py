@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import crc_mod, shared_path, ship_package
+from .conversation_repair import repair, repaired_digests
 from .decontaminate import contained_items
 from .embed_dedup import embedding_dedup
 from .lm_score import score_texts
 from .merkle import audit, record_digests
 from .packing import pack
+from .quality_rules import quality_rules
 from .simhash import simhash_dedup
 from .suffix_dedup import repeated_bytes
+from .token_align import align_texts
 from .token_scan import scan_flat, write_flat
 from .toxicity import score, train, training_sample
 from .url_filter import filter_urls
@@ -33,10 +36,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame):
@@ -113,8 +116,39 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(read(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_texts(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read(spark, sf_dir, "documents"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, cut off, repeated or given to the
+    user, by a hash of conversation and turn."""
+    names = ("conv_id", "turn", "role", "text")
+    shown = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in names}
+    fault = F.crc32(F.concat(shown["conv_id"], F.lit(":"), shown["turn"]).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", shown["role"].alias("role"), shown["text"].alias("text"), fault.alias("fault")).where("fault <> 0")
+    text = F.when(F.col("fault") == 1, F.lit("")).when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    copies = F.explode(F.when(F.col("fault") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return rows.select("conv_id", "turn", F.when(F.col("fault") == 4, F.lit("user")).otherwise(F.col("role")).alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    rows = damaged(conversations)
+    found = repaired_digests(rows, repair(rows))
+    every = conversations.select(F.col("conv_id").alias("id")).distinct()
+    sums = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return (every.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+            .select(F.col("id").alias("conv_id"), *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in sums), F.coalesce("audit", F.lit("")).alias("audit"),
+                    F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256")))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_embedding_dedup, op3_merkle_audit, op4_toxicity, op5_suffix_dedup, op6_url_filter,
-                                   op7_token_counts, op8_best_two_fit, op9_simhash, op10_lm_score)}
+                                   op7_token_counts, op8_best_two_fit, op9_simhash, op10_lm_score, op11_token_alignment, op12_quality_rules, op13_conversation_repair)}
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
