@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -73,3 +74,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_root(spark: SparkSession) -> str:
     """Folder for lineage-cut tables written by the jobs (shared on a cluster)."""
     return ensure_checkpoint_dir(spark).rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint location; what is written
+    there is removed when the application ends."""
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path
