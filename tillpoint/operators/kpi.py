@@ -31,11 +31,15 @@ def _by(by) -> list[str]:
 # --- dashboard KPI block (A17 - A20) -----------------------------------------
 
 def kpi_block(sales: DataFrame, f: Filters | None = None, by=("country",)) -> DataFrame:
-    """A17 + A19 in one scan, then A18 / A20 as column arithmetic.
+    """A17 + A19, then A18 / A20 as column arithmetic.
 
     Current window: the filter's [start, end]; previous window: F16 bounds.
     Without a date range every line is current and there is no previous
     window (growth status 'na').
+
+    Two distinct counts in one aggregate would expand every row. Lines are
+    summed by customer, map-side, and a customer is then a row; the days with
+    data are counted from a narrow scan of the previous window alone.
     """
     f = f or Filters()
     keys = _by(by)
@@ -45,14 +49,25 @@ def kpi_block(sales: DataFrame, f: Filters | None = None, by=("country",)) -> Da
         cur = in_range(ts, f.start, f.end)
         days, prev_start, prev_end = previous_period(f.start, f.end)
         prev = ts.between(prev_start, prev_end)
+        before = prune_months(df, prev_start, prev_end).filter(prev)
         df = prune_months(df, prev_start, f.end).filter(cur | prev)
     else:
-        cur, prev, days = F.lit(True), F.lit(False), F.lit(0)
-    net, items = F.col("net_revenue"), F.col("total_items")
+        cur, prev, days, before = F.lit(True), F.lit(False), F.lit(0), None
+    customers = df.groupBy(*keys, "customerid").agg(*_line_sums(cur, prev))
+    agg = _block_of_customers(customers, keys)
+    zero = F.lit(0).cast("bigint")
+    if before is None:
+        agg = agg.withColumn("days_with_data", zero)
+    else:
+        dates = before.select(*keys, F.to_date(ts).alias("_day"))
+        agg = with_count(agg, dates.groupBy(*keys, "_day").agg(F.count(F.lit(1)).alias("_n")), keys, "_day", "days_with_data")
+    return derive_kpis(agg.withColumn("expected_days", days.cast("bigint")))
+
 
-    # Two distinct counts expand every row they see. Lines are first summed by
-    # customer and day, map-side, so that only those sums are expanded.
-    sums = df.groupBy(*keys, "customerid", F.to_date(ts).alias("_day")).agg(
+def _line_sums(cur: Column, prev: Column) -> list[Column]:
+    """What the block needs of a customer's lines."""
+    net, items = F.col("net_revenue"), F.col("total_items")
+    return [
         money_sum(F.when(cur, net), MONEY).alias("_net"),
         F.count(F.when(cur, net)).alias("_net_n"),
         F.count_if(cur).alias("_lines"),
@@ -62,21 +77,36 @@ def kpi_block(sales: DataFrame, f: Filters | None = None, by=("country",)) -> Da
         F.count(F.when(cur, items)).alias("_items_n"),
         F.count_if(prev).alias("_prev_lines"),
         money_sum(F.when(prev, net), MONEY).alias("_prev_net"),
-    )
+    ]
+
+
+def _block_of_customers(customers: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums per customer -> the block's columns, without ``days_with_data``."""
     zero = F.lit(0).cast("bigint")
-    agg = sums.groupBy(*keys).agg(
+    return customers.groupBy(*keys).agg(
         F.coalesce(money_sum("_net", MONEY), _zero_money()).alias("total_revenue"),
         F.coalesce(int_sum("_lines"), zero).alias("total_transactions"),
         F.coalesce(ratio(F.sum("_net"), F.sum("_net_n")), F.lit(0.0)).alias("avg_order"),
-        F.count_distinct(F.when(F.col("_lines") > 0, F.col("customerid"))).alias("total_customers"),
+        F.count_if((F.col("_lines") > 0) & F.col("customerid").isNotNull()).alias("total_customers"),
         F.coalesce(int_sum("_sold"), zero).alias("total_qty"),
         F.coalesce(int_sum("_returned"), zero).alias("return_qty"),
         F.coalesce(ratio(F.sum("_items"), F.sum("_items_n")), F.lit(0.0)).alias("avg_items_exact"),
-        F.count_distinct(F.when(F.col("_prev_lines") > 0, F.col("_day"))).alias("days_with_data"),
         F.coalesce(int_sum("_prev_lines"), zero).alias("prev_records"),
         F.coalesce(money_sum("_prev_net", MONEY), _zero_money()).alias("prev_revenue"),
     )
-    return derive_kpis(agg.withColumn("expected_days", days.cast("bigint")))
+
+
+def with_count(agg: DataFrame, rows: DataFrame, keys: list[str], column: str, name: str) -> DataFrame:
+    """``agg`` (one row per ``keys``) with ``name``: how many of ``rows``, which are
+    distinct, have a value in ``column``."""
+    zero = F.lit(0).cast("bigint")
+    if not keys:
+        return agg.withColumn(name, F.coalesce(rows.select(F.count(column)).scalar(), zero))
+    per = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(column).alias("_count"))
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return agg.join(per, same, "left").select(*agg.columns, F.coalesce("_count", zero).alias(name))
 
 
 def derive_kpis(agg: DataFrame) -> DataFrame:
@@ -152,22 +182,23 @@ def distinct_values(sales: DataFrame, col: str) -> DataFrame:
 
 
 def financial_summary(sales: DataFrame) -> DataFrame:
-    """One row of totals and distinct counts, taken from sums by customer
-    and product (the distinct counts expand those, not the lines)."""
-    sums = sales.groupBy("customerid", "stockcode").agg(
+    """One row of totals and distinct counts. Lines are summed by customer,
+    map-side, and a customer is then a row; products are counted by a scan of
+    their column alone, as a scalar: no row is expanded."""
+    customers = sales.groupBy("customerid").agg(
         money_sum("revenue", MONEY).alias("_revenue"),
         money_sum("net_revenue", MONEY).alias("_net"),
         int_sum("sale_qty").alias("_sold"),
         int_sum("return_qty").alias("_returned"),
     )
-    return sums.agg(
+    products = sales.select(F.count_distinct("stockcode")).scalar()
+    return customers.agg(
         money_sum("_revenue", MONEY).alias("total_revenue"),
         money_sum("_net", MONEY).alias("total_net_revenue"),
         int_sum("_sold").alias("total_items_sold"),
         int_sum("_returned").alias("total_items_returned"),
-        F.count_distinct("customerid").alias("unique_customers"),
-        F.count_distinct("stockcode").alias("unique_products"),
-    )
+        F.count("customerid").alias("unique_customers"),
+    ).withColumn("unique_products", products)
 
 
 def pipeline_summary(clean: DataFrame, customer_summary: DataFrame, product_counts: DataFrame) -> DataFrame:

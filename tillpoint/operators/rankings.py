@@ -32,9 +32,10 @@ def top_k_per_group(df: DataFrame, by, order, k: int) -> DataFrame:
 def country_revenue(sales: DataFrame, f: Filters | None = None) -> DataFrame:
     """Revenue and distinct customers per known country, highest first."""
     df = apply_filters(sales, f).filter(known_country("country"))
-    return (df.groupBy("country")
-            .agg(F.coalesce(money_sum("net_revenue", MONEY), F.lit(0).cast(MONEY)).alias("revenue"),
-                 F.count_distinct("customerid").alias("customers"))
+    customers = df.groupBy("country", "customerid").agg(money_sum("net_revenue", MONEY).alias("_net"))
+    return (customers.groupBy("country")
+            .agg(F.coalesce(money_sum("_net", MONEY), F.lit(0).cast(MONEY)).alias("revenue"),
+                 F.count("customerid").alias("customers"))
             .orderBy(F.col("revenue").desc(), F.col("country")))
 
 
