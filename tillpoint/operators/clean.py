@@ -43,20 +43,13 @@ def parse_timestamp(df: DataFrame, column: str = "InvoiceDate", fmt: str | None
     return df.withColumn(column, parsed)
 
 
-def drop_exact_duplicates(df: DataFrame, cluster_by=None) -> DataFrame:
+def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     """Whole-line dedup (NULLs compare equal).
 
-    Default plan: a partial (map-side) dedup, a shuffle on all columns, a
-    final dedup. A group of identical copies, however large, is reduced to
-    one line per task before the shuffle.
-
-    ``cluster_by`` instead hash-partitions on those columns first, so a later
-    stage grouped by them reuses the partitioning; but then the copies are
-    not combined map-side, and one huge group of copies would land in one
-    task. Only for inputs known to have small copy groups.
+    A partial (map-side) dedup, a shuffle on all columns, a final dedup. A group
+    of identical copies, however large, is reduced to one line per task before
+    the shuffle.
     """
-    if cluster_by:
-        df = df.repartition(*[F.col(c) for c in cluster_by])
     return df.dropDuplicates()
 
 
@@ -125,6 +118,25 @@ def dedup_keys(df: DataFrame, keys=SALES_KEY, order: list[str] | None = None) ->
         .select(*df.columns)
 
 
+FILE_ORDER = "_file_order"
+
+
+def with_file_order(scan: DataFrame) -> DataFrame:
+    """``scan`` (as a reader returns it, CSV or Parquet) with the place of each
+    line in the input: file, block of the file, line within the block. Files
+    stand by their paths. A task reads a block from its start, so the counter
+    rises along the block whichever task reads it, and again if it is lost."""
+    return scan.withColumn(FILE_ORDER, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                                F.monotonically_increasing_id().alias("line")))
+
+
+def dedup_keys_in_file_order(df: DataFrame, keys=SALES_KEY) -> DataFrame:
+    """D2 as a run over the file does it: of each key the first line in the input
+    stays. ``df`` comes from ``with_file_order`` by steps that keep its column
+    and lines; the result has not the column. Combined map-side as ``dedup_keys``."""
+    return dedup_keys(df, keys, [FILE_ORDER]).drop(FILE_ORDER)
+
+
 def sales_from_raw(raw: DataFrame) -> DataFrame:
     """``to_sales_table(clean_transactions(raw))`` in one shuffle.
 

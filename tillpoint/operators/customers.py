@@ -41,9 +41,11 @@ def _with_domain(agg: DataFrame, domain: DataFrame | None, key: str, zeros: dict
 
 
 def customer_revenue(clean: DataFrame, domain: DataFrame | None = None, key: str = "CustomerID") -> DataFrame:
-    """A2: net revenue per customer (domain customers without lines: 0)."""
+    """A2: net revenue per customer, highest first (domain customers without
+    lines: 0); equal revenues by customer."""
     agg = clean.groupBy(key).agg(money_sum("Net_Revenue", TOTAL).alias("Net_Revenue"))
-    return _with_domain(agg, domain, key, {"Net_Revenue": F.lit(0).cast(TOTAL)})
+    out = _with_domain(agg, domain, key, {"Net_Revenue": F.lit(0).cast(TOTAL)})
+    return out.orderBy(F.col("Net_Revenue").desc_nulls_last(), F.col(key))
 
 
 def purchases_per_customer(clean: DataFrame, domain: DataFrame | None = None, key: str = "CustomerID") -> DataFrame:

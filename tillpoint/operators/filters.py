@@ -13,6 +13,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import shift_days, whole_days_between
 from ..schema import NON_PRODUCT_CODES, QUICK_RANGE_DAYS, UNKNOWN_CUSTOMER, UNSPECIFIED_COUNTRY
@@ -86,27 +87,40 @@ def known_customer(col: str = "CustomerID") -> Column:
 def product_filter(df: DataFrame, products, col: str = "description") -> DataFrame:
     """keep lines whose product is in ``products``.
 
-    A Python list becomes an IN list; a DataFrame of products becomes a left
-    semi join, which AQE turns into a broadcast only when the measured list is
-    small.
+    A short Python list becomes an IN list, which the scan can use. A list of
+    over ``LONG_LIST`` values becomes a table: the plan holds its size and not
+    its values. A table, given or made, is joined by a left semi join, which is
+    broadcast only if its measured size is small. NULL is in no list.
     """
-    if isinstance(products, DataFrame):
-        pcol = products.columns[0]
-        return df.join(products.select(F.col(pcol).alias(col)).distinct(), on=col, how="left_semi")
-    return df.filter(F.col(col).isin(list(products)))
-
-
+    if not isinstance(products, DataFrame):
+        products = list(products)
+        if len(products) <= LONG_LIST:
+            return df.filter(F.col(col).isin(products))
+        spark = df.sparkSession
+        kind = df.schema[col].dataType
+        table = spark.createDataFrame([(p,) for p in set(products) if p is not None], T.StructType([T.StructField(col, kind)]))
+        # lists are typed by hand or picked: rows of one driver partition, spread before the join
+        products = table.repartition(spark.sparkContext.defaultParallelism, col)
+    named = products.select(F.col(products.columns[0]).alias("_product")).distinct()
+    return df.join(named, df[col] == named["_product"], "left_semi")
+
+
+LONG_LIST = 1000  # values of an IN list
 MONTH_PARTITION = "invoice_month"  # layout column of a month-partitioned table
 
 
 def prune_months(df: DataFrame, start, end) -> DataFrame:
     """On a month-partitioned table, add the month predicate implied by a
-    time range (directory pruning); otherwise a no-op."""
+    time range, which may be open (None) at an end (directory pruning);
+    otherwise a no-op."""
     if MONTH_PARTITION not in df.columns:
         return df
-    lo = F.trunc(F.to_date(ts_bound(start)), "month")
-    hi = F.trunc(F.to_date(ts_bound(end)), "month")
-    return df.filter(F.col(MONTH_PARTITION).between(lo, hi))
+    month = F.col(MONTH_PARTITION)
+    if start is not None:
+        df = df.filter(month >= F.trunc(F.to_date(ts_bound(start)), "month"))
+    if end is not None:
+        df = df.filter(month <= F.trunc(F.to_date(ts_bound(end)), "month"))
+    return df
 
 
 def apply_filters(df: DataFrame, f: Filters | None, ts: str = "invoicedate", country: str = "country",

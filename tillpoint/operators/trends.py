@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import int_sum, money_sum, month_start, weekday0, weekday_abbr
 from ..schema import DAY_ABBREVIATIONS
-from .filters import Filters, apply_filters, positive, ts_bound
+from .filters import Filters, apply_filters, positive, prune_months, ts_bound
 
 MONEY = "decimal(38,2)"
 
@@ -83,10 +83,11 @@ def monthly_comparison(sales: DataFrame, f: Filters, mode: str = "yoy", by=("cou
     df, when = apply_filters(sales, f.without_dates()), F.col("invoicedate")
     inside = F.lit(True)
     if f.start is not None:
-        df = df.where(when >= F.timestamp_add("MONTH", F.lit(-shift), month_start(ts_bound(f.start))))
+        first = F.timestamp_add("MONTH", F.lit(-shift), month_start(ts_bound(f.start)))
+        df = prune_months(df, first, None).where(when >= first)
         inside &= when >= ts_bound(f.start)
     if f.end is not None:
-        df = df.where(when <= ts_bound(f.end))
+        df = prune_months(df, None, f.end).where(when <= ts_bound(f.end))
     money = F.lit(0).cast(MONEY)
     months = (df.withColumn("_in", inside).withColumn("_part", F.when(inside, F.col("net_revenue")))
               .groupBy(*keys, month_start("invoicedate").alias("month"))

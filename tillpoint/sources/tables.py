@@ -38,10 +38,6 @@ def check_lengths(df: DataFrame, lengths: Mapping[str, int]) -> DataFrame:
     return df.withColumns({name: checked(name, limit) for name, limit in lengths.items()})
 
 
-def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def register_tables(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
     """Expose DataFrames to SQL under their table names (session-scoped views)."""
     for name, df in tables.items():
