@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import lowercase_columns
 from ..schema import CLEAN_SCHEMA, PIPELINE_SUMMARY_SCHEMA, RAW_SCHEMA
+from .versions import read_version
 
 
 # standard CSV: a quote within a quoted field is doubled; blanks are kept
@@ -35,21 +36,33 @@ def read_transactions(spark: SparkSession, path: str, fmt: str = "csv", schema=R
 
 
 def load_csv_data(spark: SparkSession, cleaned_path: str, customer_path: str,
-                  multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+                  multi_line: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """SK2: the pipeline's cleaned lines and customer summary, column names in
-    lower case, timestamps parsed (ISO text). Descriptions may hold line breaks;
-    ``multi_line=False`` reads files without any in splits."""
+    lower case, timestamps parsed (ISO text). Descriptions may hold line breaks,
+    and then a file is read in one piece; ``multi_line=None`` looks whether a
+    field of the cleaned lines does, in one scan of their text, and otherwise
+    reads the files in splits."""
+    if multi_line is None:
+        multi_line = has_line_breaks(spark, cleaned_path)
     r = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
     lines, summary = r.schema(CLEAN_SCHEMA).csv(cleaned_path), r.schema(PIPELINE_SUMMARY_SCHEMA).csv(customer_path)
     return lowercase_columns(lines), lowercase_columns(summary)
 
 
-def load_tables(spark: SparkSession, cleaned_path: str, customer_path: str, fmt: str = "csv") -> tuple[DataFrame, DataFrame]:
+def has_line_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted field of a CSV folder goes over a line's end: some line
+    then has an odd number of quotes (a quote within a field is doubled)."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
+def load_tables(spark: SparkSession, cleaned_path: str, customer_path: str, fmt: str = "csv",
+                multi_line: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """SK2 from either form in which the summaries job leaves its results: the
     CSV export, or its warehouse's ``cleaned_lines`` and ``customer_summary_lines``
     (Parquet: splittable, typed, every text as it was)."""
     if fmt == "csv":
-        return load_csv_data(spark, cleaned_path, customer_path)
+        return load_csv_data(spark, cleaned_path, customer_path, multi_line)
     if fmt == "parquet":
-        return lowercase_columns(spark.read.parquet(cleaned_path)), lowercase_columns(spark.read.parquet(customer_path))
+        return lowercase_columns(read_version(spark, cleaned_path)), lowercase_columns(read_version(spark, customer_path))
     raise ValueError(f"unsupported format {fmt!r}")

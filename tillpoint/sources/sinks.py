@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,6 +91,43 @@ def export_name(f: Filters) -> str:
     return f"sales_data_{country}_{day(f.start)}_to_{day(f.end)}"
 
 
+MANIFEST = "_manifest"  # hidden from Spark's readers
+
+
+def export_files(sales: DataFrame, f: Filters, output_dir: str, max_lines: int = 1_000_000) -> str:
+    """SK9 / L3 as files that concatenate: the sorted lines in CSV files of at most
+    ``max_lines`` lines, without header, whose order by name is the export's order.
+    ``_manifest`` (JSON) lists them: file, lines, place of the first line, and the
+    header that belongs before them all.
+
+    The lines are range-partitioned by the sort, so files follow the ranges; a
+    range of many lines is written as several files.
+    """
+    path = f"{output_dir.rstrip('/')}/{export_name(f)}"
+    rows = export_rows(sales, f)
+    header = ",".join(rows.columns)
+    (rows.write.mode("overwrite").option("maxRecordsPerFile", max_lines).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    lines = read_export(sales.sparkSession, path, rows.schema)
+    counts = lines.groupBy("file").agg(F.count(F.lit(1)).alias("lines"))  # a row for each file
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    listed = counts.select("file", "lines", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("first_line"), F.lit(header).alias("header"))
+    listed.coalesce(1).write.mode("overwrite").json(f"{path}/{MANIFEST}")
+    return path
+
+
+def read_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The lines of ``export_files`` with their ``file`` (name) and ``line`` (rises
+    within the file; a place to order by, not a number of the line)."""
+    lines = spark.read.schema(schema).option("quote", '"').option("escape", '"').option("multiLine", True) \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return lines.select("*", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line"))
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("file string, lines long, first_line long, header string").json(f"{path}/{MANIFEST}")
+
+
 def export_csv(sales: DataFrame, f: Filters, output_dir: str) -> str:
     """SK9: write the filtered, sorted lines as a CSV folder named after the
     filter (country and dates)."""
