@@ -618,3 +618,46 @@ GROUP BY country ORDER BY revenue DESC, country LIMIT 8""")
 oracle("a37_countries_by_lines", "sales", """
 SELECT country, COUNT(*) AS transactions FROM sales GROUP BY country
 ORDER BY transactions DESC, country NULLS FIRST LIMIT 10""")
+
+# --- tables in versions, checked loads, footers, file order, long lists ------------------------------
+CSV_RAW = "InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice, CustomerID, NULLIF(Country, '') AS Country"
+oracle("sk1_csv_read", "raw", f"SELECT {CSV_RAW} FROM raw")
+_bad = {"(line)": "i % 83 = 5", "InvoiceNo": "FALSE", "StockCode": "FALSE", "Description": "FALSE", "Quantity": "i % 97 = 1",
+        "InvoiceDate": "i % 89 < 2", "UnitPrice": "i % 97 < 2", "CustomerID": "FALSE", "Country": "FALSE"}
+oracle("sk1_load_report", "raw", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {w if c == '(line)' else f'({w}) AND i % 83 <> 5'}) AS bad_values "
+    "FROM (SELECT CAST(InvoiceNo AS BIGINT) AS i FROM raw)" for c, w in _bad.items()))
+oracle("sk2_cleaned_csv", "clean", ORACLES["p10_lowercase_columns"].rpartition("SELECT InvoiceNo")[2].join(["SELECT InvoiceNo", ""])
+       .replace("Country AS country", "NULLIF(Country, '') AS country"))
+oracle("sk4_load_counts", "sales", """
+SELECT CASE WHEN CAST(invoiceno AS BIGINT) % 2 = 0 THEN 'even' ELSE 'odd' END AS load_id, COUNT(*) AS rows FROM sales GROUP BY 1""")
+oracle("sk5_replaced_table", "sales", "SELECT * FROM sales WHERE net_revenue > 0")
+oracle("sk9_export_files", "sales", f"""
+SELECT *, row_number() OVER (ORDER BY invoicedate DESC NULLS FIRST, invoiceno, stockcode, customerid) AS position
+FROM sales WHERE country = '{COUNTRY}'
+  AND invoicedate BETWEEN TIMESTAMP '1998-01-01 00:00:00' AND TIMESTAMP '1999-12-31 00:00:00'""")
+oracle("f4_long_code_list", "sales", """
+SELECT * FROM sales WHERE TRY_CAST(stockcode AS BIGINT) BETWEEN 0 AND 199999 AND TRY_CAST(stockcode AS BIGINT) % 2 = 0""")
+_reverse = ", ".join(f"{c} DESC NULLS LAST" for c in ("Description", "Quantity", "InvoiceDate", "UnitPrice", "Country"))
+oracle("d2_first_in_file", "clean", ORACLES["p10_lowercase_columns"].rpartition("SELECT InvoiceNo")[2].join(["SELECT InvoiceNo", ""])
+       .replace("FROM clean", "FROM backwards WHERE rn = 1"), f"""
+backwards AS (SELECT *, row_number() OVER (PARTITION BY InvoiceNo, StockCode, CustomerID ORDER BY {_reverse}) AS rn FROM clean)""")
+oracle("d7_table_date_checks", "sales", f"""
+SELECT MIN(invoicedate) AS earliest, MAX(invoicedate) AS latest, COUNT(*) FILTER (WHERE invoicedate > {NOW}) AS future_dates,
+       COUNT(*) FILTER (WHERE invoicedate < {EARLY}) AS suspicious_dates FROM sales""")
+oracle("a14_footer_bounds", "sales", "SELECT MIN(invoicedate) AS min_date, MAX(invoicedate) AS max_date, COUNT(*) AS lines FROM sales")
+
+# --- the daily rollup: the same panels for bounds at midnight ------------------------------------------
+DAYS = """
+qw AS (SELECT TIMESTAMP '1998-01-01 00:00:00' AS s, TIMESTAMP '1998-12-31 00:00:00' AS e),
+qpp AS (SELECT s, e, CAST(364 AS BIGINT) AS n, s - 364 * INTERVAL 1 DAY AS ps, s - INTERVAL 1 DAY AS pe FROM qw)"""
+IN_DAYS = "invoicedate BETWEEN TIMESTAMP '1998-01-01 00:00:00' AND TIMESTAMP '1998-12-31 00:00:00'"
+oracle("a17_rollup_kpis", "sales", "SELECT * FROM kpis", DAYS + "," + _src + "," + _agg)
+oracle("a21_rollup_yoy", "sales", _compare("12"), DAYS + "," + MONTHLY_ALL + "," + MONTHLY_CUR)
+ORACLES["a22_rollup_monthly"] = ORACLES["a22_monthly_revenue"]
+ORACLES["a24_rollup_monthly_sales"] = ORACLES["a24_monthly_sales"]
+for _name in ("a26_sales_by_weekday", "a27_hour_weekday_revenue"):
+    _new = {"a26_sales_by_weekday": "a26_rollup_weekday", "a27_hour_weekday_revenue": "a27_rollup_hours"}[_name]
+    _head, _, _tail = ORACLES[_name].rpartition("FROM sales")
+    ORACLES[_new] = f"{_head}FROM sales WHERE {IN_DAYS}{_tail}"
+ORACLES["a28_rollup_heatmap"] = ORACLES["a28_hour_weekday_heatmap"]

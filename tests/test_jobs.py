@@ -12,6 +12,7 @@ from tillpoint.plans.inputs import FixtureInputs
 from tillpoint.plans.report import run_report
 from tillpoint.plans.summaries import run_summaries
 from tillpoint.sources.sinks import write_csv
+from tillpoint.sources.versions import read_version
 
 
 def test_summaries_then_report(spark, scratch):
@@ -28,7 +29,7 @@ def test_summaries_then_report(spark, scratch):
     res = run_report(spark, run.csv_paths["cleaned"], run.csv_paths["customer_summary"], f"{scratch}/wh2",
                      f"{scratch}/reports", "20260101_000000")
     assert set(res) == {"duplicate_check", "monthly_revenue", "top_countries", "dashboard_metrics"}
-    table = spark.read.parquet(f"{scratch}/wh2/sales_data").drop("invoice_month")  # the layout's own column
+    table = read_version(spark, f"{scratch}/wh2/sales_data").drop("invoice_month")  # the layout's own column
     # CSV interchange turns blank countries into NULL; everything else equals the direct load
     want = src.sales.withColumn("country", F.when(F.col("country") != "", F.col("country")))
     assert table.count() == want.count() and table.exceptAll(want).count() == 0
@@ -44,7 +45,7 @@ def test_report_from_parquet_keeps_every_text_and_prunes_months(spark, scratch):
     want = FixtureInputs(spark, SF001).sales
     f = Filters(country="United Kingdom", start="1998-01-01", end="1998-12-31")
     for wh in ("wh1", "wh2"):
-        table = spark.read.parquet(f"{scratch}/{wh}/sales_data")
+        table = read_version(spark, f"{scratch}/{wh}/sales_data")
         assert table.count() == want.count()
         assert table.drop("invoice_month").exceptAll(want).count() == 0
         plan = dashboard.panels(table, f)["kpis"]._jdf.queryExecution().executedPlan().toString()

@@ -16,8 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from ..fixture import raw_transactions
 from ..operators.clean import clean_transactions, customer_domain, lowercase_columns, sales_from_raw
 from ..operators.customers import customer_summary
+from ..operators.rollup import customer_days, sales_hours
 from ..schema import SUMMARY_SCHEMA
+from ..session import scratch_path
 from ..sources.tables import conform
+from ..sources.versions import read_version, replace_version
 
 
 class FixtureInputs:
@@ -52,6 +55,21 @@ class FixtureInputs:
     def summary_table(self) -> DataFrame:
         return conform(lowercase_columns(self.summary), SUMMARY_SCHEMA)
 
+    @cached_property
+    def hours(self) -> DataFrame:
+        return sales_hours(self.sales)
+
+    @cached_property
+    def customer_days(self) -> DataFrame:
+        return customer_days(self.sales)
+
+    @cached_property
+    def tables(self) -> "WarehouseInputs":
+        """``sales_data`` written once, for operators on a table's files."""
+        root = scratch_path(self.spark, "tables")
+        replace_version(self.sales.sortWithinPartitions("invoicedate"), f"{root}/sales_data")
+        return WarehouseInputs(self.spark, root)
+
 
 class WarehouseInputs:
     """Inputs read back from a materialized warehouse folder.
@@ -65,8 +83,11 @@ class WarehouseInputs:
         self.root = root.rstrip("/")
         self._raw = raw
 
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
     def _t(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        return read_version(self.spark, self.path(name))
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -91,3 +112,15 @@ class WarehouseInputs:
     @cached_property
     def summary_table(self) -> DataFrame:
         return self._t("customer_summary")
+
+    @cached_property
+    def hours(self) -> DataFrame:
+        return self._t("sales_hours")
+
+    @cached_property
+    def customer_days(self) -> DataFrame:
+        return self._t("customer_days")
+
+    @property
+    def tables(self) -> "WarehouseInputs":
+        return self

@@ -8,14 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import composite_key, label30, ratio
 from ..operators import clean as C
-from ..operators import customers, kpi, products, quality, rankings, trends
-from ..operators.filters import Filters, previous_period, quick_filters, quick_ranges
-from ..sources import sinks
+from ..operators import customers, kpi, products, quality, rankings, rollup, trends
+from ..operators.filters import Filters, apply_filters, previous_period, quick_filters, quick_ranges
+from ..schema import RAW_SCHEMA
+from ..session import scratch_path
+from ..sources import checked, readers, sinks, statistics, versions
 from ..sources.tables import run_sql
 from . import inputs
 
@@ -28,6 +30,8 @@ OPERATORS: dict[str, Operator] = {}  # (inputs provider) -> DataFrame
 COUNTRY = "United Kingdom"
 EXPORT_START, EXPORT_END = "1998-01-01", "1999-12-31"
 PRODUCTS = ("blue anvil", "hot rod", "small widget")
+LONG_LIST = range(0, 200_000, 2)  # stock codes, as text
+DAYS = Filters(start="1998-01-01", end="1998-12-31")  # bounds at midnight: the rollup answers
 QUICK = "year"
 NOW = "2026-01-01 00:00:00"
 RUN_ID = "20260101_000000"
@@ -57,6 +61,52 @@ def _sk1(src):
     return src.raw
 
 
+@register("sk1_csv_read")
+def _sk1c(src):
+    path = scratch_path(src.spark, "raw-csv")
+    sinks.write_csv(src.raw, path)
+    return readers.read_transactions(src.spark, path)
+
+
+@register("sk1_load_report")
+def _sk1r(src):
+    """Raw lines of which some have a quantity, a time or a price that is none, or
+    a field too many, written as text and read back."""
+    line, text = F.col("InvoiceNo").cast("bigint"), {f.name: F.col(f.name).cast("string") for f in RAW_SCHEMA.fields}
+    text |= {"Quantity": F.when(line % 97 == 1, F.lit("many")).otherwise(text["Quantity"]),
+             "InvoiceDate": F.when(line % 89 < 2, F.lit("yesterday")).otherwise(F.date_format("InvoiceDate", "yyyy-MM-dd'T'HH:mm:ss")),
+             "UnitPrice": F.when(line % 97 < 2, F.lit("dear")).otherwise(text["UnitPrice"])}
+    path = scratch_path(src.spark, "raw-faulty")
+    quoted = [F.concat(F.lit('"'), F.coalesce(c, F.lit("")), F.lit('"')) for c in text.values()]
+    fields = F.concat_ws(",", *quoted, F.when(line % 83 == 5, F.lit("more")))
+    src.raw.select(fields).write.option("lineSep", "\n").text(path)
+    return checked.fault_counts(checked.read_checked(src.spark, path, header=False))
+
+
+@register("sk2_cleaned_csv")
+def _sk2(src):
+    path = scratch_path(src.spark, "out")
+    paths = sinks.save_results(src.clean, src.summary, path)
+    return readers.load_csv_data(src.spark, paths["cleaned"], paths["customer_summary"])[0]
+
+
+@register("sk4_load_counts")
+def _sk4(src):
+    path = scratch_path(src.spark, "loads")
+    parts = {"even": F.col("invoiceno").cast("bigint") % 2 == 0, "odd": F.col("invoiceno").cast("bigint") % 2 == 1}
+    for load in ("even", "odd", "odd"):  # the same load twice
+        versions.append_load(src.sales.where(parts[load]), path, load)
+    return versions.load_counts(src.spark, path)
+
+
+@register("sk5_replaced_table")
+def _sk5(src):
+    path = scratch_path(src.spark, "replaced")
+    versions.replace_version(src.sales, path)
+    versions.replace_version(versions.read_version(src.spark, path).where("net_revenue > 0"), path)  # from itself
+    return versions.read_version(src.spark, path)
+
+
 @register("sk3_sales_table")
 def _sk3(src):
     return src.sales
@@ -89,6 +139,16 @@ def _sk9(src):
     return sinks.export_rows(src.sales, Filters(COUNTRY, EXPORT_START, EXPORT_END))
 
 
+@register("sk9_export_files")
+def _sk9f(src):
+    spark = src.spark
+    path = sinks.export_files(src.sales, Filters(COUNTRY, EXPORT_START, EXPORT_END), scratch_path(spark, "export"), max_lines=500)
+    lines = sinks.read_export(spark, path, sinks.export_rows(src.sales, Filters()).schema)
+    here = F.row_number().over(Window.partitionBy("file").orderBy("line"))  # a file has 500 lines at most
+    first = sinks.read_manifest(spark, path).select("file", "first_line")
+    return lines.withColumn("here", here).join(first, "file").withColumn("position", F.col("first_line") + F.col("here")).drop("file", "line", "here", "first_line")
+
+
 # --- projections ----------------------------------------------------------------
 
 @register("p1_fill_missing")
@@ -205,6 +265,11 @@ def _f4(src):
     return apply_filters(src.sales, Filters(products=PRODUCTS))
 
 
+@register("f4_long_code_list")
+def _f4l(src):
+    return apply_filters(src.sales, Filters(products=[str(k) for k in LONG_LIST]), product="stockcode")
+
+
 @register("f11_non_product_lines")
 def _f11(src):
     from ..operators.filters import non_product
@@ -242,6 +307,16 @@ def _d2(src):
                         ["description", "quantity", "invoicedate", "unitprice", "country"])
 
 
+@register("d2_first_in_file")
+def _d2f(src):
+    """Cleaned lines in files whose order is the reverse of the values' order."""
+    lines = C.lowercase_columns(src.clean)
+    path = scratch_path(src.spark, "in-file-order")
+    order = [F.col(c).desc_nulls_last() for c in ("description", "quantity", "invoicedate", "unitprice", "country", *C.SALES_KEY)]
+    lines.orderBy(*order).write.parquet(path)
+    return C.dedup_keys_in_file_order(C.with_file_order(src.spark.read.schema(lines.schema).parquet(path)))
+
+
 @register("d3_duplicate_profile")
 def _d3(src):
     return quality.duplicate_profile(C.fill_missing(src.raw))
@@ -282,6 +357,11 @@ def _d7(src):
     return quality.date_checks(_dedup(src), NOW)
 
 
+@register("d7_table_date_checks")
+def _d7t(src):
+    return statistics.table_date_checks(src.spark, src.tables.path("sales_data"), NOW)
+
+
 @register("d8_value_checks")
 def _d8(src):
     return quality.value_checks(_dedup(src))
@@ -404,6 +484,11 @@ def _a14(src):
     return kpi.date_bounds(src.sales)
 
 
+@register("a14_footer_bounds")
+def _a14f(src):
+    return statistics.footer_bounds(src.spark, src.tables.path("sales_data"))
+
+
 @register("a15_data_period")
 def _a15(src):
     return kpi.data_period(src.sales).drop("data_period")
@@ -500,6 +585,43 @@ def _a28(src):
     return trends.hour_weekday_heatmap(src.sales)
 
 
+# --- the same from the daily rollup ---------------------------------------------------------
+
+@register("a17_rollup_kpis")
+def _a17r(src):
+    return rollup.rollup_kpi_block(src.hours, src.customer_days, DAYS)
+
+
+@register("a21_rollup_yoy")
+def _a21r(src):
+    return rollup.rollup_comparison(src.hours, DAYS, "yoy")
+
+
+@register("a22_rollup_monthly")
+def _a22r(src):
+    return rollup.rollup_monthly(src.hours)
+
+
+@register("a24_rollup_monthly_sales")
+def _a24r(src):
+    return rollup.rollup_monthly_sales(src.hours)
+
+
+@register("a26_rollup_weekday")
+def _a26r(src):
+    return rollup.rollup_weekday(src.hours, DAYS)
+
+
+@register("a27_rollup_hours")
+def _a27r(src):
+    return rollup.rollup_hours(src.hours, DAYS)
+
+
+@register("a28_rollup_heatmap")
+def _a28r(src):
+    return rollup.rollup_heatmap(src.hours)
+
+
 # --- rankings --------------------------------------------------------------------------------
 
 @register("a31_country_revenue")

@@ -10,23 +10,33 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from ..operators import kpi, quality, rankings, trends
-from ..operators.clean import SALES_KEY, dedup_keys
+from ..operators.clean import SALES_KEY, dedup_keys, dedup_keys_in_file_order, with_file_order
 from ..schema import SALES_LENGTHS, SALES_SCHEMA, SUMMARY_LENGTHS, SUMMARY_SCHEMA
 from ..sources.readers import load_tables
-from ..sources.sinks import replace_table, save_with_latest
+from ..sources.sinks import save_with_latest
 from ..sources.tables import check_lengths, conform
+from ..sources.versions import replace_version
 from .inputs import WarehouseInputs
-from .warehouse import write_sales
+from .warehouse import write_rollup, write_sales
 
 
 def run_report(spark: SparkSession, cleaned: str, summary_path: str, warehouse_dir: str, report_dir: str,
-               run_timestamp: str, fmt: str = "csv", layout: str = "monthly") -> dict[str, dict | None]:
-    lines, summary = load_tables(spark, cleaned, summary_path, fmt)
-    order = ["description", "quantity", "invoicedate", "unitprice", "country"]
-    sales = check_lengths(conform(dedup_keys(lines, SALES_KEY, order), SALES_SCHEMA), SALES_LENGTHS)
+               run_timestamp: str, fmt: str = "csv", layout: str = "monthly", first: str = "value",
+               multi_line: bool | None = None) -> dict[str, dict | None]:
+    """``first``: of lines of one key the first by their other columns stays
+    ('value'), or the first in the input files ('file', as the analysed report does)."""
+    lines, summary = load_tables(spark, cleaned, summary_path, fmt, multi_line)
+    if first == "file":
+        lines = dedup_keys_in_file_order(with_file_order(lines))
+    elif first == "value":
+        lines = dedup_keys(lines, SALES_KEY, ["description", "quantity", "invoicedate", "unitprice", "country"])
+    else:
+        raise ValueError(f"unknown order {first!r}")
+    sales = check_lengths(conform(lines, SALES_SCHEMA), SALES_LENGTHS)
     root = warehouse_dir.rstrip("/")
     write_sales(sales, root, layout)
-    replace_table(check_lengths(conform(summary, SUMMARY_SCHEMA), SUMMARY_LENGTHS), f"{root}/customer_summary")
+    write_rollup(spark, root)
+    replace_version(check_lengths(conform(summary, SUMMARY_SCHEMA), SUMMARY_LENGTHS), f"{root}/customer_summary")
     wh = WarehouseInputs(spark, root)
     tables = wh.sales
     results = {

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.kpi import pipeline_summary
 from ..operators.products import ProductAnalysis, analyze_products
+from ..sources.checked import load_transactions
 from ..sources.readers import read_transactions
 from ..sources.sinks import save_results
 from .warehouse import build_warehouse
@@ -25,9 +26,18 @@ class SummaryRun:
     csv_paths: dict[str, str]
 
 
+def read_raw(spark: SparkSession, path: str, fmt: str, timestamp_format: str | None, multi_line: bool, bad_lines: str | None) -> DataFrame:
+    if fmt == "csv" and bad_lines:
+        return load_transactions(spark, path, timestamp_format=timestamp_format, multi_line=multi_line, bad_lines=bad_lines)
+    return read_transactions(spark, path, fmt, timestamp_format=timestamp_format, multi_line=multi_line)
+
+
 def run_summaries(spark: SparkSession, raw_path: str, output_dir: str, fmt: str = "csv",
-                  warehouse_dir: str | None = None, losses: str = "largest", layout: str = "monthly") -> SummaryRun:
-    raw = read_transactions(spark, raw_path, fmt)
+                  warehouse_dir: str | None = None, losses: str = "largest", layout: str = "monthly",
+                  timestamp_format: str | None = None, multi_line: bool = False, bad_lines: str | None = None) -> SummaryRun:
+    """``bad_lines``: a folder for CSV lines that do not fit; all of them are then
+    named before the job fails. Without it the first one ends the job."""
+    raw = read_raw(spark, raw_path, fmt, timestamp_format, multi_line, bad_lines)
     wh = build_warehouse(spark, raw, warehouse_dir, keep_raw=False, layout=layout)
     clean = wh.clean
     products = analyze_products(clean, losses=losses)
