@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = con.sql(ORACLES[name])
     got = QUERIES[name](spark, SF)
@@ -27,5 +27,5 @@ def test_every_numbered_query_is_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert os.path.exists(os.path.join(os.path.dirname(__spark_entry__.__file__), "corpus_pipeline.py"))

@@ -165,11 +165,11 @@ def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", host
 def frequent_lines(docs: DataFrame, text: str = "text", host: str = "source", limit: int = LIMIT) -> DataFrame:
     """(host, line, n_docs): the normalised lines in more than ``limit`` documents
     of their host, most frequent first. Nulls as in ``quality_rules``."""
-    line = F.explode(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n"))
     upper, lower = (bytes(range(a, a + 26)).decode() for a in (65, 97))
     words = F.array_remove(F.split(F.translate("line", upper, lower), r"[\x20\x09-\x0D]+"), "")
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), line.alias("line"))
-    once = rows.select("row", "host", F.array_join(words, " ").alias("line")).where("line <> ''").distinct()
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"),
+                       F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n").alias("lines"))
+    once = rows.select("row", "host", F.explode("lines").alias("line")).select("row", "host", F.array_join(words, " ").alias("line")).where("line <> ''").distinct()
     return (once.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > limit)
             .orderBy(F.desc("n_docs"), "host", "line"))
 
