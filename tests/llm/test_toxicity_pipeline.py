@@ -5,8 +5,10 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
-from tillpoint.llm.toxicity import Crf, log_odds, score, train
+from tillpoint.llm import toxicity
+from tillpoint.llm.toxicity import Crf, log_odds, score, tag, train
 
 from .helpers import DOCS, awkward_rows, words
 
@@ -138,3 +140,61 @@ def test_contaminated_rows_go_whatever_their_id(spark, scratch):
     got = cp.drop_contaminated(spark, docs, scratch)
     assert got.columns == docs.columns
     assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr) == sorted([(None, one), (4, two), (4, None), (6, "")], key=repr)
+
+
+def test_spans_are_of_the_text_as_it_stands(spark):
+    crf = Crf(weights={"=bad": 9.0, "=wörse": 9.0}, document=np.array([-3.0, 0.5, 0.5]))
+    texts = ["İstanbul is a bad place", "a BAD İİ Wörse İ bad wörse", "İ bad", "ΣΑΣ bad ΟΔΟΣ", "bad İ", "İbad bad"]
+    got = {r["doc_id"]: r["spans"] for r in score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), crf).collect()}
+    found = {i: [texts[i][s["start"]:s["end"]] for s in got[i]] for i in got}
+    assert found == {0: ["bad"], 1: ["BAD", "Wörse", "bad wörse"], 2: ["bad"], 3: ["bad"], 4: ["bad"], 5: ["bad bad"]}
+
+
+def test_tags_name_a_clash(spark):
+    df = spark.createDataFrame([(1, "x", 0.5)], "doc_id long, text string, Score double")
+    with pytest.raises(ValueError, match="score"):
+        tag(df, Crf())
+    assert score(df, Crf()).count() == 1
+
+
+def test_gradient_equals_finite_differences(spark):
+    rows = [(t, y) for _, t, y in toxic_rows(25, 8)]
+    names = ["=vilax", "=grobul", "stin", "=the"]
+    theta = np.array([-1.5, 0.1, -0.7, 0.3, 0.2, 1.0, 0.5, 2.0, -0.5])
+
+    def model(x):
+        return Crf(dict(zip(names, x[5:].tolist())), float(x[0]), x[1:5].reshape(2, 2))
+
+    def likelihood(x):
+        """Log-likelihood of the words' labels, by the sum over all labellings in
+        its recursive form."""
+        crf, total = model(x), 0.0
+        for text, y in rows:
+            ws = toxicity._WORD.findall(text.lower())
+            labels = [int(y and any(f in crf.weights for f in toxicity.features(w))) for w in ws]
+            E = [crf.emission(w) for w in ws]
+            total += sum(e for e, k in zip(E, labels) if k) + sum(crf.transitions[i, j] for i, j in itertools.pairwise(labels))
+            a = np.array([0.0, E[0]])
+            for e in E[1:]:
+                a = np.array([np.logaddexp(a[0] + crf.transitions[0, j], a[1] + crf.transitions[1, j]) + j * e for j in (0, 1)])
+            total -= np.logaddexp(*a)
+        return total
+
+    frame = spark.createDataFrame(rows, "text string, toxic int").repartition(3)
+    parts = frame.mapInArrow(toxicity._gradient(model(theta), names), "g binary").collect()
+    got = sum(np.frombuffer(bytes(r["g"])) for r in parts)
+    step = 1e-5
+    want = [(likelihood(theta + step * e) - likelihood(theta - step * e)) / (2 * step) for e in np.eye(len(theta))]
+    assert np.allclose(got, want, atol=1e-4)
+
+
+def test_score_is_the_model_of_the_marginals(spark):
+    rows = [(i, t) for i, (_, t, _) in enumerate(toxic_rows(20, 9))] + [(100, ""), (101, None)]
+    crf = Crf({"=vilax": 4.0, "grob": 3.0}, -3.0, np.array([[0.0, -1.0], [-0.5, 1.0]]), np.array([-2.0, 0.7, 1.1]))
+    for r in score(spark.createDataFrame(rows, "doc_id long, text string"), crf).collect():
+        ws = toxicity._WORD.findall((dict(rows)[r["doc_id"]] or "").lower())
+        E = np.array([crf.emission(w) for w in ws])
+        odds = log_odds(E, np.array([0, len(ws)]), crf.transitions)[2]  # enumerated above
+        x = [1, np.clip(odds.max(), -10, 10), np.log1p((1 / (1 + np.exp(-odds))).sum())] if len(ws) else [1, -10, 0]
+        assert abs(r["score"] - 1 / (1 + np.exp(-np.dot(x, crf.document)))) < 1e-9
+        assert r["n_toxic"] == (odds >= 0).sum()

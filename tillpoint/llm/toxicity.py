@@ -126,17 +126,23 @@ def _laid_out(texts: Iterable[bytes], value: Callable[[str], float]) -> tuple[np
 
 
 def _toxic_spans(text: str, toxic: np.ndarray) -> list[dict]:
-    """Character ranges of neighbouring toxic words (lower-casing may change a
-    text's length, so words are found on the lowered text only if it does not)."""
+    """Character ranges, in ``text`` as it stands, of neighbouring toxic words.
+    Words are those of the lowered text; where lower-casing makes several
+    characters of one, each of them stands for that one."""
     out: list[dict] = []
     low = text.lower()
+    place = None
+    if len(low) != len(text):
+        place = [i for i, c in enumerate(text) for _ in c.lower()]
+        # only a final sigma depends on its neighbours, and it is one character in any case
     last = -2
-    for i, m in enumerate(_WORD.finditer(low if len(low) == len(text) else text)):
-        if i < len(toxic) and toxic[i]:
+    for i, m in enumerate(_WORD.finditer(low)):
+        if toxic[i]:
+            start, end = (m.start(), m.end()) if place is None else (place[m.start()], place[m.end() - 1] + 1)
             if last == i - 1:
-                out[-1]["end"] = m.end()
+                out[-1]["end"] = end
             else:
-                out.append({"start": m.start(), "end": m.end()})
+                out.append({"start": start, "end": end})
             last = i
     return out
 
@@ -285,7 +291,11 @@ def score(docs: DataFrame, crf: Crf, key: str = "doc_id", text: str = "text") ->
 
 
 def tag(docs: DataFrame, crf: Crf, text: str = "text") -> DataFrame:
-    """``docs``, all its columns, with those of ``score``; none may clash."""
+    """``docs``, all its columns, with those of ``score``. A column of ``docs``
+    that has the name of one of them is an error that names it."""
+    clash = sorted({c.lower() for c in docs.columns} & {"score", "predicted", "n_toxic", "spans"})
+    if clash:
+        raise ValueError(f"columns that the tags would repeat: {clash}; rename them before")
     column = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
