@@ -102,6 +102,14 @@ def test_embedding_links_equal_brute_force(spark):
     assert embedding_dedup(df.limit(0)).count() == 0
 
 
+def test_extreme_and_repeated_vectors_link(spark):
+    huge, tiny, low = 1e200, 1e-200, 5e-324
+    rows = [(1, [huge, huge, 0.0]), (2, [huge, huge, huge / 10]), (3, [tiny, tiny, 0.0]), (4, [2 * tiny, 2 * tiny, 0.0]), (5, [low, low, 0.0]), (6, [-1.0, -1.0, 0.0]),
+            (7, [1.7e308, 1.7e308, 0.0]), (8, [0.0, 1e-300, 1e300]), (1, [huge, huge, 0.0])]
+    got = embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(map(tuple, got)) == [(i, 5, 1, i == 1) for i in (1, 1, 2, 3, 4, 5)] + [(6, 0, 6, True), (7, 5, 1, False), (8, 0, 8, True)]
+
+
 def test_vectors_of_one_id_keep_their_own_links(spark):
     u, v, w = [[float(k == j) for k in range(8)] for j in range(3)]
     near = [[x + 0.1 * (k == 7) for k, x in enumerate(e)] for e in (u, v, w)]

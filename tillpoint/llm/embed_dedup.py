@@ -32,6 +32,15 @@ def _planes(dim: int, tables: int, bits: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, dim]).standard_normal((dim, tables * bits))
 
 
+def _scaled(X: np.ndarray) -> np.ndarray:
+    """Rows brought to a largest component of one half to one by a power of two,
+    which changes no other digit: squares of very large and very small components
+    then neither overflow nor vanish."""
+    _, exponent = np.frexp(np.abs(X).max(axis=1, keepdims=True))
+    half = exponent // 2  # in two steps: the power itself may be out of range
+    return np.ldexp(np.ldexp(X, -half), half - exponent)
+
+
 def _sign_rows(tables: int, bits: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = 1 << np.arange(bits)
@@ -42,8 +51,7 @@ def _sign_rows(tables: int, bits: int, seed: int):
             for d in np.unique(dims):
                 own = np.flatnonzero(dims == d)
                 raw = flat[at[own][:, None] + np.arange(d)]  # as stored: single or double precision
-                X = raw.astype(np.float64)
-                signs = (X / np.abs(X).max(axis=1, keepdims=True)) @ _planes(int(d), tables, bits, seed) > 0
+                signs = _scaled(raw.astype(np.float64)) @ _planes(int(d), tables, bits, seed) > 0
                 sig = (signs.reshape(len(own), tables, bits) * weights).sum(axis=2).astype("<u2")
                 raw = [x.tobytes() for x in raw]
                 sigs = [s.tobytes() for s in sig]
@@ -58,7 +66,8 @@ def _sign_rows(tables: int, bits: int, seed: int):
 
 def _check(threshold: float, stored: str):
     def load(items, dim):
-        X = np.frombuffer(b"".join(items.field("vec").to_pylist()), dtype=stored).reshape(-1, dim).astype(np.float64)
+        X = np.frombuffer(b"".join(items.field("vec").to_pylist()), dtype=stored).reshape(-1, dim)
+        X = _scaled(X.astype(np.float64))
         S = np.frombuffer(b"".join(items.field("sig").to_pylist()), dtype="<u2").reshape(len(X), -1)
         return X, np.sqrt((X * X).sum(axis=1)), S, items.field("node").to_numpy(), items.field("size").to_numpy()
 
@@ -93,7 +102,7 @@ def _check(threshold: float, stored: str):
 
 def embedding_dedup(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding", threshold: float = 0.9,
                     tables: int = 24, bits: int = 8, seed: int = 7) -> DataFrame:
-    """(key, n_links, component_id, kept), one row per distinct (key, vector).
+    """(key, n_links, component_id, kept), one row per input row.
 
     Pairs with cosine of at least ``threshold`` that meet in a table link (see
     ``recall``: 0.9997 of the pairs exactly at 0.9 with the defaults, more of
@@ -103,16 +112,18 @@ def embedding_dedup(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
     zero vectors and vectors with null or non-finite components link with
     nothing, nor do rows with a null key (component null, not kept). Vectors
     of different lengths never link. A key with several vectors has a row, with
-    links and a component of its own, for each. Repeated rows count once. Other columns
-    are not read. More rows want more bits, and with them more tables.
+    links and a component of its own, for each. Rows that repeat, key and vector,
+    are one vector: each has its row, none links with its own copies, and others
+    count them once. Other columns are not read. More rows want more bits, and with
+    them more tables.
     """
     single = vectors.schema[embedding].dataType.simpleString() == "array<float>"
     stored, kind = ("<f4", "array<float>") if single else ("<f8", "array<double>")
-    rows = stage(vectors.select(F.col(key).alias("id"), F.col(embedding).cast(kind).alias("embedding")).distinct(), "vectors")
+    rows = stage(vectors.select(F.col(key).alias("id"), F.col(embedding).cast(kind).alias("embedding")), "vectors")
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = F.col("id").isNotNull() & F.col("embedding").isNotNull() & ~bad & F.exists("embedding", lambda x: x != 0)
     good = rows.where(usable)
-    classes = good.groupBy("embedding").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("size"))
+    classes = good.distinct().groupBy("embedding").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("size"))
     # numbered once, as they are written: one id can have several vectors, so an id does not name a class
     classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
     hashed = (classes.select("node", "size", F.size("embedding").alias("dim"), "embedding")
