@@ -2,7 +2,9 @@
 
 The token ends of each tokenizer, as byte offsets, are the keys of a dictionary
 to the token's number. The keys that both dictionaries have, sorted, slice both id
-lists into groups; within each slice every pair of overlapping tokens is a link.
+lists into groups; within each slice every pair of overlapping tokens is a link. The
+unit of all this is the stretch between single spaces, and one met lately is not
+aligned again.
 
 How often an id pair is linked is counted over all documents. Documents are
 packed into blocks, a table in the shared folder that holds for each document how
@@ -18,7 +20,8 @@ import functools
 import hashlib
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,9 @@ from pyspark.sql import functions as F
 from .common import packs, release, rows, spans_of, stage
 
 BLOCK_BYTES = 1 << 22
-PIECE = 1 << 20  # characters of a text that are aligned at a time, about
+PIECE = 1 << 20  # characters that are cut into units at a time, about
+CACHE = 250_000  # units of each generation of a worker's cache
+LONG_UNIT = 200  # characters of a unit that is not worth keeping
 PART_PAIRS = 200_000  # pairs of all blocks that meet in one part of the exchange, about
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -88,62 +93,117 @@ class PieceBpe:
         return self.model.encode(text, num_threads=1)
 
 
+#: What the alignment of a stretch of text comes to: how many tokens of A and of B and
+#: how many groups it has, the groups as text (``a1,a2|b1;a3|b2,b3``) and its linked id
+#: pairs (A's id above 32 bits of B's, 8 bytes each).
+Unit = tuple[int, int, int, str, bytes]
+
+
 class Aligner:
+    """Aligns texts by units. A text is cut at its single spaces between other
+    characters, where a token of either tokenizer starts whatever stands before, so
+    a unit's tokens do not depend on its neighbours. Units not met lately are put
+    together with single spaces and aligned as one text. Those met lately are in
+    ``recent``, those before in ``older``: when ``recent`` is full it becomes
+    ``older``."""
+
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteBpe(path_a), PieceBpe(path_b)
         self.size_a, self.size_b = (np.array([len(r) for r in t.raw], dtype=np.int64) for t in (self.a, self.b))
         self.shown_a, self.shown_b = ([str(i) for i in range(len(t.raw))] for t in (self.a, self.b))
-
-    def pieces(self, text: str) -> Iterator[str]:
-        """The text in pieces, cut at (without) single spaces between other
-        characters, where a token of either tokenizer starts."""
-        at = 0
+        self.recent: dict[str, Unit | None] = {}
+        self.older: dict[str, Unit | None] = {}
+
+    def align(self, texts: Iterable[bytes]) -> Iterator[list[Unit]]:
+        """The units of each text in order; none if a text is empty or the tokens'
+        bytes are not the text's."""
+        done: list[list[Unit | None]] = []
+        held: list[tuple[int, list[str]]] = []  # of a text's number, units to look up
+        size = 0
+        for i, data in enumerate(texts):
+            done.append([])
+            for piece in self._pieces(data):
+                held.append((i, _CUT.split(piece)))
+                size += len(piece)
+                if size > PIECE:
+                    self._look_up(held, done)
+                    held, size = [], 0
+        self._look_up(held, done)
+        for units in done:
+            yield [] if None in units else units
+
+    def _pieces(self, data: bytes) -> Iterator[str]:
+        """Bounded pieces of a text, cut between units."""
+        text, at = data.decode(errors="replace"), 0
         while len(text) - at > PIECE:
             cut = _CUT.search(text, at + PIECE)
             if not cut:
                 break
-            yield text[at:cut.start() + 1]
-            at = cut.start() + 2
-        yield text[at:]
-
-    def align(self, data: bytes) -> list[tuple[list[int], list[int], list[int], list[int]]] | None:
-        """For each piece: (ids of A, ids of B, ends of the groups in A, in B).
-        None if the text is empty or the tokens' bytes are not the text's."""
-        try:
-            text = data.decode()
-        except UnicodeDecodeError:
-            return None
-        if not text:
-            return None
-        out = []
-        for piece in self.pieces(text):
-            a, b = self.a.encode(" " + piece), self.b.encode(piece)
-            whole = b" " + piece.encode()
-            if not a or not b or b"".join(map(self.a.raw.__getitem__, a)) != whole or b"".join(map(self.b.raw.__getitem__, b)) != whole:
-                return None
-            ends_a = dict(zip(np.cumsum(self.size_a[a]).tolist(), range(1, len(a) + 1)))
-            ends_b = dict(zip(np.cumsum(self.size_b[b]).tolist(), range(1, len(b) + 1)))
-            common = sorted(ends_a.keys() & ends_b.keys())
-            out.append((a, b, list(map(ends_a.__getitem__, common)), list(map(ends_b.__getitem__, common))))
-        return out
-
-    def links(self, a: list[int], b: list[int]) -> np.ndarray:
-        """The linked id pairs, A's id above B's 32 bits. Within a slice, each stretch of
-        bytes between one token end and the next, whichever tokenizer's, lies in
-        one token of A and one of B, and no two stretches in the same two."""
+            yield text[at:cut.start()]
+            at = cut.end()
+        if text:
+            yield text[at:]
+
+    def _look_up(self, held: list[tuple[int, list[str]]], done: list[list[Unit | None]]) -> None:
+        units = set().union(*(u for _, u in held))
+        long = {u for u in units if len(u) > LONG_UNIT}
+        kept = dict(self._aligned(long))
+        units -= long
+        new = units.difference(self.recent)
+        if len(self.recent) + len(new) > CACHE:
+            self.recent, self.older = {}, self.recent
+            new = units
+        older = self.older
+        self.recent.update({u: older[u] for u in new if u in older})
+        self.recent.update(self._aligned(u for u in new if u not in older))
+        for i, own in held:
+            done[i] += [kept[u] if u in kept else self.recent[u] for u in own] if kept else map(self.recent.__getitem__, own)
+
+    def _aligned(self, units: Iterable[str]) -> Iterator[tuple[str, Unit | None]]:
+        """Units with their alignment: plain ones together, so are the others but
+        those with white space at an end, which single spaces would run into."""
+        together: tuple[list[str], list[str]] = ([], [])
+        for u in units:
+            if u[:1].isspace() or u[-1:].isspace() or not u:
+                yield from self._as_one([u])
+            else:
+                together[_OTHER.search(u) is not None].append(u)
+        for some in together:
+            if some:
+                yield from self._as_one(some)
+
+    def _as_one(self, units: list[str]) -> Iterator[tuple[str, Unit | None]]:
+        text = " ".join(units)
+        a, b = self.a.encode(" " + text), self.b.encode(text)
+        whole = (" " + text).encode()
+        if any(b"".join(map(t.raw.__getitem__, ids)) != whole for t, ids in ((self.a, a), (self.b, b))):
+            if len(units) == 1:
+                yield units[0], None
+            else:  # some unit's bytes are not its tokens': halve until it stands alone
+                yield from self._as_one(units[:len(units) // 2])
+                yield from self._as_one(units[len(units) // 2:])
+            return
         ids_a, ids_b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
-        ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
-        stretch = np.union1d(ends_a, ends_b)
-        return ids_a[np.searchsorted(ends_a, stretch)] << 32 | ids_b[np.searchsorted(ends_b, stretch)]
-
-    def groups(self, a: list[int], b: list[int], in_a: list[int], in_b: list[int]) -> str:
-        """``a1,a2|b1;a3|b2,b3``"""
+        at_a, at_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
+        ends_a, ends_b = dict(zip(at_a.tolist(), count(1))), dict(zip(at_b.tolist(), count(1)))
+        common = sorted(ends_a.keys() & ends_b.keys())
+        shown, i, k = [], 0, 0
         sa, sb = list(map(self.shown_a.__getitem__, a)), list(map(self.shown_b.__getitem__, b))
-        return ";".join([f"{sa[i]}|{sb[k]}" if j - i == 1 and m - k == 1 else f"{','.join(sa[i:j])}|{','.join(sb[k:m])}"
-                         for i, j, k, m in zip([0, *in_a], in_a, [0, *in_b], in_b)])
+        for j, m in zip(map(ends_a.__getitem__, common), map(ends_b.__getitem__, common)):
+            shown.append(sa[i] + "|" + sb[k] if j - i == 1 == m - k else ",".join(sa[i:j]) + "|" + ",".join(sb[k:m]))
+            i, k = j, m
+        # within a slice, each stretch of bytes between one token end and the next, whichever
+        # tokenizer's, lies in one token of A and one of B, and no two stretches in the same two
+        stretch = np.union1d(at_a, at_b)
+        links = (ids_a[np.searchsorted(at_a, stretch)] << 32 | ids_b[np.searchsorted(at_b, stretch)]).tobytes()
+        ends = np.cumsum([len(u.encode()) + 1 for u in units])
+        cuts = [spans_of(np.diff(np.searchsorted(x, ends, side="right"), prepend=0)) for x in (at_a, at_b, np.array(common), stretch)]
+        n_a, n_b, n_groups, _ = (np.diff(c).tolist() for c in cuts)
+        g, n = cuts[2].tolist(), (8 * cuts[3]).tolist()
+        yield from zip(units, zip(n_a, n_b, n_groups, (";".join(shown[x:z]) for x, z in zip(g, g[1:])), (links[x:z] for x, z in zip(n, n[1:]))))
 
 
-_CUT = re.compile(r"\S \S")
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 @functools.lru_cache(maxsize=2)
@@ -169,13 +229,12 @@ def _encode(path_a: str, path_b: str):
         tool = aligner(path_a, path_b)
         for keys, held in packs(batches, "key", "text", BLOCK_BYTES):
             counts, digests, found = [], [], []
-            for data in held:
-                parts = tool.align(data) or []
-                links = [tool.links(a, b) for a, b, _, _ in parts]
-                shown = ";".join(tool.groups(*p) for p in parts)
-                counts.append((sum(len(p[0]) for p in parts), sum(len(p[1]) for p in parts), sum(len(p[2]) for p in parts), sum(map(len, links))))
-                digests.append(hashlib.sha256(shown.encode()).hexdigest() if parts else "")
-                found.append(np.unique(np.concatenate(links), return_counts=True) if links else (np.empty(0, dtype=np.int64),) * 2)
+            for units in tool.align(held):
+                n_a, n_b, n_groups, shown, links = zip(*units) if units else ((),) * 5
+                pairs = np.frombuffer(b"".join(links), dtype=np.int64)
+                counts.append((sum(n_a), sum(n_b), sum(n_groups), len(pairs)))
+                digests.append(hashlib.sha256(";".join(shown).encode()).hexdigest() if units else "")
+                found.append(np.unique(pairs, return_counts=True))
             codes, own = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)
             times = np.concatenate([n for _, n in found])
             common = np.argsort(-np.bincount(own, minlength=len(codes)), kind="stable")  # pairs of many documents first: small numbers
@@ -316,16 +375,17 @@ def aligned_groups(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = aligner(path_a, path_b)
         for keys, held in packs(batches, "key", "text", BLOCK_BYTES):
-            for k, data in zip(keys, held, strict=True):
-                n = 0
-                for a, b, in_a, in_b in tool.align(data) or []:
-                    slices = list(zip([0, *in_a], in_a, [0, *in_b], in_b))
+            for k, units in zip(keys, tool.align(held), strict=True):
+                first = 0
+                for at in range(0, len(units), 20_000):
+                    some = units[at:at + 20_000]
+                    groups = [[list(map(int, side.split(","))) for side in g.split("|")] for u in some for g in u[3].split(";")]
                     yield pa.record_batch([
-                        pa.array([k] * len(slices), pa.string()), pa.array(range(n, n + len(slices)), pa.int64()),
-                        pa.array([a[i:j] for i, j, _, _ in slices], pa.list_(pa.int32())), pa.array([b[i:j] for _, _, i, j in slices], pa.list_(pa.int32())),
-                        pa.array([b"".join(map(tool.a.raw.__getitem__, a[i:j])) for i, j, _, _ in slices], pa.binary())],
+                        pa.array([k] * len(groups), pa.string()), pa.array(range(first, first + len(groups)), pa.int64()),
+                        pa.array([a for a, _ in groups], pa.list_(pa.int32())), pa.array([b for _, b in groups], pa.list_(pa.int32())),
+                        pa.array([b"".join(map(tool.a.raw.__getitem__, a)) for a, _ in groups], pa.binary())],
                         names=[c.split()[0] for c in GROUPS.split(", ")])
-                    n += len(slices)
+                    first += len(groups)
 
     keyed = docs.select(F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text"))
     out = keyed.mapInArrow(run, GROUPS)
