@@ -13,7 +13,7 @@ import pytest
 import xxhash
 
 from tillpoint.llm.decontaminate import contained_items
-from tillpoint.llm.embed_dedup import embedding_dedup, recall
+from tillpoint.llm.embed_dedup import RECALL, TILE, embedding_dedup, plan_tables, recall
 from tillpoint.llm.lm_score import score_texts
 from tillpoint.llm.merkle import audit, record_digests
 from tillpoint.llm.packing import pack, plan_bins
@@ -110,6 +110,28 @@ def test_extreme_and_repeated_vectors_link(spark):
     assert sorted(map(tuple, got)) == [(i, 5, 1, i == 1) for i in (1, 1, 2, 3, 4, 5)] + [(6, 0, 6, True), (7, 5, 1, False), (8, 0, 8, True)]
 
 
+def test_comparisons_for_a_vector_stay_bounded():
+    assert plan_tables(0, 0.9) == plan_tables(50_000, 0.9) and plan_tables(50_000, 0.9)[1] == 8
+    for n in (1_000, 50_000, 1_000_000, 10_000_000, 60_000_000):
+        tables, bits = plan_tables(n, 0.9)
+        assert recall(0.9, bits, tables) >= RECALL
+        assert tables * n / 2 ** bits <= 110 * TILE  # others met, on average
+    assert plan_tables(10_000_000, 0.9)[0] * 10_000_000 / 2 ** plan_tables(10_000_000, 0.9)[1] < 24 * 10_000_000 / 2 ** 8 / 15
+
+
+def test_more_bits_and_tables_find_the_same_links(spark, monkeypatch):
+    from tillpoint.llm import embed_dedup
+
+    rng = np.random.default_rng(5)
+    rows = [(i, (b + rng.standard_normal(12) * s).tolist()) for i, (b, s) in enumerate((b, s) for b in rng.standard_normal((40, 12)) for s in (0, 0.05, 0.15))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = sorted(map(tuple, embedding_dedup(df).collect()))
+    monkeypatch.setattr(embed_dedup, "TILE", 2)  # many tiles; bits from 120 / 2
+    assert sorted(map(tuple, embedding_dedup(df).collect())) == want
+    monkeypatch.setattr(embed_dedup, "plan_tables", lambda *_: (80, 12))
+    assert sorted(map(tuple, embedding_dedup(df).collect())) == want
+
+
 def test_vectors_of_one_id_keep_their_own_links(spark):
     u, v, w = [[float(k == j) for k in range(8)] for j in range(3)]
     near = [[x + 0.1 * (k == 7) for k, x in enumerate(e)] for e in (u, v, w)]

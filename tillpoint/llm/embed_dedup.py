@@ -1,7 +1,9 @@
 """Operator 2: embedding near-duplicates.
 
 Random-hyperplane sign hashing puts every distinct vector into one bucket of
-each of ``tables`` tables. Buckets are cut into tiles; each pair of tiles of a
+each of several tables: the number of bits follows the number of vectors, so that
+a bucket stays about a tile, and the number of tables the bits, for the wanted
+recall. Buckets are cut into tiles; each pair of tiles of a
 bucket is one matrix product whose cosines (double precision) are checked
 exactly. A pair counts in the first table whose buckets agree, so links are
 counted without ever being listed: a tile pair returns link counts and a
@@ -21,6 +23,7 @@ from .common import broadcast_if_small, forest, stage
 from .components import connected_components
 
 TILE = 1024
+RECALL = 0.9997  # of pairs exactly at the threshold; closer ones meet more surely
 
 
 def recall(cosine: float, bits: int, tables: int) -> float:
@@ -28,6 +31,18 @@ def recall(cosine: float, bits: int, tables: int) -> float:
     return 1 - (1 - (1 - np.arccos(cosine) / np.pi) ** bits) ** tables
 
 
+def plan_tables(n: int, cosine: float, target: float = RECALL) -> tuple[int, int]:
+    """(tables, bits) for ``n`` vectors: buckets of about a tile on average, 8 to 16
+    bits, and as many tables as pairs of this cosine need to meet with a chance of
+    at least ``target``. A vector is then compared with some tables * tile others,
+    whatever the number of vectors (up to 67 million; beyond, buckets grow)."""
+    bits = min(16, max(8, int(np.ceil(np.log2(max(n, 1) / TILE)))))
+    tables = 1
+    while recall(cosine, bits, tables) < target:
+        tables += 1
+    return tables, bits
+
+
 def _planes(dim: int, tables: int, bits: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, dim]).standard_normal((dim, tables * bits))
 
@@ -101,12 +116,12 @@ def _check(threshold: float, stored: str):
 
 
 def embedding_dedup(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding", threshold: float = 0.9,
-                    tables: int = 24, bits: int = 8, seed: int = 7) -> DataFrame:
+                    target: float = RECALL, seed: int = 7) -> DataFrame:
     """(key, n_links, component_id, kept), one row per input row.
 
-    Pairs with cosine of at least ``threshold`` that meet in a table link (see
-    ``recall``: 0.9997 of the pairs exactly at 0.9 with the defaults, more of
-    closer ones; all equal vectors link without hashing). ``n_links`` counts
+    Pairs with cosine of at least ``threshold`` that meet in a table link (at
+    least ``target`` of the pairs exactly there, more of closer ones, see
+    ``plan_tables``; all equal vectors link without hashing). ``n_links`` counts
     the other rows linked directly, ``component_id`` is the smallest key
     reachable, ``kept`` says that a row leads its component. Null, empty or
     zero vectors and vectors with null or non-finite components link with
@@ -114,8 +129,7 @@ def embedding_dedup(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
     of different lengths never link. A key with several vectors has a row, with
     links and a component of its own, for each. Rows that repeat, key and vector,
     are one vector: each has its row, none links with its own copies, and others
-    count them once. Other columns are not read. More rows want more bits, and with
-    them more tables.
+    count them once. Other columns are not read.
     """
     single = vectors.schema[embedding].dataType.simpleString() == "array<float>"
     stored, kind = ("<f4", "array<float>") if single else ("<f8", "array<double>")
@@ -126,6 +140,7 @@ def embedding_dedup(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
     classes = good.distinct().groupBy("embedding").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("size"))
     # numbered once, as they are written: one id can have several vectors, so an id does not name a class
     classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
+    tables, bits = plan_tables(classes.count(), threshold, target)
     hashed = (classes.select("node", "size", F.size("embedding").alias("dim"), "embedding")
               .mapInArrow(_sign_rows(tables, bits, seed), "t int, bucket int, dim int, node long, size long, vec binary, sig binary"))
     where = ["t", "bucket", "dim"]
