@@ -1,10 +1,12 @@
 """Registered queries against their DuckDB statements, whole tables."""
 
 import os
+import random
 
 import duckdb
 import pytest
 
+from tillpoint.llm.decontaminate import contained_items
 from tillpoint.llm.oracles import ORACLES
 from tillpoint.llm.queries import QUERIES
 
@@ -23,6 +25,22 @@ def test_query_equals_sql(spark, name):
     assert sorted(rows, key=repr) == sorted(want.fetchall(), key=repr)
 
 
+def test_short_items_by_sql(spark):
+    """The statement of operator 1 on texts and items of one to a dozen words."""
+    rng = random.Random(6)
+    text = lambda n: " ".join(rng.choice(["a", "b", "C", "d-e", "f"]) for _ in range(n))
+    docs = [(i, text(rng.randint(0, 14))) for i in range(80)] + [(90, None), (None, "a b")]
+    items = [(i, text(1 + i % 9)) for i in range(40)] + [(50, None), (51, ""), (None, "a")]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.execute("create table benchmark (item_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", docs)
+    con.executemany("insert into benchmark values (?, ?)", items)
+    got = contained_items(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = con.sql(ORACLES["op1_decontaminate"])
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall()) and got.count() > 200
+
+
 def test_every_numbered_query_is_registered():
     import __spark_entry__
 

@@ -5,14 +5,15 @@ _WORDS = "list_filter(regexp_split_to_array(lower(coalesce({t}, '')), '[^\\p{{L}
 OP1 = rf"""
 WITH item_words AS (SELECT DISTINCT item_id, {_WORDS.format(t='text')} AS w FROM benchmark WHERE item_id IS NOT NULL),
 doc_words AS (SELECT doc_id, {_WORDS.format(t='text')} AS w FROM documents WHERE doc_id IS NOT NULL),
-item_grams AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS g
+-- an item of fewer than five words is one run of its own length, wherever it stands
+item_grams AS (SELECT DISTINCT item_id, least(len(w), 5) AS k, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS g
                FROM item_words WHERE len(w) > 0),
-doc_grams AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS g
-              FROM doc_words WHERE len(w) > 0),
+doc_grams AS (SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g
+              FROM doc_words, (SELECT DISTINCT k FROM item_grams) WHERE len(w) >= k),
 sizes AS (SELECT item_id, count(*) AS n FROM item_grams GROUP BY item_id)
 SELECT doc_id, item_id, CAST(any_value(n) AS INTEGER) AS n_shingles, CAST(count(*) AS INTEGER) AS n_found,
        CAST(count(*) AS DOUBLE) / any_value(n) AS containment
-FROM item_grams JOIN doc_grams USING (g) JOIN sizes USING (item_id)
+FROM item_grams JOIN doc_grams USING (k, g) JOIN sizes USING (item_id)
 GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(n)
 """
 
