@@ -17,8 +17,8 @@ The automaton grows with the corpus and is never whole in one place: texts are
 packed into blocks, a table in the shared folder; the blocks exchange their
 distinct n-grams, counts are added up by hash, and each block receives the
 counts of its own n-grams, which is the part of the automaton its texts can
-reach. Words are told apart by 64 bits of hash, bigrams by 40 within each of the
-exchange's parts.
+reach. Words and bigrams are told apart by 64 bits of hash; a part of the exchange
+is a range of hashes, so that a block's sorted hashes are sent as small steps.
 """
 
 from __future__ import annotations
@@ -123,16 +123,26 @@ class Block:
 
 
 def _grouped(h: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(part, places of its n-grams in hash order)."""
-    part = (h & np.uint64(0xFFFFFF)) % np.uint64(parts)
-    order = np.argsort((part << np.uint64(40)) | (h >> np.uint64(24)), kind="stable")
-    own, cut = np.unique(part[order], return_index=True)
+    """(part, places of its n-grams in hash order). Parts are ranges of hashes."""
+    order = np.argsort(h, kind="stable")
+    part = ((h[order] >> np.uint64(40)) * np.uint64(parts)) >> np.uint64(24)
+    own, cut = np.unique(part, return_index=True)
     cut = [*cut.tolist(), len(order)]
     for p, a, z in zip(own.tolist(), cut, cut[1:]):
         yield p, order[a:z]
 
 
-SENT = "part int, block long, n int, low binary, high binary, count binary"
+def _steps(h: np.ndarray) -> bytes:
+    """Sorted hashes as the steps between them, byte by byte: the high bytes of
+    small steps are zeros, which compress."""
+    return _zip(np.diff(h, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T, 1)
+
+
+def _from_steps(x: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(_unzip(x, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+SENT = "part int, block long, n int, grams binary, count binary"
 
 
 def _send(parts: int):
@@ -142,34 +152,27 @@ def _send(parts: int):
             pairs, inverse = b.bigrams()
             grams = {1: b.unigrams(), 2: (b.bigram_hashes(pairs), np.bincount(inverse[b.learn], minlength=len(pairs)))}
             for n, (h, counts) in grams.items():
-                sent = [(p, h[i] if n == 1 else h[i] >> np.uint64(24), counts[i]) for p, i in _grouped(h, parts)]
+                sent = [(p, h[i], counts[i]) for p, i in _grouped(h, parts)]
                 yield pa.record_batch([
                     pa.array([p for p, _, _ in sent], pa.int32()), pa.array([row["block"]] * len(sent), pa.int64()), pa.array([n] * len(sent), pa.int32()),
-                    # 32 and 32 bits of a word's hash, 32 and 8 of a bigram's
-                    pa.array([v.astype(np.uint32).tobytes() for _, v, _ in sent], pa.binary()),
-                    pa.array([(v >> np.uint64(32)).astype(_high(n)).tobytes() for _, v, _ in sent], pa.binary()),
+                    pa.array([_steps(v) for _, v, _ in sent], pa.binary()),
                     pa.array([_zip(c.astype(np.uint32), 1) for _, _, c in sent], pa.binary())], names=[c.split()[0] for c in SENT.split(", ")])
     return run
 
 
-def _high(n: int):
-    return np.uint32 if n == 1 else np.uint8
-
-
 COUNTED = "block long, part int, n int, count binary, types long"
 
 
 def _add_up(table: pa.Table) -> pa.Table:
     """Global counts of each block's n-grams of one part and order; ``types``
     (on the first row) is how many distinct ones training has."""
-    low = [np.frombuffer(x, dtype=np.uint32) for x in table["low"].to_pylist()]
-    high = [np.frombuffer(x, dtype=_high(table["n"][0].as_py())) for x in table["high"].to_pylist()]
-    value = np.concatenate(low).astype(np.uint64) | (np.concatenate(high).astype(np.uint64) << np.uint64(32))
+    sent = [_from_steps(x) for x in table["grams"].to_pylist()]
+    value = np.concatenate(sent)
     own = np.concatenate([_unzip(x, np.uint32) for x in table["count"].to_pylist()]).astype(np.int64)
     _, inverse = np.unique(value, return_inverse=True)
     total = np.zeros(inverse.max() + 1, dtype=np.int64)
     np.add.at(total, inverse, own)
-    pieces = np.split(total[inverse], np.cumsum([len(x) for x in low])[:-1])
+    pieces = np.split(total[inverse], np.cumsum([len(x) for x in sent])[:-1])
     types = [int((total > 0).sum())] + [0] * (len(pieces) - 1)
     return pa.table({"block": table["block"], "part": table["part"], "n": table["n"],
                      "count": pa.array([_zip(x) for x in pieces], pa.binary()), "types": pa.array(types, pa.int64())})
