@@ -13,7 +13,9 @@ BENCH_REPEAT (default 3). Prints one JSON line.
   and the last year (resolving the date range included), median as well.
 - ``dashboard_refresh_cached_slice``: the same with the country's lines
   cached once (``plans.dashboard.cached_slice``).
-- ``end_to_end_*``: two headline queries straight from the driver tables
+- ``dashboard_refresh_rollup``: the panels of one country and a year of whole days,
+  the KPI and time panels from the daily rollup.
+- ``end_to_end_*``: headline queries straight from the driver tables
   (fixture joins + cleaning + operator in one plan), median as well.
 - ``value`` = sum of all of the above.
 """
@@ -72,7 +74,17 @@ def main() -> None:
         part.count()  # the slice is loaded once per session of interactions, not per refresh
         timings["dashboard_refresh_cached_slice"] = round(
             statistics.median(refresh(part) for _ in range(repeat)), 3)
-    for name in ("a23_monthly_positive", "a12_customer_summary"):
+    from tillpoint.operators.filters import Filters
+
+    def refresh_rollup() -> float:
+        t0 = time.perf_counter()
+        f = Filters(country="United Kingdom", start="1998-01-01", end="1998-12-31")
+        for df in panels(wh.sales, f, compare="yoy", rollup=(wh.hours, wh.customer_days)).values():
+            df.write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
+    timings["dashboard_refresh_rollup"] = round(statistics.median(refresh_rollup() for _ in range(repeat)), 3)
+    for name in ("a23_monthly_positive", "a12_customer_summary", "a2_customer_revenue", "a17_kpi_block", "a21_monthly_yoy", "a30_quartile_segments"):
         timings[f"end_to_end_{name}"] = median_of(lambda n=name: OPERATORS[n](FixtureInputs(spark, sf_dir)))
     for name, op in OPERATORS.items():
         timings[name] = median_of(lambda o=op: o(wh))

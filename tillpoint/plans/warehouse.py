@@ -8,6 +8,9 @@ key dedup, customer grouping) run exactly once per load.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,12 +66,15 @@ def write_rollup(spark: SparkSession, root: str, load_id: str | None = None) ->
     lines = read_version(spark, f"{root}/sales_data", loads=True)
     if load_id is not None:
         lines = lines.where(F.col(LOAD) == load_id)
-    for name, rows in (("sales_hours", sales_hours(lines)), ("customer_days", customer_days(lines))):
+
+    def write(name: str, rows: DataFrame) -> None:
         if load_id is None:
             replace_version(rows, f"{root}/{name}")
         else:
             append_load(rows, f"{root}/{name}", load_id)
 
+    _at_once(lambda: write("sales_hours", sales_hours(lines)), lambda: write("customer_days", customer_days(lines)))
+
 
 def append_sales(spark: SparkSession, raw: DataFrame, root: str, load_id: str, layout: str = "monthly") -> WarehouseInputs:
     """SK4 as a job: clean a batch of raw lines and add it to ``sales_data`` and to
@@ -81,6 +87,14 @@ def append_sales(spark: SparkSession, raw: DataFrame, root: str, load_id: str, l
     return WarehouseInputs(spark, root, raw=raw)
 
 
+def _at_once(*jobs: Callable[[], object]) -> None:
+    """Run Spark jobs that do not wait for each other side by side: one job's last
+    tasks leave no executor idle. The first error is raised when all have ended."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(job) for job in jobs]:
+            done.result()
+
+
 def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None,
                     keep_raw: bool = False, layout: str = "sorted") -> WarehouseInputs:
     """Write cleaned lines, customer domain, ``sales_data`` and both summary
@@ -97,15 +111,21 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
         replace_version(raw, f"{root}/raw_lines")
         raw = WarehouseInputs(spark, root).raw
     wh = WarehouseInputs(spark, root, raw=raw)
-    replace_version(clean_transactions(raw), f"{root}/cleaned_lines")
-    replace_version(customer_domain(raw), f"{root}/customer_domain")
+    _at_once(lambda: replace_version(clean_transactions(raw), f"{root}/cleaned_lines"),
+             lambda: replace_version(customer_domain(raw), f"{root}/customer_domain"))
     clean = wh.clean
-    write_sales(check_lengths(to_sales_table(clean), SALES_LENGTHS), root, layout)
-    write_rollup(spark, root)
-    # the latest line, by which recency counts, stands in the files' footers
-    latest = table_bounds(spark, f"{root}/cleaned_lines", "InvoiceDate")[1]
-    anchor = F.lit(None if latest is None else latest.isoformat(sep=" ")).cast("timestamp_ntz")
-    replace_version(customer_summary(clean, wh.domain, anchor=anchor, sort=False), f"{root}/customer_summary_lines")
-    replace_version(check_lengths(conform(lowercase_columns(wh.summary), SUMMARY_SCHEMA), SUMMARY_LENGTHS),
-                    f"{root}/customer_summary")
+
+    def sales() -> None:
+        write_sales(check_lengths(to_sales_table(clean), SALES_LENGTHS), root, layout)
+        write_rollup(spark, root)
+
+    def summaries() -> None:
+        # the latest line, by which recency counts, stands in the files' footers
+        latest = table_bounds(spark, f"{root}/cleaned_lines", "InvoiceDate")[1]
+        anchor = F.lit(None if latest is None else latest.isoformat(sep=" ")).cast("timestamp_ntz")
+        replace_version(customer_summary(clean, wh.domain, anchor=anchor, sort=False), f"{root}/customer_summary_lines")
+        replace_version(check_lengths(conform(lowercase_columns(wh.summary), SUMMARY_SCHEMA), SUMMARY_LENGTHS),
+                        f"{root}/customer_summary")
+
+    _at_once(sales, summaries)
     return WarehouseInputs(spark, root, raw=raw)
