@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import crc_mod, shared_path, ship_package
+from .common import crc_mod, shared_path, ship_package, stage
 from .conversation_repair import repair, repaired_digests
 from .decontaminate import contained_items
 from .embed_dedup import embedding_dedup
 from .lm_score import score_texts
-from .merkle import audit, record_digests
+from .merkle import audit
 from .packing import pack
 from .quality_rules import quality_rules
 from .simhash import simhash_dedup
@@ -57,28 +57,29 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replicas(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two replicas of the pages as WARC records (file, offset, record): a file
-    holds the pages of a thousand ids end to end. In the second, some records
-    have a byte changed and some are lost."""
+    """The record digests (file, offset, length, digest) of two replicas of the
+    pages as WARC records: a file holds the pages of a thousand ids end to end. In
+    the second, some records have a byte changed and some are lost. A record is
+    hashed where it is read; offsets are found from lengths alone."""
     size = F.length(F.coalesce(F.col("html"), F.lit("")).cast("binary"))
     head = F.concat(F.lit("WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: "), F.coalesce("url", F.lit("")),
                     F.lit("\r\nContent-Length: "), size.cast("string"), F.lit("\r\n\r\n"))
     record = F.concat(head, F.coalesce("html", F.lit("")), F.lit("\r\n\r\n"))
     file = F.format_string("warc-%06d", F.floor(F.coalesce("page_id", F.lit(0)) / 1000))
-    rows = pages.select("page_id", file.alias("file"), record.alias("record"))
-    rows = rows.withColumn("length", F.length(F.col("record").cast("binary")).cast("long"))
+    mark = F.coalesce("page_id", F.lit(0)) * 7919
+    body = record.cast("binary")
+    damaged_body = F.overlay(record, F.lit("#"), F.lit(20)).cast("binary")  # a character of the head: the length stays
+    narrow = stage(pages.select("page_id", file.alias("file"), F.length(body).cast("long").alias("length"), F.sha2(body, 256).alias("digest"),
+                                F.when(mark % 97 == 0, F.sha2(damaged_body, 256)).alias("changed")), "records")
     # offsets: a running sum within the thousand ids of a file
     order = Window.partitionBy("file").orderBy("page_id", "length").rowsBetween(Window.unboundedPreceding, -1)
-    ours = rows.withColumn("offset", F.coalesce(F.sum("length").over(order), F.lit(0)))
-    mark = F.coalesce("page_id", F.lit(0)) * 7919
-    theirs = (ours.where(mark % 211 != 1)
-              .withColumn("record", F.when(mark % 97 == 0, F.overlay("record", F.lit("#"), F.lit(20))).otherwise(F.col("record"))))
-    return ours, theirs
+    placed = narrow.withColumn("offset", F.coalesce(F.sum("length").over(order), F.lit(0)))
+    theirs = placed.where(mark % 211 != 1).withColumn("digest", F.coalesce("changed", "digest"))
+    return tuple(t.select("file", "offset", "length", "digest") for t in (placed, theirs))
 
 
 def op3_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ours, theirs = replicas(read(spark, sf_dir, "pages"))
-    return audit(*(record_digests(t, "file", "offset", "record") for t in (ours, theirs)))
+    return audit(*replicas(read(spark, sf_dir, "pages")))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
