@@ -86,7 +86,9 @@ def filter_urls(pages: DataFrame, rules: Iterable[Rule], key: str = "page_id", u
     @F.pandas_udf("rule string, verdict string")
     def match(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for host, path in parts:
-            found = [longest_match(trie.value, h, p) for h, p in zip(host, path)]
+            pairs = list(zip(host, path))
+            walked = {pair: longest_match(trie.value, *pair) for pair in set(pairs)}  # once for each URL of the batch
+            found = [walked[pair] for pair in pairs]
             yield pd.DataFrame({"rule": [r for r, _ in found], "verdict": [v for _, v in found]}, dtype=object)
 
     parts = pages.select(F.col(key), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
