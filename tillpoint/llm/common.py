@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import ctypes
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
 from pathlib import Path
@@ -15,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import scratch_path
 
 BROADCAST_ROWS = 1_000_000
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -43,9 +42,10 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared ``spark.checkpoint.dir``."""
+    """A new folder name under the shared ``spark.checkpoint.dir``, removed when
+    the application ends."""
     ship_package(spark)
-    return f"{checkpoint_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    return scratch_path(spark, f"llm-{name}")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
