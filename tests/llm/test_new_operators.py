@@ -110,6 +110,10 @@ def test_units_are_where_tokens_start(monkeypatch):
             assert sorted(pairs) == sorted(i << 32 | j for i, j in links)
 
 
+def test_bytes_that_are_no_text_have_no_tokens():
+    assert [len(x) for x in token_align.Aligner(A, B).align([b"a b", b"a \xff b", b"", b"b"])] == [2, 0, 0, 1]
+
+
 def test_both_ways_of_the_byte_tokenizer_agree():
     rng = random.Random(4)
     tool = aligner(A, B).a

@@ -122,7 +122,12 @@ class Aligner:
         size = 0
         for i, data in enumerate(texts):
             done.append([])
-            for piece in self._pieces(data):
+            try:
+                text = data.decode()
+            except UnicodeDecodeError:  # no tokenizer gives such bytes back
+                done[i].append(None)
+                continue
+            for piece in self._pieces(text):
                 held.append((i, _CUT.split(piece)))
                 size += len(piece)
                 if size > PIECE:
@@ -132,9 +137,9 @@ class Aligner:
         for units in done:
             yield [] if None in units else units
 
-    def _pieces(self, data: bytes) -> Iterator[str]:
+    def _pieces(self, text: str) -> Iterator[str]:
         """Bounded pieces of a text, cut between units."""
-        text, at = data.decode(errors="replace"), 0
+        at = 0
         while len(text) - at > PIECE:
             cut = _CUT.search(text, at + PIECE)
             if not cut:
