@@ -6,7 +6,7 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -86,6 +86,23 @@ def release() -> None:
         pass
 
 
+_KEPT: dict[str, Callable[[], None]] = {}  # what a worker keeps from task to task
+
+
+def kept_by_worker(name: str, clear: Callable[[], None]) -> None:
+    """Say how to let go of what an operator keeps in a worker between tasks."""
+    _KEPT[name] = clear
+
+
+def turn_to(name: str | None = None) -> None:
+    """At the start of a task: a worker that turns to another operator lets go of
+    what earlier ones kept."""
+    for other, clear in _KEPT.items():
+        if other != name:
+            clear()
+    release()
+
+
 def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
     """The rows of a task one at a time: a row may be a block of megabytes."""
     for batch in batches:

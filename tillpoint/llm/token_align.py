@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packs, release, rows, spans_of, stage
+from .common import kept_by_worker, packs, release, rows, spans_of, stage
 
 BLOCK_BYTES = 1 << 22
 PIECE = 1 << 20  # characters that are cut into units at a time, about
@@ -217,6 +217,9 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
+kept_by_worker("token_align", aligner.cache_clear)
+
+
 def _zip(x: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(x).tobytes())
 

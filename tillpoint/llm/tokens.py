@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-from .common import release
+from .common import kept_by_worker, release
 
 CACHE = 200_000  # pre-tokens of each generation of a worker's cache
 PIECE = 1 << 20
@@ -105,3 +105,6 @@ class WordBpe:
 def word_bpe(path: str) -> WordBpe:
     """One tokenizer and cache for each worker process."""
     return WordBpe(path)
+
+
+kept_by_worker("tokens", word_bpe.cache_clear)

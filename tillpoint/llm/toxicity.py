@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packs, release, spans_of, stage
+from .common import packs, release, spans_of, stage, turn_to
 
 _WORD = re.compile(r"\w+")
 BATCH_BYTES = 1 << 22
@@ -148,6 +148,7 @@ def _toxic_spans(text: str, toxic: np.ndarray) -> list[dict]:
 
 
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    turn_to()
     counts: tuple[Counter, Counter] = (Counter(), Counter())
 
     def rows() -> pa.RecordBatch:
@@ -192,6 +193,7 @@ def _gradient(crf: Crf, names: list[str]):
     index = {f: i + 5 for i, f in enumerate(names)}  # 0 bias, 1-4 transitions
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_to()
         grad = np.zeros(5 + len(names))
         emission, listed = Emissions(crf), Listed(index)
         for labels, held in packs(batches, "toxic", "text", BATCH_BYTES):
@@ -236,6 +238,7 @@ def train(sample: DataFrame, max_features: int = 4000, steps: int = 12) -> Crf:
         crf = Crf(dict(zip(names, theta[5:].tolist())), float(theta[0]), theta[1:5].reshape(2, 2))
 
     def inputs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_to()
         emission = Emissions(crf)
         for labels, held in packs(batches, "toxic", "text", BATCH_BYTES):
             E, at = _laid_out(held, emission.__getitem__)
@@ -299,6 +302,7 @@ def tag(docs: DataFrame, crf: Crf, text: str = "text") -> DataFrame:
     column = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_to()
         emission = Emissions(crf)
         spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for whole in batches:
