@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .schema import PRICE, RAW_COLUMNS
+from .session import path_bytes, shuffle_partitions_for
 
 # Fixed values of the mapping (see FIXTURES.md §3).
 FEE_CODES = {7: "AMAZONFEE", 11: "M", 13: "BANK CHARGES"}  # l_partkey % 200
@@ -25,6 +26,19 @@ UNSPECIFIED_COUNTRY_KEY = 24  # -> 'Unspecified'
 LATE_ORDER_CUTOFF = "2001-07-25 00:00:00"
 DUPLICATE_EVERY = 50  # orders whose key is a multiple get every line twice
 
+JOIN_BYTES = 8 << 20  # of the lines' compressed files, for one task of the join
+FEW = 8  # tasks up to which the session's settings do
+MANY = 10_000  # tasks from which on each takes more
+
+
+def join_partitions(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions of lines x orders. A task of it sorts both sides and, for the
+    queries that combine lines before their shuffle, holds the joined lines too:
+    ten times and more what was read, so it gets a few megabytes. (Of fewer
+    partitions than ``spark.sql.shuffle.partitions`` Spark makes that many.)"""
+    size = path_bytes(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    return min(shuffle_partitions_for(size, JOIN_BYTES, FEW), max(MANY, shuffle_partitions_for(size)))
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*cols)
@@ -45,7 +59,10 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     # lines x orders is the large join (both grow with the data): a
     # sort-merge join on the order key (spills, never a broadcast of either
     # side). The shuffle also spreads the driver's single-row-group files
-    # over all cores.
+    # over all cores, in partitions whose number follows the lines' bytes.
+    parts = join_partitions(spark, sf_dir)
+    if parts > FEW:
+        lineitem, headers = lineitem.repartition(parts, "l_orderkey"), headers.repartition(parts, "o_orderkey")
     lines = (lineitem.join(headers.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
              .join(part, F.col("l_partkey") == F.col("p_partkey")))
 

@@ -28,6 +28,12 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20, mini
     return max(minimum, -(-int(input_bytes) // int(target_bytes)))
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or folder, wherever Spark can read it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "tillpoint",
                   extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings the operators assume.
