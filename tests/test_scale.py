@@ -3,8 +3,11 @@
 import re
 
 from tests.conftest import SF001
+from tests.helpers import raw_df
 from tests.test_plans import plan
 from tillpoint import fixture
+from tillpoint.plans.inputs import FixtureInputs
+from tillpoint.plans.registry import OPERATORS
 from tillpoint.session import path_bytes
 
 
@@ -20,3 +23,27 @@ def test_partitions_of_the_lines_join_follow_the_bytes(spark, monkeypatch):
     for key in ("l_orderkey", "o_orderkey"):
         assert int(re.search(rf"hashpartitioning\({key}#\d+L, (\d+)\)", plan(fine))[1]) >= 20
     assert _rows(fine) == _rows(plain)
+
+
+def test_written_lines_serve_the_export_and_the_summary(spark):
+    src = FixtureInputs(spark, SF001)
+    once = src.written
+    for name in ("clean", "summary"):
+        assert "lineitem" not in plan(getattr(once, name))  # neither joins nor dedup run again
+        assert _rows(getattr(once, name)) == _rows(getattr(src, name))
+
+
+def test_export_joins_the_lines_once(spark, monkeypatch):
+    reads = []
+    monkeypatch.setattr("tillpoint.plans.inputs.raw_transactions", lambda *a: reads.append(a) or fixture.raw_transactions(*a))
+    src = FixtureInputs(spark, SF001)
+    assert OPERATORS["sk2_cleaned_csv"](src).count() == src.clean.count()
+    assert "written" in vars(src) and "summary" not in vars(src) and len(reads) == 1
+
+
+def test_a_customer_whose_lines_all_go_is_in_the_written_domain(spark, monkeypatch):
+    raw = raw_df(spark, [("1", "A", "d", 1, "2011-01-01 10:00", -1, "c1", "France"), ("2", "A", "d", 1, "2011-01-01 10:00", 1, None, "France"),
+                         ("2", "A", "d", 1, "2011-01-01 10:00", 1, None, "France"), ("3", "A", None, 1, None, None, "c2", None)])
+    monkeypatch.setattr("tillpoint.plans.inputs.raw_transactions", lambda *_: raw)
+    src = FixtureInputs(spark, SF001)
+    assert sorted(r[0] for r in src.written.domain.collect()) == sorted(r[0] for r in src.domain.collect()) == ["Unknown", "c1", "c2"]

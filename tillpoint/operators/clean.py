@@ -81,10 +81,19 @@ def handle_quantity_and_price(df: DataFrame) -> DataFrame:
     return price_columns(drop_invalid_prices(split_quantity(df)))
 
 
+def distinct_lines(raw: DataFrame) -> DataFrame:
+    """Raw lines -> filled and typed lines, each once."""
+    return drop_exact_duplicates(coerce_types(fill_missing(raw)))
+
+
+def clean_distinct(lines: DataFrame) -> DataFrame:
+    """``distinct_lines`` -> cleaned lines."""
+    return revenue_columns(handle_quantity_and_price(lines))
+
+
 def clean_transactions(raw: DataFrame) -> DataFrame:
     """Raw lines -> cleaned lines (raw columns + 7 derived columns)."""
-    filled = coerce_types(fill_missing(raw))
-    return revenue_columns(handle_quantity_and_price(drop_exact_duplicates(filled)))
+    return clean_distinct(distinct_lines(raw))
 
 
 def customer_domain(raw: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..fixture import raw_transactions
-from ..operators.clean import clean_transactions, customer_domain, lowercase_columns, sales_from_raw
+from ..operators.clean import clean_distinct, clean_transactions, customer_domain, distinct_lines, lowercase_columns, sales_from_raw
 from ..operators.customers import customer_summary
 from ..operators.rollup import customer_days, sales_hours
 from ..schema import SUMMARY_SCHEMA
@@ -70,6 +70,33 @@ class FixtureInputs:
         replace_version(self.sales.sortWithinPartitions("invoicedate"), f"{root}/sales_data")
         return WarehouseInputs(self.spark, root)
 
+    @cached_property
+    def written(self) -> "DistinctInputs":
+        """The distinct lines written once, for queries that take several results
+        of them: joins and whole-line dedup run once. A customer's lines lie
+        together in each file, which keeps the files and the shuffles by customer small."""
+        path = scratch_path(self.spark, "distinct-lines")
+        lines = distinct_lines(self.raw)
+        lines.sortWithinPartitions("CustomerID", "InvoiceNo").write.option("compression", "zstd").parquet(path)
+        return DistinctInputs(self.spark, self.sf_dir, self.spark.read.schema(lines.schema).parquet(path))
+
+
+class DistinctInputs(FixtureInputs):
+    """The inputs that do not need the copies of lines, from written distinct lines
+    (a customer has a line among them if there was one at all)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, lines: DataFrame):
+        super().__init__(spark, sf_dir)
+        self.lines = lines
+
+    @cached_property
+    def clean(self) -> DataFrame:
+        return clean_distinct(self.lines)
+
+    @cached_property
+    def domain(self) -> DataFrame:
+        return customer_domain(self.lines)
+
 
 class WarehouseInputs:
     """Inputs read back from a materialized warehouse folder.
@@ -124,3 +151,7 @@ class WarehouseInputs:
     @property
     def tables(self) -> "WarehouseInputs":
         return self
+
+    @property
+    def written(self) -> "WarehouseInputs":
+        return self

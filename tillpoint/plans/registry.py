@@ -86,7 +86,8 @@ def _sk1r(src):
 @register("sk2_cleaned_csv")
 def _sk2(src):
     path = scratch_path(src.spark, "out")
-    paths = sinks.save_results(src.clean, src.summary, path)
+    once = src.written
+    paths = sinks.save_results(once.clean, once.summary, path)
     return readers.load_csv_data(src.spark, paths["cleaned"], paths["customer_summary"])[0]
 
 
