@@ -2,10 +2,13 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from tests.conftest import SF001
 from tests.helpers import raw_df
 from tests.test_plans import plan
 from tillpoint import fixture
+from tillpoint.operators import clean as C
 from tillpoint.plans.inputs import FixtureInputs
 from tillpoint.plans.registry import OPERATORS
 from tillpoint.session import path_bytes
@@ -47,3 +50,11 @@ def test_a_customer_whose_lines_all_go_is_in_the_written_domain(spark, monkeypat
     monkeypatch.setattr("tillpoint.plans.inputs.raw_transactions", lambda *_: raw)
     src = FixtureInputs(spark, SF001)
     assert sorted(r[0] for r in src.written.domain.collect()) == sorted(r[0] for r in src.domain.collect()) == ["Unknown", "c1", "c2"]
+
+
+def test_place_in_the_input_names_files_by_number(spark, scratch):
+    spark.range(0, 100, 1, 4).select(F.col("id").alias("n"), (F.col("id") % 10).alias("k")).write.parquet(f"{scratch}/a b%")
+    lines = C.with_file_order(spark.read.parquet(f"{scratch}/a b%"))
+    assert "string" not in lines.schema[C.FILE_ORDER].dataType.simpleString()  # no path goes through a shuffle
+    assert [r["n"] for r in lines.orderBy(C.FILE_ORDER).collect()] == list(range(100))
+    assert sorted((r["k"], r["n"]) for r in C.dedup_keys_in_file_order(lines, ["k"]).collect()) == [(k, k) for k in range(10)]

@@ -7,7 +7,7 @@ price flags and revenue measures.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import (
@@ -133,10 +133,15 @@ FILE_ORDER = "_file_order"
 def with_file_order(scan: DataFrame) -> DataFrame:
     """``scan`` (as a reader returns it, CSV or Parquet) with the place of each
     line in the input: file, block of the file, line within the block. Files
-    stand by their paths. A task reads a block from its start, so the counter
-    rises along the block whichever task reads it, and again if it is lost."""
-    return scan.withColumn(FILE_ORDER, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                                                F.monotonically_increasing_id().alias("line")))
+    stand by their paths, as a number: a path would go with every line through
+    the shuffle. A task reads a block from its start, so the counter rises along
+    the block whichever task reads it, and again if it is lost."""
+    path = F.col("_metadata.file_path")
+    here = scan.select("*", path.alias("_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"))
+    # a row for each file that has lines
+    files = scan.select(path.alias("_path")).distinct().withColumn("_file", F.row_number().over(Window.orderBy("_path")))
+    place = F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"), F.col("_line").alias("line"))
+    return here.join(F.broadcast(files), "_path").select(*scan.columns, place.alias(FILE_ORDER))
 
 
 def dedup_keys_in_file_order(df: DataFrame, keys=SALES_KEY) -> DataFrame:
