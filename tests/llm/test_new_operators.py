@@ -366,3 +366,16 @@ def test_registered_document_queries(spark, tmp_path):
     for r, (n_a, n_b, groups, links) in zip(rows, want):
         if len(r[1] or "") < 2000:
             assert (r[0], n_a, n_b, len(links), hashlib.sha256(groups.encode()).hexdigest() if groups else "") in shown
+
+
+def test_pre_tokens_are_cut_as_the_tokenizers_own_pattern_does():
+    import random
+    import re
+
+    from tillpoint.llm import tokens
+
+    own = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{tokens._LETTER}]+|[{tokens._NUMBER}]|[^\s{tokens._LETTER}{tokens._NUMBER}]+")
+    rng = random.Random(1)
+    for _ in range(20_000):
+        text = "".join(rng.choices("'strevmld aé9½_-\t\nſ$", k=rng.randint(0, 12)))
+        assert tokens._PRE.findall(text) == own.findall(text)

@@ -22,7 +22,8 @@ PIECE = 1 << 20
 # fixed values: the tokenizer's pre-token pattern for texts of these characters
 _OTHER = re.compile(r"[^\t-\r\x20-\x7e\xa1-ſ]")
 _LETTER, _NUMBER = "a-zªµºß-öø-ſ", "0-9²³¹¼½¾"
-_PRE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+")
+# words come first, as most pre-tokens are: no other alternative begins with a letter
+_PRE = re.compile(rf"[{_LETTER}]+|[{_NUMBER}]|'(?:s|t|re|ve|m|ll|d)|[^\s{_LETTER}{_NUMBER}]+")
 
 
 def _pieces(text: str) -> Iterator[str]:
