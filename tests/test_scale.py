@@ -28,6 +28,16 @@ def test_partitions_of_the_lines_join_follow_the_bytes(spark, monkeypatch):
     assert _rows(fine) == _rows(plain)
 
 
+def test_a_part_too_large_to_broadcast_gets_as_many_tasks(spark, monkeypatch):
+    plain = fixture.raw_transactions(spark, SF001)
+    monkeypatch.setattr(fixture, "JOIN_BYTES", path_bytes(spark, f"{SF001}/lineitem.parquet") // 20)
+    monkeypatch.setattr(fixture, "PART_BYTES", 0)
+    fine = fixture.raw_transactions(spark, SF001)
+    for key in ("l_orderkey", "o_orderkey", "l_partkey", "p_partkey"):
+        assert int(re.search(rf"hashpartitioning\({key}#\d+L, (\d+)\)", plan(fine))[1]) >= 20
+    assert _rows(fine) == _rows(plain)
+
+
 def test_written_lines_serve_the_export_and_the_summary(spark):
     src = FixtureInputs(spark, SF001)
     once = src.written

@@ -29,6 +29,7 @@ DUPLICATE_EVERY = 50  # orders whose key is a multiple get every line twice
 JOIN_BYTES = 8 << 20  # of the lines' compressed files, for one task of the join
 FEW = 8  # tasks up to which the session's settings do
 MANY = 10_000  # tasks from which on each takes more
+PART_BYTES = 20 << 20  # of part's files: up to that its three columns are Spark's to broadcast
 
 
 def join_partitions(spark: SparkSession, sf_dir: str) -> int:
@@ -63,8 +64,12 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = join_partitions(spark, sf_dir)
     if parts > FEW:
         lineitem, headers = lineitem.repartition(parts, "l_orderkey"), headers.repartition(parts, "o_orderkey")
-    lines = (lineitem.join(headers.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-             .join(part, F.col("l_partkey") == F.col("p_partkey")))
+    lines = lineitem.join(headers.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # a part too large to broadcast is a second shuffle of all lines, whose tasks
+    # hold as much as those of the first: it gets as many.
+    if parts > FEW and path_bytes(spark, f"{sf_dir.rstrip('/')}/part.parquet") > PART_BYTES:
+        lines, part = lines.repartition(parts, "l_partkey"), part.repartition(parts, "p_partkey").hint("merge")
+    lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
 
     pk, ok, ck, nk = (F.col(c) for c in ("l_partkey", "l_orderkey", "o_custkey", "n_nationkey"))
     flag = F.col("l_returnflag")
