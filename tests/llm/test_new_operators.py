@@ -379,3 +379,30 @@ def test_pre_tokens_are_cut_as_the_tokenizers_own_pattern_does():
     for _ in range(20_000):
         text = "".join(rng.choices("'strevmld aé9½_-\t\nſ$", k=rng.randint(0, 12)))
         assert tokens._PRE.findall(text) == own.findall(text)
+
+
+def test_pre_tokens_that_fit_the_cache_are_encoded_once(monkeypatch):
+    from tillpoint.llm import tokens
+
+    words = ["".join(w) for w in itertools.islice(itertools.product("abcdefghijklmnopqrstuvwxyz", repeat=4), 300_000)]
+    texts = [" ".join(words[i:i + 1000]) for i in range(0, len(words), 1000)]
+    encoder = tokens.WordBpe(P.path("word_bpe_49k.json"))
+    learnt = []
+    ids = encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda text: learnt.append(text.count(" ") + 1) or ids(text))
+    once = list(encoder.encode(texts))
+    assert list(encoder.encode(texts)) == once
+    assert sum(learnt) == len(words)
+
+
+def test_pre_tokens_beyond_the_cache_are_learnt_again(monkeypatch):
+    from tillpoint.llm import tokens
+
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choices("abc.", k=rng.randint(1, 4))) for _ in range(30)) for _ in range(300)]
+    want = list(tokens.WordBpe(P.path("word_bpe_49k.json")).encode(texts))
+    monkeypatch.setattr(tokens, "CACHE", 120)
+    monkeypatch.setattr(tokens, "PIECE", 200)
+    encoder = tokens.WordBpe(P.path("word_bpe_49k.json"))
+    assert list(encoder.encode(texts)) == want
+    assert len(encoder.known) <= 120

@@ -9,6 +9,7 @@ Both give the tokenizer's own ids.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 from collections.abc import Iterable, Iterator
 
@@ -16,7 +17,7 @@ import numpy as np
 
 from .common import kept_by_worker, release
 
-CACHE = 200_000  # pre-tokens of each generation of a worker's cache
+CACHE = 400_000  # pre-tokens in a worker's cache
 PIECE = 1 << 20
 
 # fixed values: the tokenizer's pre-token pattern for texts of these characters
@@ -39,8 +40,8 @@ def _pieces(text: str) -> Iterator[str]:
 
 
 class WordBpe:
-    """Pre-tokens met lately are in ``recent``, those before in ``older``: when
-    ``recent`` is full it becomes ``older``, and what is met again moves back."""
+    """``known`` holds pre-tokens in the order learnt: when it is full, all but the
+    latest ``CACHE // 2`` go."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -51,8 +52,7 @@ class WordBpe:
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a pre-token
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
@@ -79,27 +79,24 @@ class WordBpe:
 
     def _looked_up(self, held: list[list]) -> Iterator[bytes]:
         self._learn(set().union(*(p for pieces in held for p in pieces if isinstance(p, list))))
-        get = self.recent.__getitem__
+        get = self.known.__getitem__
         for pieces in held:
             yield b"".join(p if isinstance(p, bytes) else b"".join(map(get, p)) for p in pieces)
 
     def _learn(self, words: set[str]) -> None:
-        new = words.difference(self.recent)
-        if len(self.recent) + len(new) > CACHE:
-            self.recent, self.older = {}, self.recent
-            new = words
-        older = self.older
-        self.recent.update({w: older[w] for w in new if w in older})
-        missing = [w for w in new if w not in older]
+        missing = list(words.difference(self.known))
         if not missing:
             return
+        if len(self.known) + len(missing) > CACHE:
+            self.known = dict(itertools.islice(self.known.items(), max(0, len(self.known) - CACHE // 2), None))
+            missing = list(words.difference(self.known))
         # all at once: the last id of each pre-token says so
         ids = self._ids(" ".join(missing))
         ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
         if len(ends) != len(missing) or ends[-1] != len(ids):
             raise ValueError("pre-tokens were cut otherwise than by the tokenizer")
         raw = ids.tobytes()
-        self.recent.update(zip(missing, (raw[4 * i:4 * j] for i, j in zip([0, *ends], ends))))
+        self.known.update(zip(missing, (raw[4 * i:4 * j] for i, j in zip([0, *ends], ends))))
 
 
 @functools.lru_cache(maxsize=2)
