@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001
@@ -11,6 +12,7 @@ from tillpoint import fixture
 from tillpoint.operators import clean as C
 from tillpoint.plans.inputs import FixtureInputs
 from tillpoint.plans.registry import OPERATORS
+from tillpoint.schema import RAW_SCHEMA
 from tillpoint.session import path_bytes
 
 
@@ -68,3 +70,33 @@ def test_place_in_the_input_names_files_by_number(spark, scratch):
     assert "string" not in lines.schema[C.FILE_ORDER].dataType.simpleString()  # no path goes through a shuffle
     assert [r["n"] for r in lines.orderBy(C.FILE_ORDER).collect()] == list(range(100))
     assert sorted((r["k"], r["n"]) for r in C.dedup_keys_in_file_order(lines, ["k"]).collect()) == [(k, k) for k in range(10)]
+
+
+NAMED_ON_SALES = ("a14_date_bounds", "a15_data_period", "a16_countries", "a16_products", "a17_kpi_block", "a17_kpi_block_all_dates",
+                  "a17_rollup_kpis", "a20_kpi_cards", "a21_monthly_prev", "a21_monthly_yoy", "a21_rollup_yoy")
+
+
+@pytest.mark.parametrize("name", NAMED_ON_SALES)
+def test_no_derived_column_goes_through_the_key_dedup(spark, name):
+    text = plan(OPERATORS[name](FixtureInputs(spark, SF001)))
+    firsts = [part.split("))")[0].lower() for part in text.split("min(struct(")[1:]]
+    assert firsts and all("quantity" in f and "unitprice" in f for f in firsts)
+    assert not any(c in f for f in firsts for c in ("revenue", "sale_qty", "return_qty", "total_items", "is_free_item", "paid_unitprice"))
+
+
+def test_written_sales_hold_no_derived_column_before_the_dedup(spark, monkeypatch):
+    seen = []
+    dedup_keys = C.dedup_keys
+    monkeypatch.setattr(C, "dedup_keys", lambda df, *a: seen.append(df.columns) or dedup_keys(df, *a))
+    assert OPERATORS["a14_footer_bounds"](FixtureInputs(spark, SF001)).count() == 1
+    assert seen and set(seen[0]) == {f.name for f in RAW_SCHEMA.fields}
+
+
+def test_sales_from_raw_is_the_table_of_the_cleaned_lines(spark):
+    day = "2011-01-01 10:00"
+    raw = raw_df(spark, [("1", "A", "d", 3, day, 2, "c1", "France"), ("1", "A", "d", 3, day, 2, "c1", "France"), ("1", "A", "d", -3, day, 2, "c1", "France"),
+                         ("1", "A", "d", None, day, 2, "c1", "France"), ("1", "B", "d", 3, day, 0, "c1", None), ("1", "B", "d", 3, day, 1, "c1", None),
+                         ("1", "B", "d", 3, day, -1, "c1", "A"), ("2", "B", None, 3, None, 5, None, "France"), ("2", "B", "a", 3, day, 5, None, "France"),
+                         ("3", None, "d", 4, day, None, "c1", "France"), (None, None, None, 4, day, 1, None, None), (None, None, None, -4, day, 1, None, "")])
+    assert _rows(C.sales_from_raw(raw)) == _rows(C.to_sales_table(C.clean_transactions(raw)))
+    assert C.sales_from_raw(raw).dtypes == C.to_sales_table(C.clean_transactions(raw)).dtypes

@@ -23,6 +23,7 @@ from ..schema import RAW_SCHEMA, UNKNOWN_CUSTOMER, UNKNOWN_PRODUCT
 
 SALES_KEY = ("invoiceno", "stockcode", "customerid")
 LINE_KEY = ("InvoiceNo", "StockCode", "CustomerID")  # the same key, source-file names
+LINE_ORDER = ["Description", "Quantity", "InvoiceDate", "UnitPrice", "Country"]  # the first line of a key is the least by these
 
 
 def fill_missing(df: DataFrame, description: str = UNKNOWN_PRODUCT,
@@ -158,18 +159,23 @@ def sales_from_raw(raw: DataFrame) -> DataFrame:
     duplicate lines share both key and tuple, so removing them first cannot
     change which line survives. Skipping that step leaves a single
     aggregate, combined map-side (safe for hot keys and for huge groups of
-    copies).
+    copies). The derived columns follow from the quantity and the price, so they
+    decide no tie: they are made of the lines that stay, and no sort or shuffle
+    carries them.
     """
-    filled = coerce_types(fill_missing(raw))
-    return to_sales_table(revenue_columns(handle_quantity_and_price(filled)))
+    priced = drop_invalid_prices(coerce_types(fill_missing(raw)))
+    first = dedup_keys(priced, LINE_KEY, LINE_ORDER)
+    return _table_types(revenue_columns(price_columns(split_quantity(first))))
 
 
 def to_sales_table(clean: DataFrame) -> DataFrame:
     """Cleaned lines -> ``sales_data`` rows: lower-case names, one line per
     (invoice, stock code, customer), table column types."""
+    return _table_types(dedup_keys(lowercase_columns(clean), SALES_KEY, [c.lower() for c in LINE_ORDER]))
+
+
+def _table_types(lines: DataFrame) -> DataFrame:
     from ..sources.tables import conform
     from ..schema import SALES_SCHEMA
 
-    lower = lowercase_columns(clean)
-    order = ["description", "quantity", "invoicedate", "unitprice", "country"]
-    return conform(dedup_keys(lower, SALES_KEY, order), SALES_SCHEMA)
+    return conform(lines, SALES_SCHEMA)
