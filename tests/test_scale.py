@@ -100,3 +100,9 @@ def test_sales_from_raw_is_the_table_of_the_cleaned_lines(spark):
                          ("3", None, "d", 4, day, None, "c1", "France"), (None, None, None, 4, day, 1, None, None), (None, None, None, -4, day, 1, None, "")])
     assert _rows(C.sales_from_raw(raw)) == _rows(C.to_sales_table(C.clean_transactions(raw)))
     assert C.sales_from_raw(raw).dtypes == C.to_sales_table(C.clean_transactions(raw)).dtypes
+
+
+def test_a_task_of_the_lines_join_takes_four_megabytes_of_lines(spark, monkeypatch):
+    for size in (64 << 20, 425 << 20, 6 << 30):
+        monkeypatch.setattr(fixture, "path_bytes", lambda *_, size=size: size)
+        assert size / fixture.join_partitions(spark, SF001) <= 4 << 20

@@ -26,7 +26,7 @@ UNSPECIFIED_COUNTRY_KEY = 24  # -> 'Unspecified'
 LATE_ORDER_CUTOFF = "2001-07-25 00:00:00"
 DUPLICATE_EVERY = 50  # orders whose key is a multiple get every line twice
 
-JOIN_BYTES = 8 << 20  # of the lines' compressed files, for one task of the join
+JOIN_BYTES = 4 << 20  # of the lines' compressed files, for one task of the join
 FEW = 8  # tasks up to which the session's settings do
 MANY = 10_000  # tasks from which on each takes more
 PART_BYTES = 20 << 20  # of part's files: up to that its three columns are Spark's to broadcast
