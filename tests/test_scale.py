@@ -106,3 +106,11 @@ def test_a_task_of_the_lines_join_takes_four_megabytes_of_lines(spark, monkeypat
     for size in (64 << 20, 425 << 20, 6 << 30):
         monkeypatch.setattr(fixture, "path_bytes", lambda *_, size=size: size)
         assert size / fixture.join_partitions(spark, SF001) <= 4 << 20
+
+
+def test_files_of_the_written_table_follow_the_bytes(spark, monkeypatch):
+    few = FixtureInputs(spark, SF001).tables.sales
+    monkeypatch.setattr(fixture, "JOIN_BYTES", path_bytes(spark, f"{SF001}/lineitem.parquet") // 20)
+    many = FixtureInputs(spark, SF001).tables.sales
+    assert len(few.inputFiles()) <= 8 < 20 <= len(many.inputFiles())
+    assert _rows(many) == _rows(few)

@@ -13,7 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..fixture import raw_transactions
+from ..fixture import FEW, join_partitions, raw_transactions
 from ..operators.clean import clean_distinct, clean_transactions, customer_domain, distinct_lines, lowercase_columns, sales_from_raw
 from ..operators.customers import customer_summary
 from ..operators.rollup import customer_days, sales_hours
@@ -65,9 +65,14 @@ class FixtureInputs:
 
     @cached_property
     def tables(self) -> "WarehouseInputs":
-        """``sales_data`` written once, for operators on a table's files."""
+        """``sales_data`` written once, for operators on a table's files. Many lines
+        are sorted in tasks of their own, as many as the lines' bytes ask for, and
+        not on top of the dedup's sort in as many as the session has."""
         root = scratch_path(self.spark, "tables")
-        replace_version(self.sales.sortWithinPartitions("invoicedate"), f"{root}/sales_data")
+        lines, parts = self.sales, join_partitions(self.spark, self.sf_dir)
+        if parts > FEW:
+            lines = lines.repartition(parts, "invoiceno")
+        replace_version(lines.sortWithinPartitions("invoicedate"), f"{root}/sales_data")
         return WarehouseInputs(self.spark, root)
 
     @cached_property
