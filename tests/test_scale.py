@@ -89,7 +89,7 @@ def test_written_sales_hold_no_derived_column_before_the_dedup(spark, monkeypatc
     dedup_keys = C.dedup_keys
     monkeypatch.setattr(C, "dedup_keys", lambda df, *a: seen.append(df.columns) or dedup_keys(df, *a))
     assert OPERATORS["a14_footer_bounds"](FixtureInputs(spark, SF001)).count() == 1
-    assert seen and set(seen[0]) == {f.name for f in RAW_SCHEMA.fields}
+    assert seen and set(seen[0]) == {f.name.lower() for f in RAW_SCHEMA.fields}
 
 
 def test_sales_from_raw_is_the_table_of_the_cleaned_lines(spark):

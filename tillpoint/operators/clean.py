@@ -164,7 +164,7 @@ def sales_from_raw(raw: DataFrame) -> DataFrame:
     carries them.
     """
     priced = drop_invalid_prices(coerce_types(fill_missing(raw)))
-    first = dedup_keys(priced, LINE_KEY, LINE_ORDER)
+    first = dedup_keys(lowercase_columns(priced), SALES_KEY, [c.lower() for c in LINE_ORDER]).toDF(*priced.columns)
     return _table_types(revenue_columns(price_columns(split_quantity(first))))
 
 
